@@ -12,6 +12,7 @@ WHITESPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028"
     "\u2029\u202f\u205f\u3000"
 )
+WHITESPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The letters and digits a code may hold.
 CODE_CHARACTERS = "0-9A-Za-z\u00c0-\u1ef9"
 
@@ -27,40 +28,44 @@ def strip(value: Column | str) -> Column:
 
 def clean_number(value: Column | str) -> Column:
     """Digits of an amount as bigint, `,` `.` and spaces removed; else null."""
-    digits = strip(F.translate(_text(value), ",. ", ""))
-    return F.when(digits.rlike(r"\A[0-9]+\z"), digits.try_cast("bigint"))
+    text = _text(value)
+    for mark in ",. ":
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return _cast_found(F.regexp_extract(strip(text), r"\A([0-9]+)\z", 1), "bigint")
+
+
+def _cast_found(text: Column, kind: str) -> Column:
+    """Null for empty text, and a cast for other; a cast that fails is dear."""
+    return F.nullif(text, F.lit("")).try_cast(kind)
+
+
+# A year from 1000 to 9999, a month and a day; signs and zeros before them drop out.
+_YEAR = r"\+?0*([1-9][0-9]{3})"
+_MONTH = r"\+?0*(1[0-2]|[1-9])"
+_DAY = r"\+?0*([12][0-9]|3[01]|[1-9])"
+_YEAR_FIRST = rf"\A{_YEAR}[-/. ]{_MONTH}[-/. ]{_DAY}\z"
+_YEAR_LAST = rf"\A{_DAY}[-/. ]{_MONTH}[-/. ]{_YEAR}\z"
+_ISO = r"\A([1-9][0-9]{3}-(?:1[0-2]|[1-9])-(?:[12][0-9]|3[01]|[1-9]))\z"
 
 
 def clean_date(value: Column | str) -> Column:
     """`y-m-d` or `d-m-y`, parted by `-` `/` `.` or space, as `dd-MM-yyyy`; else null."""
-    parts = F.split(F.translate(strip(value), "/. ", "---"), "-", -1)
-
-    def part(i: int) -> Column:
-        text = F.get(parts, F.lit(i))
-        return F.when(text.rlike(r"\A\+?[0-9]+\z"), text.try_cast("int"))
-
-    first, month, last = part(0), part(1), part(2)
-    year = F.when(first.between(1000, 9999), first).when(last.between(1000, 9999), last)
-    day = F.when(first.between(1000, 9999), last).otherwise(first)
-    iso = F.concat_ws(
-        "-",
-        year.cast("string"),
-        F.lpad(month.cast("string"), 2, "0"),
-        F.lpad(day.cast("string"), 2, "0"),
-    )
-    valid = (
-        (F.size(parts) == 3) & year.isNotNull() & month.between(1, 12) & day.between(1, 31)
-    )
-    return F.when(valid, F.date_format(iso.try_cast("date"), "dd-MM-yyyy"))
+    text = F.regexp_replace(strip(value), _YEAR_FIRST, "$1-$2-$3")
+    text = F.regexp_replace(text, _YEAR_LAST, "$3-$2-$1")
+    return F.date_format(_cast_found(F.regexp_extract(text, _ISO, 1), "date"), "dd-MM-yyyy")
+
+
+# White space; the left side settles most text without a look at the long list.
+_SPACES = f"[[^!-~]&&[{WHITESPACE_CLASS}]]+"
 
 
 def clean_whitespace(value: Column | str) -> Column:
     """Text stripped, each run of white space made one space; empty text is null."""
     text = _text(value)
-    return F.when(text != "", F.trim(F.regexp_replace(text, f"[{WHITESPACE}]+", " ")))
+    return F.when(text != "", F.trim(F.regexp_replace(text, _SPACES, " ")))
 
 
 def clean_code(value: Column | str) -> Column:
     """Letters and digits only, in upper case; empty text is null."""
     text = _text(value)
-    return F.when(text != "", F.upper(F.regexp_replace(text, f"[^{CODE_CHARACTERS}]", "")))
+    return F.when(text != "", F.upper(F.regexp_replace(text, f"[^{CODE_CHARACTERS}]+", "")))

@@ -48,7 +48,7 @@ def running_totals(summary: DataFrame, births: DataFrame) -> DataFrame:
     rows = summary.join(births, list(GROUP), "left").withColumn(
         "new_rows", F.coalesce("new_rows", F.lit(0))
     )
-    scanned = prefix_scan(rows, ["table_key"], "batch_id", {"new_rows": "sum"})
+    scanned = prefix_scan(rows, ["table_key"], "batch_id", {"new_rows": "sum"}, levels=1)
     return scanned.withColumn("total_records", F.col("new_rows_after")).drop(
         "new_rows_before", "new_rows_after"
     )

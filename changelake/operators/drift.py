@@ -41,9 +41,14 @@ def _fingerprints(catalog: DataFrame) -> DataFrame:
     )
 
 
-def _numbered(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    """Add `rank` by the bigint `order`, which occurs once per group."""
-    counted = prefix_scan(df.withColumn("_one", F.lit(1)), group, order, {"_one": "sum"})
+def _numbered(df: DataFrame, group: Sequence[str], order: str, bits: int) -> DataFrame:
+    """Add `rank` by the bigint `order`, which occurs once per group.
+
+    One level of segments bounds the groups: ordinals are 31 bits, in segments
+    of 20; name orders are 60 even bits, in segments of 40.
+    """
+    ones = df.withColumn("_one", F.lit(1))
+    counted = prefix_scan(ones, group, order, {"_one": "sum"}, bits, levels=1)
     return counted.withColumn("rank", F.col("_one_after")).drop("_one", "_one_before", "_one_after")
 
 
@@ -73,7 +78,7 @@ def table_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     def alone(these: DataFrame, others: DataFrame) -> DataFrame:
         only = these.join(others.select("table_full"), "table_full", "left_anti")
         return _numbered(
-            only.withColumn("_order", _name_order(F.col("table_full"))), print_columns, "_order"
+            only.withColumn("_order", _name_order(F.col("table_full"))), print_columns, "_order", 40
         ).drop("_order")
 
     dropped, added = alone(before, after), alone(after, before)
@@ -98,7 +103,7 @@ def column_changes(old: DataFrame, new: DataFrame, match_default: bool = True) -
     def alone(these: DataFrame, others: DataFrame, other_tables: DataFrame) -> DataFrame:
         only = these.join(others.select(*place), place, "left_anti")
         common = only.join(other_tables, "table_full", "left_semi")
-        return _numbered(common.withColumn("_order", F.col("ordinal").cast("bigint")), group, "_order")
+        return _numbered(common.withColumn("_order", F.col("ordinal").cast("bigint")), group, "_order", 20)
 
     dropped = alone(old, new, tables_new)
     added = alone(new, old, tables_old)

@@ -89,6 +89,11 @@ def _fault() -> Column:
     )
 
 
+def _schema_field(name: str) -> Column:
+    field = F.col(f"_e.{name}")
+    return (normalize_table_name(field) if name.endswith("_table") else field).alias(name)
+
+
 def parse_envelope(raw: DataFrame, value: str = "value") -> DataFrame:
     """Typed events from JSON text, with `route`, `table_key` and `fault`.
 
@@ -96,22 +101,25 @@ def parse_envelope(raw: DataFrame, value: str = "value") -> DataFrame:
     other columns of `raw`, such as the sequence number, are kept.
     """
     parsed = F.from_json(
-        F.col(value), WIRE_SCHEMA, {"columnNameOfCorruptRecord": _MALFORMED, "mode": "PERMISSIVE"}
+        F.coalesce(value, F.lit("")),
+        WIRE_SCHEMA,
+        {"columnNameOfCorruptRecord": _MALFORMED, "mode": "PERMISSIVE"},
     )
-    events = raw.withColumn("_e", parsed).select(
+    # Generators, unlike plain columns, are not copied into each later use and filter,
+    # so each text is parsed once.
+    fields = raw.select("*", F.inline(F.array(F.struct(parsed.alias("_e")))))
+    data = F.from_json("_e.data", "map<string,string>")
+    events = fields.select("*", F.inline(F.array(F.struct(data.alias("data"))))).select(
         *raw.columns,
         F.upper(strip("_e.operation")).alias("operation"),
         normalize_database(F.col("_e.database")).alias("database"),
         normalize_table_name(F.col("_e.table")).alias("table"),
         F.col("_e.source").alias("source"),
         F.col("_e.timestamp").alias("timestamp"),
-        F.from_json(F.col("_e.data"), "map<string,string>").alias("data"),
+        "data",
         F.col("_e.columns").alias("columns"),
-        *[
-            (normalize_table_name(F.col(f"_e.{f}")) if f.endswith("_table") else F.col(f"_e.{f}")).alias(f)
-            for f in SCHEMA_FIELDS
-        ],
-        F.col(f"_e.{_MALFORMED}").alias(_MALFORMED),
+        *[_schema_field(f) for f in SCHEMA_FIELDS],
+        F.when(F.col("_e").isNull(), value).otherwise(F.col(f"_e.{_MALFORMED}")).alias(_MALFORMED),
     )
     events = events.withColumn("route", route(F.coalesce("operation", F.lit(""))))
     events = events.withColumn("fault", _fault()).drop(_MALFORMED)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.operators.envelope import build_envelope
+from changelake.session import scratch_dir
 
 BATCH_ROWS = 1000
 RENAMED_ON, DROPPED_ON = "2024-01-10", "2024-01-20"
@@ -173,7 +174,8 @@ def catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two states of a catalog with a table per order and a column per line.
 
     Between them tables are added, dropped and renamed by order priority and
-    status, and columns by return flag and line status.
+    status, and columns by return flag and line status. The states are stored,
+    as a poll leaves them for the next one to compare.
     """
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_returnflag").alias("flag"), F.min("l_linestatus").alias("status")
@@ -205,7 +207,10 @@ def catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.when(returned, "d").otherwise("c"),
         F.when(returned & (status == "O"), "1").otherwise(zero),
     )
-    return old, new
+    folder = scratch_dir(spark, "catalogs")
+    for name, state in (("old", old), ("new", new)):
+        state.write.parquet(f"{folder}/{name}")
+    return spark.read.parquet(f"{folder}/old"), spark.read.parquet(f"{folder}/new")
 
 
 def information_schema(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -236,11 +236,11 @@ def snapshot_last_wins(spark, sf_dir):
 @query
 def envelope_build(spark, sf_dir):
     built = feeds.raw_feed(spark, sf_dir).filter("value NOT LIKE '{{%'")
-    fields = ["operation", "table", "database", "source", "timestamp"]
-    return built.select(
-        "seq",
-        *[F.get_json_object("value", f"$.{f}").alias(f) for f in fields],
-        *[F.get_json_object("value", f"$.data.{c}").alias(c) for c in feeds.DATA],
+    wire = "operation string, table string, database string, source string, timestamp string"
+    parsed = F.from_json("value", f"{wire}, data map<string,string>")
+    names = [part.split(" ")[0] for part in wire.split(", ")]
+    return built.select("seq", F.inline(F.array(parsed))).select(
+        "seq", *names, *[F.col("data")[c].alias(c) for c in feeds.DATA]
     )
 
 

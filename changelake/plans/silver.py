@@ -99,9 +99,10 @@ def write_silver(spark: SparkSession, path_a: str, path_b: str, target: str) ->
     Nothing is written unless both sources can be read; the error names each
     that cannot.
     """
-    found, failed = read_sources(spark, {"a": path_a, "b": path_b})
+    paths = {"a": path_a, "b": path_b}
+    found, failed = read_sources(spark, paths)
     if failed:
-        raise ValueError(f"cannot read {failed}")
+        raise ValueError(f"cannot read { {paths[n]: why for n, why in failed.items()} }")
     rows = Observation("silver")
     silver = unify(found["a"], found["b"]).observe(rows, F.count(F.lit(1)).alias("rows"))
     silver.write.mode("overwrite").parquet(target)
