@@ -102,39 +102,38 @@ def _digest(columns: Sequence[str]) -> list[Column]:
 
 
 def snapshot_diff_narrow(
-    prev: DataFrame, cur: DataFrame, key: str, unique_order: Sequence[str] = ()
+    prev: DataFrame, cur: DataFrame, key: str, folder: str, order: Sequence[str] = ()
 ) -> DataFrame:
     """`snapshot_diff` for wide tables of which few rows change.
 
-    The first pass shuffles only row ids and 128 bits of hash. The full rows of
-    the ids that differ are fetched by a second scan, whose semi join drops the
-    unchanged rows before the wide shuffle when the changed ids are few.
+    The first pass shuffles only row ids and 128 bits of hash, and stores the
+    ids that differ in `folder`. The full rows of those ids come from a second
+    scan. As the size of the stored ids is known, Spark broadcasts them while
+    they are few, and then shuffles no unchanged row; else it joins by shuffle.
     """
     common = _common(prev, cur)
 
-    def brief(df: DataFrame) -> DataFrame:
-        return identified(df, key, unique_order).select(ROW_ID, *_digest(common))
+    def brief(df: DataFrame, side: str) -> DataFrame:
+        rows = identified(df, key, order)
+        return rows.select(ROW_ID, F.struct(*_digest(common)).alias(side))
 
-    left, right = brief(prev), brief(cur)
-    same = [left[f"_hash{i}"].eqNullSafe(right[f"_hash{i}"]) for i in (1, 2)]
-    changed = (
-        left.join(right, left[ROW_ID] == right[ROW_ID], "full_outer")
-        .filter(~(same[0] & same[1]))
-        .select(F.coalesce(left[ROW_ID], right[ROW_ID]).alias(ROW_ID))
-    )
+    brief(prev, "p").join(brief(cur, "c"), ROW_ID, "full_outer").filter(
+        ~F.col("p").eqNullSafe(F.col("c"))
+    ).select(ROW_ID).write.parquet(folder)
+    changed = prev.sparkSession.read.parquet(folder)
 
     def only_changed(df: DataFrame) -> DataFrame:
         rows = df.withColumn(ROW_ID, row_id(df.columns, key))
         return rows.join(changed, ROW_ID, "left_semi").drop(ROW_ID)
 
-    return snapshot_diff(only_changed(prev), only_changed(cur), key, unique_order)
+    return snapshot_diff(only_changed(prev), only_changed(cur), key, order)
 
 
 def snapshot_inserts(
     prev: DataFrame, cur: DataFrame, key: str | None = None, order: Sequence[str] = ()
 ) -> DataFrame:
     """Rows of `cur` whose id `prev` lacks."""
-    ids = prev.select(row_id(prev.columns, key).alias(ROW_ID))
+    ids = prev.select(row_id(prev.columns, key).alias(ROW_ID)).distinct()
     return identified(cur, key, order).join(ids, ROW_ID, "left_anti")
 
 

@@ -26,19 +26,8 @@ EVENT_FIELDS = (
 )
 
 
-def _fingerprints(catalog: DataFrame) -> DataFrame:
-    """Tables with the size of their column map and two hash sums over it.
-
-    Sums of hashes need no column list in one place, so a table may be as wide
-    as it likes.
-    """
-    parts = ["column", "data_type", "column_default", F.col("column_default").isNull()]
-    hashes = [F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)") for seed in (1, 2)]
-    return catalog.groupBy(F.col("table_full")).agg(
-        F.count("*").alias("n"),
-        F.sum(hashes[0]).alias("h1"),
-        F.sum(hashes[1]).alias("h2"),
-    )
+def _both(old: DataFrame, new: DataFrame) -> DataFrame:
+    return old.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
 
 
 def _numbered(df: DataFrame, group: Sequence[str], order: str, bits: int) -> DataFrame:
@@ -57,35 +46,47 @@ def _name_order(name: Column) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
 
 
-def _pair(dropped: DataFrame, added: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Full outer join of equal groups and ranks; the added side gets a `new_` prefix."""
-    right = added.withColumnsRenamed({c: f"new_{c}" for c in added.columns})
-    test = F.lit(True)
-    for c in [*group, "rank"]:
-        test = test & F.col(c).eqNullSafe(F.col(f"new_{c}"))
-    return dropped.join(right, test, "full_outer")
+def _pairs(alone: DataFrame, group: Sequence[str], order: str, bits: int, **values: str) -> DataFrame:
+    """Rows of one state beside those of the other with equal group and rank.
+
+    The n-th of several alike goes with the n-th. `values` names the result
+    columns as `<name>=<column>`, each as `old_<name>` and `new_<name>`.
+    """
+    ranked = _numbered(alone, [*group, "is_new"], order, bits)
+    sides = {"old_": ~F.col("is_new"), "new_": F.col("is_new")}
+    return ranked.groupBy(*group, "rank").agg(
+        *[
+            F.max(F.when(here, F.col(column))).alias(f"{side}{name}")
+            for side, here in sides.items()
+            for name, column in values.items()
+        ]
+    )
 
 
 def table_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """`old_table, new_table` of tables in one state only; null where there is none.
 
-    A dropped and an added table with equal columns are one renamed table; of
-    several alike, the n-th dropped goes with the n-th added.
+    A dropped and an added table with equal columns are one renamed table. The
+    columns are compared by their number and two sums of hashes, which need no
+    column list in one place, so a table may be as wide as it likes.
     """
-    print_columns = ["n", "h1", "h2"]
-    before, after = _fingerprints(old), _fingerprints(new)
-
-    def alone(these: DataFrame, others: DataFrame) -> DataFrame:
-        only = these.join(others.select("table_full"), "table_full", "left_anti")
-        return _numbered(
-            only.withColumn("_order", _name_order(F.col("table_full"))), print_columns, "_order", 40
-        ).drop("_order")
-
-    dropped, added = alone(before, after), alone(after, before)
-    paired = _pair(dropped, added, print_columns).select(
-        F.col("table_full").alias("old_table"), F.col("new_table_full").alias("new_table")
+    parts = ["column", "data_type", "column_default", F.col("column_default").isNull()]
+    hashes = [F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)") for seed in (1, 2)]
+    tables = (
+        _both(old, new)
+        .groupBy("table_full")
+        .agg(
+            F.min("is_new").alias("is_new"),
+            F.max("is_new").alias("last"),
+            F.count("*").alias("n"),
+            F.sum(hashes[0]).alias("h1"),
+            F.sum(hashes[1]).alias("h2"),
+        )
+    )
+    alone = tables.filter("is_new = last").withColumn("order", _name_order(F.col("table_full")))
+    return _pairs(alone, ["n", "h1", "h2"], "order", 40, table="table_full").select(
+        "old_table", "new_table"
     )
-    return paired
 
 
 def column_changes(old: DataFrame, new: DataFrame, match_default: bool = True) -> DataFrame:
@@ -95,24 +96,25 @@ def column_changes(old: DataFrame, new: DataFrame, match_default: bool = True) -
     type, and with `match_default` also their default, are equal; of several
     alike, the n-th dropped goes with the n-th added, by ordinal.
     """
-    place = ["table_full", "column"]
-    tables_old = old.select("table_full").distinct()
-    tables_new = new.select("table_full").distinct()
+    both = _both(old, new)
+    sides = [F.min("is_new").alias("is_new"), F.max("is_new").alias("last")]
+    details = F.struct("ordinal", "data_type", "column_default")
+    columns = both.groupBy("table_full", "column").agg(*sides, F.max(details).alias("_d"))
+    common = both.groupBy("table_full").agg(*sides).filter("is_new <> last").select("table_full")
+    alone = (
+        columns.filter("is_new = last")
+        .join(common, "table_full", "left_semi")
+        .select("table_full", "column", "is_new", "_d.*")
+        .withColumn("order", F.col("ordinal").cast("bigint"))
+        .withColumn("default", F.col("column_default"))
+    )
     group = ["table_full", "data_type", *(["column_default"] if match_default else [])]
-
-    def alone(these: DataFrame, others: DataFrame, other_tables: DataFrame) -> DataFrame:
-        only = these.join(others.select(*place), place, "left_anti")
-        common = only.join(other_tables, "table_full", "left_semi")
-        return _numbered(common.withColumn("_order", F.col("ordinal").cast("bigint")), group, "_order", 20)
-
-    dropped = alone(old, new, tables_new)
-    added = alone(new, old, tables_old)
-    return _pair(dropped, added, group).select(
-        F.coalesce("table_full", "new_table_full").alias("table"),
-        F.col("column").alias("old_column"),
-        F.col("new_column"),
-        F.col("new_data_type").alias("data_type"),
-        F.col("new_column_default").alias("default"),
+    return _pairs(alone, group, "order", 20, column="column", default="default").select(
+        F.col("table_full").alias("table"),
+        "old_column",
+        "new_column",
+        "data_type",
+        F.col("new_default").alias("default"),
     )
 
 

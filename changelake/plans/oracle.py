@@ -387,6 +387,38 @@ _sql(
 )
 _sql("events_per_table", "SELECT table_key, count(*) AS n FROM good GROUP BY table_key", ENVELOPES)
 
+# Polls
+
+_sql(
+    "poll_row_messages",
+    """SELECT 'shop-orders-topic' AS topic, row_id AS "key", operation, '2024-02-01T08:30:00' AS timestamp,
+      CASE WHEN operation = 'DELETE' THEN '{"o_orderkey":"' || row_id || '"}'
+        ELSE '{"o_orderkey":' || row_id || ',"o_custkey":' || after_o_custkey || ',"o_orderstatus":"'
+          || after_o_orderstatus || '","o_orderpriority":"' || after_o_orderpriority || '"}' END AS data
+    FROM (""" + _DIFF + ")",
+    SNAPSHOTS,
+)
+_sql(
+    "poll_load_messages",
+    """SELECT 'shop-customer-topic' AS topic, CAST(c_custkey AS VARCHAR) AS "key", 'INITIAL_LOAD' AS operation,
+      'mssql' AS source, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey
+      || ',"c_mktsegment":"' || c_mktsegment || '"}' AS data FROM customer""",
+)
+_sql(
+    "poll_schema_messages",
+    """SELECT 'shop-ddl-topic' AS topic, "table" AS "key",
+      CASE WHEN old_column IS NULL THEN 'ADD_COLUMN' WHEN new_column IS NULL THEN 'DROP_COLUMN'
+        ELSE 'RENAME_COLUMN' END AS operation, "table",
+      CASE WHEN new_column IS NOT NULL THEN old_column END AS old_column,
+      CASE WHEN old_column IS NOT NULL THEN new_column END AS new_column FROM columns
+    UNION ALL SELECT 'shop-ddl-topic', coalesce(old_table, new_table),
+      CASE WHEN old_table IS NULL THEN 'ADD_TABLE' WHEN new_table IS NULL THEN 'DROP_TABLE' ELSE 'RENAME_TABLE' END,
+      CASE WHEN old_table IS NULL OR new_table IS NULL THEN coalesce(old_table, new_table) END, NULL, NULL
+    FROM tables""",
+    TABLE_CHANGES,
+    _column_changes(False).replace(CATALOGS + ",", ""),
+)
+
 # Change application
 
 for _name, _feed in {

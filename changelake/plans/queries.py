@@ -19,7 +19,7 @@ from changelake.functions import (
     stringify,
 )
 from changelake.operators import commits, conform, diff, drift, envelope, evolve, fold
-from changelake.plans import feeds, silver
+from changelake.plans import feeds, poll, silver
 from changelake.session import scratch_dir
 from changelake.sources import readers
 from changelake.sources.bronze import Bronze
@@ -194,7 +194,7 @@ def snapshot_diff(spark, sf_dir):
 @query
 def snapshot_diff_narrow(spark, sf_dir):
     prev, cur = feeds.order_snapshots(spark, sf_dir)
-    return _images(diff.snapshot_diff_narrow(prev, cur, "o_orderkey"), ORDER_COLUMNS)
+    return _images(diff.snapshot_diff_narrow(prev, cur, "o_orderkey", scratch_dir(spark, "changed")), ORDER_COLUMNS)
 
 
 @query
@@ -291,6 +291,43 @@ def events_per_table(spark, sf_dir):
     return good.groupBy("table_key").agg(F.count("*").alias("n"))
 
 
+# Polls
+
+@query
+def poll_row_messages(spark, sf_dir):
+    prev, cur = feeds.order_snapshots(spark, sf_dir)
+    out = poll.row_messages(prev, cur, "o_orderkey", "orders", "shop", "postgresql", _polled_at())
+    return _unwrapped(out, "operation", "timestamp", "data")
+
+
+@query
+def poll_load_messages(spark, sf_dir):
+    customers = feeds.table(spark, sf_dir, "customer").drop("c_acctbal")
+    out = poll.load_messages(customers, "c_custkey", "customer", "shop", "mssql", _polled_at())
+    return _unwrapped(out, "operation", "source", "data")
+
+
+@query
+def poll_schema_messages(spark, sf_dir):
+    old, new = feeds.catalogs(spark, sf_dir)
+    out = poll.schema_messages(old, new, "shop", "mssql", _polled_at(), match_default=False)
+    return _unwrapped(out, "operation", "table", "old_column", "new_column")
+
+
+def _polled_at() -> Column:
+    return F.lit("2024-02-01 08:30:00").cast("timestamp_ntz")
+
+
+def _unwrapped(messages: DataFrame, *fields: str) -> DataFrame:
+    wire = F.from_json("value", ", ".join(f"`{f}` string" for f in fields))
+    rows = messages.select("topic", "key", F.inline(F.array(wire)))
+    if "data" not in fields:
+        return rows
+    # The price is left out, as engines write doubles differently.
+    data = F.regexp_replace("data", r'"o_(totalprice|orderdate)":[^,}]*,', "")
+    return rows.withColumn("data", data)
+
+
 # Change application
 
 

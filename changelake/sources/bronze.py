@@ -36,6 +36,7 @@ _LOG = {
     "timestamp": "string",
     "data": "map<string,string>",
     "row_key": "string",
+    "processed_at": "timestamp",
     "table_key": "string",
 }
 _SCHEMA_EVENT = {
@@ -54,6 +55,7 @@ _COMMIT = {
     "inserts": "bigint",
     "updates": "bigint",
     "deletes": "bigint",
+    "processed_at": "timestamp",
 }
 _STATE = {
     "table_key": "string",
@@ -96,7 +98,7 @@ class Bronze:
 
     def append(self, events: DataFrame, batch_id: int) -> None:
         """Write one batch of parsed, identified events."""
-        good, bad = split_valid(events)
+        good, bad = split_valid(events.withColumn("processed_at", F.current_timestamp()))
         rows = good.filter("route <> 'schema'")
         schema = good.filter("route = 'schema'")
         numbered = F.lit(batch_id).cast("bigint")
@@ -110,6 +112,7 @@ class Bronze:
         self._write(rows.select(*_LOG), f"log/{at}", ["table_key"])
         self._write(schema.select(*_SCHEMA_EVENT), f"schema_events/{at}")
         self._write(bad.select(*_QUARANTINE), f"quarantine/{at}")
+        summary = summary.withColumn("processed_at", F.current_timestamp())
         self._write(summary.select(*_COMMIT), f"commits/{at}")
         self._mark(f"batches/{at}")
 
@@ -139,6 +142,8 @@ class Bronze:
         log, schema = self.log().filter(F.col("batch_id") > upto), self.schema_events()
         if through is not None:
             log, schema = (df.filter(F.col("batch_id") <= through) for df in (log, schema))
+        if schema.isEmpty():
+            return base, log
         if base is not None:
             oldest = base.withColumn("seq", F.lit(-(2**63)).cast("bigint"))
             base = evolve_log(oldest, schema.filter(F.col("batch_id") > upto)).drop("seq")
@@ -168,6 +173,11 @@ class Bronze:
         base, events = self._inputs()
         return change_log(events, KEY, "seq", IMAGE, base=base, keep=["batch_id"])
 
+    def write_change_log(self, folder: str) -> None:
+        """Store the change log by table and batch."""
+        log = self.change_log().hint("rebalance", F.col("table_key"), F.col("batch_id"))
+        log.write.mode("overwrite").partitionBy("table_key", "batch_id").parquet(f"{self.base}/{folder}")
+
     def effective_counts(self) -> DataFrame:
         return effective_counts(self.change_log())
 

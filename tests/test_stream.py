@@ -90,6 +90,10 @@ def test_compaction(spark, tmp_path):
     run(spark, tmp_path / "in", tmp_path / "out", tmp_path / "cp")
     want = states(batch_state(spark, rows))
     assert states(bronze.state()) == want
+    bronze.write_change_log("change_log")
+    log = spark.read.parquet(f"{tmp_path}/out/change_log")
+    assert log.count() == bronze.change_log().count() > 0
+    assert log.filter("operation = 'INSERT' AND after IS NULL").count() == 0
     assert bronze.compact() == 3
     assert states(bronze.state()) == want
     assert bronze.change_log().count() == 0
