@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -101,15 +101,28 @@ def kafka_options(servers: str, pattern: str = ".*", **options: str) -> dict[str
     }
 
 
-def read_topics_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """Envelopes of all matching topics, `seq` being the offset within its partition.
+def topic_sequence(timestamp: Column, offset: Column) -> Column:
+    """Milliseconds since 1970, then the low 20 bits of the offset, as one bigint."""
+    return F.unix_millis(timestamp) * 2**20 + F.pmod(offset, F.lit(2**20))
 
-    Offsets order the events of one partition, so the producer has to key its
-    messages by record.
+
+def read_topics_stream(
+    spark: SparkSession, options: Mapping[str, str], across_topics: bool = False
+) -> DataFrame:
+    """Envelopes of all matching topics as `value, topic, seq`.
+
+    By default `seq` is the offset, the exact order within a partition; the
+    producer has to key its messages by record. Where schema events come on a
+    topic of their own, `across_topics` puts the time the broker appended the
+    record first, so that rows before and after a schema event can be told
+    apart to the millisecond.
     """
     raw = spark.readStream.format("kafka").options(**options).load()
+    time_first = topic_sequence(F.col("timestamp"), F.col("offset"))
     return raw.select(
-        F.col("value").cast("string").alias("value"), "topic", F.col("offset").alias("seq")
+        F.col("value").cast("string").alias("value"),
+        "topic",
+        (time_first if across_topics else F.col("offset")).alias("seq"),
     )
 
 

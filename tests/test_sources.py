@@ -1,6 +1,9 @@
 """Readers that need no server."""
 
+from pyspark.sql import functions as F
+
 from changelake.sources import readers
+from changelake.sources.writers import write_topic_folders
 
 
 def test_catalogs(spark):
@@ -31,3 +34,16 @@ def test_kafka_options():
     options = readers.kafka_options("host:9092", maxOffsetsPerTrigger="5")
     assert options["subscribePattern"] == ".*" and options["startingOffsets"] == "earliest"
     assert options["maxOffsetsPerTrigger"] == "5"
+
+
+def test_sequence_across_topics(spark):
+    rows = [("2024-01-01 00:00:00.001", 7), ("2024-01-01 00:00:00.001", 8), ("2024-01-01 00:00:00.002", 3)]
+    df = spark.createDataFrame(rows, "t string, o bigint")
+    got = [r[0] for r in df.select(readers.topic_sequence(F.col("t").cast("timestamp"), F.col("o"))).collect()]
+    assert got == sorted(got) and len(set(got)) == 3 and got[1] - got[0] == 1
+
+
+def test_topic_folders(spark, tmp_path):
+    messages = spark.createDataFrame([("a", "1", "{}"), ("b", "2", "{}")], "topic string, key string, value string")
+    write_topic_folders(messages, f"{tmp_path}/topics")
+    assert spark.read.json(f"{tmp_path}/topics/topic=a").count() == 1
