@@ -35,7 +35,7 @@ def line_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as changes of a row per user."""
+    """Events as changes of a row per user, or per user and table."""
     kind = F.col("event_type")
     return table(spark, sf_dir, "events").select(
         "user_id",
@@ -44,7 +44,9 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "event_type",
         F.expr(f"event_id div {BATCH_ROWS}").alias("batch_id"),
-        F.lit("shop.users").alias("table_key"),
+        F.when(F.get_json_object("props", "$.k").cast("int") < 50, "shop.users")
+        .otherwise("crm.users")
+        .alias("table_key"),
         "ts",
     )
 

@@ -59,7 +59,8 @@ cur AS (SELECT * REPLACE (
 FEED = f"""
 feed AS (SELECT user_id, event_id AS seq,
     CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS operation,
-    value, event_type, event_id // {BATCH_ROWS} AS batch_id, 'shop.users' AS table_key, ts
+    value, event_type, event_id // {BATCH_ROWS} AS batch_id, ts,
+    CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) < 50 THEN 'shop.users' ELSE 'crm.users' END AS table_key
   FROM events),
 load_feed AS (SELECT * REPLACE (
     CASE WHEN ts < TIMESTAMP '2024-01-04' THEN 'INITIAL_LOAD' ELSE operation END AS operation) FROM feed)
@@ -144,13 +145,13 @@ def _column_changes(match_default: bool) -> str:
 
 # A state follows from one sequential pass, written here as windows over each key
 
-_W = "OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND"
+_W = "OVER (PARTITION BY {} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND"
 
 
 def _state(feed: str) -> str:
     return f"""
-    numbered AS (SELECT *, max(CASE WHEN operation <> 'DELETE' THEN 1 ELSE 0 END) {_W} CURRENT ROW) AS present
-      FROM {feed}),
+    numbered AS (SELECT *, max(CASE WHEN operation <> 'DELETE' THEN 1 ELSE 0 END)
+        {_W.format("user_id")} CURRENT ROW) AS present FROM {feed}),
     flagged AS (SELECT *, CASE WHEN operation = 'DELETE' THEN true
         WHEN operation IN ('INSERT', 'INITIAL_LOAD') THEN false END AS flag FROM numbered WHERE present = 1),
     final AS (SELECT user_id, arg_max(value, seq) FILTER (operation <> 'DELETE') AS value,
@@ -161,9 +162,12 @@ def _state(feed: str) -> str:
     """
 
 
+_ROW = "table_key, user_id"
+
+
 def _side(frame: str, name: str) -> str:
     def last(column: str, where: str) -> str:
-        return f"last_value(CASE WHEN {where} THEN {column} END IGNORE NULLS) {_W} {frame})"
+        return f"last_value(CASE WHEN {where} THEN {column} END IGNORE NULLS) {_W.format(_ROW)} {frame})"
 
     image = "operation <> 'DELETE'"
     return f"""{last("value", image)} AS {name}_value, {last("event_type", image)} AS {name}_event_type,
@@ -172,8 +176,8 @@ def _side(frame: str, name: str) -> str:
 
 
 CHANGE_LOG = f"""{FEED},
-numbered AS (SELECT *, max(CASE WHEN operation <> 'DELETE' THEN 1 ELSE 0 END) {_W} CURRENT ROW) AS present
-  FROM feed),
+numbered AS (SELECT *, max(CASE WHEN operation <> 'DELETE' THEN 1 ELSE 0 END)
+    {_W.format(_ROW)} CURRENT ROW) AS present FROM feed),
 flagged AS (SELECT *, CASE WHEN operation = 'DELETE' THEN CASE WHEN present = 1 THEN true END
     WHEN operation = 'INSERT' THEN false END AS flag FROM numbered),
 log AS (SELECT user_id, seq, operation, batch_id, table_key, {_side("1 PRECEDING", "before")},
@@ -428,7 +432,7 @@ for _name, _feed in {
     "initial_load_then_changes": "load_feed",
 }.items():
     _sql(_name, "SELECT * FROM final", FEED, _state(_feed))
-_sql("cdc_change_log", "SELECT * EXCLUDE (batch_id, table_key) FROM log", CHANGE_LOG)
+_sql("cdc_change_log", "SELECT * EXCLUDE (batch_id) FROM log", CHANGE_LOG)
 _sql("cdc_batch_summary", "SELECT * FROM summary", SUMMARY)
 _sql(
     "cdc_effective_counts",

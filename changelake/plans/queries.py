@@ -355,13 +355,14 @@ def bronze_compact(spark, sf_dir):
 
 def _log(spark, sf_dir) -> DataFrame:
     feed = feeds.change_feed(spark, sf_dir)
-    return fold.change_log(feed, USER, "seq", IMAGE, keep=["batch_id", "table_key"])
+    return fold.change_log(feed, ["table_key", *USER], "seq", IMAGE, keep=["batch_id"])
 
 
 @query
 def cdc_change_log(spark, sf_dir):
     sides = [(side, c) for side in ("before", "after") for c in (*IMAGE, "deleted")]
     return _log(spark, sf_dir).select(
+        "table_key",
         "user_id",
         "seq",
         "operation",
