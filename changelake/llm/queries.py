@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, language_id, token_counts
+from changelake.llm import byte_bpe, exact_dedup, language_id, token_counts
 from changelake.llm.columns import table
 
 #: Tokens above which a text exceeds a model's context.
@@ -20,6 +20,10 @@ def fold_of(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -46,9 +50,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_exact_dedup": r"""
+        WITH texts AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, sha256(content) AS text_sha256
+        FROM texts
+        WINDOW same AS (PARTITION BY content)
+    """,
+}

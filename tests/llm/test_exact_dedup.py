@@ -1,0 +1,64 @@
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from changelake.llm import exact_dedup
+from changelake.llm.exact_dedup import ContentTable, deduplicate
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for id, text in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", text or "")].append(id)
+    first = {text: min((id for id in ids if id is not None), default=None) for text, ids in groups.items()}
+    return sorted(
+        ((id, first[key], len(groups[key])) for id, text in rows for key in [re.sub(r"[\x20\x09-\x0D]+", " ", text or "")]),
+        key=str,
+    )
+
+
+def found(spark, rows, memory=exact_dedup.MEMORY):
+    df = spark.createDataFrame([(*row, "x", 1) for row in rows], "doc_id long, text string, keep_id string, row int").repartition(3)
+    return deduplicate(df, memory=memory).collect()
+
+
+@pytest.mark.parametrize("memory", [200, 5_000, exact_dedup.MEMORY])
+def test_groups_are_those_of_equal_texts_at_every_table_size(spark, monkeypatch, memory):
+    monkeypatch.setattr(exact_dedup, "MEMORY", memory)
+    draw = random.Random(7)
+    texts = ["", " ", "\t \n", None, "a b", "a  b", "a\x0bb", "a\xa0b", "hot " * 40, *(f"text {n} " * 5 for n in range(40))]
+    rows = [(n, draw.choice(texts)) for n in range(300)] + [(300 + n, "hot " * 40) for n in range(150)]
+    result = found(spark, rows, memory)
+    assert sorted(((row.doc_id, row.keep_id, row.group_size) for row in result), key=str) == expected(rows)
+    assert sum(row.kept for row in result) == len({row.keep_id for row in result})
+    assert all(row.kept == (row.doc_id == row.keep_id) for row in result)
+
+
+def test_null_and_repeated_ids_keep_one_row_of_each_group(spark):
+    rows = [(None, "a"), (5, "a"), (5, "a"), (None, "b"), (None, "b"), (1, None), (2, "")]
+    result = found(spark, rows)
+    assert sorted(((row.doc_id, row.keep_id, row.group_size) for row in result), key=str) == expected(rows)
+    assert sorted((row.keep_id, row.kept) for row in result if row.keep_id) == [
+        (1, False), (1, True), (5, False), (5, False), (5, True),
+    ]
+    assert sorted(row.kept for row in result if row.keep_id is None) == [False, True]
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == []
+
+
+def test_equal_hashes_of_different_contents_stay_apart():
+    table = ContentTable()
+    assert [table.find(9, content) for content in (b"a", b"b", b"a")] == [(0, True), (1, True), (0, False)]
+    many = [table.find(9, str(n).encode())[0] for n in range(2000)]
+    assert [table.find(9, str(n).encode()) for n in range(2000)] == [(n, False) for n in many]
+
+
+def test_other_columns_are_not_read(spark):
+    df = spark.createDataFrame([(1, "a", 2), (2, "a", 3)], "doc_id long, text string, pointer long")
+    assert {tuple(row) for row in deduplicate(df).select("doc_id", "keep_id").collect()} == {(1, 1), (2, 1)}
+    assert deduplicate(df.withColumn("doc_id", F.col("doc_id").cast("int"))).schema["doc_id"].dataType.simpleString() == "int"
