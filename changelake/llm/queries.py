@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, exact_dedup, language_id, token_counts
+from changelake.llm import byte_bpe, exact_dedup, jaccard_join, language_id, token_counts
 from changelake.llm.columns import table
 
 #: Tokens above which a text exceeds a model's context.
@@ -20,6 +20,10 @@ def fold_of(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_language_id": op9_language_id,
