@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, exact_dedup, jaccard_join, language_id, token_counts
+from changelake.llm import byte_bpe, exact_dedup, jaccard_join, language_id, substring_dedup, token_counts
 from changelake.llm.columns import table
 
 #: Tokens above which a text exceeds a model's context.
@@ -40,6 +40,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = fold_of(4) == 2
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
 }
