@@ -17,8 +17,10 @@ CHUNK = 1 << 21
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: ASCII white space, and all ASCII characters but letters.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NO_LETTER = np.array([byte < 0x80 and not chr(byte).isalpha() for byte in range(256)])
 #: A-Z to a-z; all other bytes stay.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -57,9 +59,9 @@ class Words:
     first: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = None) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = None, separators: np.ndarray = SPACE) -> Words:
     """Words of the rows `data[offsets[i]:offsets[i + 1]]`, their bytes mapped by `fold` before hashing."""
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     begin, finish = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     finish[:-1] &= ~inside[1:]
