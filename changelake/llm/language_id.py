@@ -18,12 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changelake.llm.columns import stored
+
 #: Longest n-gram.
 ORDER = 5
 #: Characters of training text for a language, about; a bound on the model's size.
 SAMPLE = 3_000_000
 #: Letters below which a text is never rejected: its cross-entropy varies too much.
 FEWEST = 24
+#: Languages that can be learned; a column with more values is refused.
+MOST_LANGUAGES = 4096
 #: Characters scored at a time.
 CHUNK = 1 << 19
 UNKNOWN = "und"
@@ -194,8 +198,11 @@ def learn(labelled: DataFrame, id: str, text: str, language: str, sample: int =
     """
     rows = labelled.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(language).alias("language")).dropna()
     share = rows.groupBy("language").agg((F.lit(float(sample)) / F.greatest(F.sum(F.length("text")), F.lit(1))).alias("share"))
+    share = stored(share, "languages")
+    if share.count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     place = (F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("place")
-    drawn = rows.withColumn("place", place).join(share, "language").filter(F.col("place") < F.col("share"))
+    drawn = rows.withColumn("place", place).join(F.broadcast(share), "language").filter(F.col("place") < F.col("share"))
     calibrating = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("calibrate")), F.lit(10)) == 0
     counted = (
         drawn.filter(~calibrating)
@@ -215,8 +222,8 @@ def learn(labelled: DataFrame, id: str, text: str, language: str, sample: int =
     if not by_language:
         return Model([], [], [], np.zeros(0, np.float32), np.zeros(0))
     model = kneser_ney(by_language)
-    entropies = identify(drawn.filter(calibrating), model, id="id").join(drawn.select("id", "language"), "id")
-    limits = entropies.filter((F.col("letters") >= FEWEST) & (F.col("lang_pred") == F.col("language"))).groupBy("language").agg(
+    entropies = identify(drawn.filter(calibrating), model, id="id")
+    limits = entropies.filter(F.col("letters") >= FEWEST).groupBy(F.col("lang_pred").alias("language")).agg(
         F.percentile("entropy", 0.999).alias("high")
     )
     for name, high in limits.collect():
