@@ -47,6 +47,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
+    return mix((sums[end] - sums[start]) * _power(_INVERSE, len(data) + 1)[start])
+
+
 @dataclass
 class Words:
     """Words in text order: the row each is in, its bytes' span, and its hash."""
@@ -70,9 +77,7 @@ def words(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = None,
     before = edges[edges > 0] - 1
     finish[before] = inside[before]
     start, end = np.flatnonzero(begin), np.flatnonzero(finish) + 1
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(((data if fold is None else fold[data]).astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
-    value = mix((sums[end] - sums[start]) * _power(_INVERSE, len(data) + 1)[start])
+    value = span_hashes(data if fold is None else fold[data], start, end)
     row = np.searchsorted(offsets, start, "right") - 1
     return Words(row, start, end, value, np.searchsorted(row, np.arange(len(offsets))))
 
