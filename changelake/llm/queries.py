@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, substring_dedup, token_counts, toxicity
+from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, site_tree, substring_dedup, token_counts, toxicity
 from changelake.llm.columns import table
 
 #: Tokens above which a text exceeds a model's context.
@@ -58,6 +58,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = fold_of(4) == 2
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
 }
