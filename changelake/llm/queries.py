@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, site_tree, substring_dedup, token_counts, toxicity
+from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, site_tree, substring_dedup, token_counts, toxicity, warc
 from changelake.llm.columns import table
 
 #: Tokens above which a text exceeds a model's context.
 TOKEN_LIMIT = 2048
+#: The pages' table has no dates; all count as taken then.
+TAKEN = "2024-01-01T00:00:00Z"
 
 
 def fold_of(parts: int) -> Column:
@@ -20,6 +22,10 @@ def fold_of(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.page_responses(table(spark, sf_dir, "pages"), TAKEN), "page_id")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = fold_of(5) == 0
@@ -76,6 +82,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
