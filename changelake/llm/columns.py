@@ -52,3 +52,21 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def text_hash(text: str = "text") -> Column:
+    """With an id, tells rows apart that share it."""
+    return F.xxhash64(F.col(text))
+
+
+def chosen(df: DataFrame, keys: DataFrame, id: str = "doc_id", text: str = "text", without: bool = False) -> DataFrame:
+    """Rows of `df`, all columns, whose id and text hash are among `keys` (`id`, `text_hash`), or `without` them.
+
+    Of rows alike in id and text, those that `keys` name stay once. Null ids match null ids.
+    """
+    rows = df.select(F.col(id).alias("_id"), text_hash(text).alias("_hash"), F.struct(*[df[name] for name in df.columns]).alias("_row"))
+    same = rows["_id"].eqNullSafe(keys["id"]) & (rows["_hash"] == keys["text_hash"])
+    rows = rows.join(keys.select("id", "text_hash"), same, "left_anti" if without else "left_semi")
+    if not without:
+        rows = rows.dropDuplicates(["_id", "_hash"])
+    return rows.select("_row.*")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm.bloom import bloom, maybe
-from changelake.llm.columns import chunks, stored
+from changelake.llm.columns import chunks, stored, text_hash
 from changelake.llm.words import CHUNK, LOWER, ngrams, span_hashes, words
 
 #: Template tokens of a window. Shorter items are one window each, down to the fewest tokens.
@@ -198,13 +198,13 @@ def matches(texts: DataFrame, items: DataFrame) -> DataFrame:
 
 def keyed(df: DataFrame, id: str, text: str) -> DataFrame:
     """id, hash of the text, and text; the hash tells rows of the same id apart."""
-    return df.select(F.col(id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    return df.select(F.col(id).cast("long").alias("id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
 
 
 def decontaminate(
     df: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """One row per row of `df`: id, `contaminated`, `items` (ids, ascending), `covered`, `exact`.
+    """One row per row of `df`: id, `contaminated`, `items` (ids, ascending), `covered`, `exact`, `text_hash`.
 
     A document is contaminated if it covers 13 template tokens of an item on one diagonal,
     or four fifths of an item shorter than that, with consistent slots. Items of fewer
@@ -224,5 +224,6 @@ def decontaminate(
         F.coalesce(found["items"], F.array().cast("array<long>")).alias("items"),
         F.coalesce(found["covered"], F.lit(0)).alias("covered"),
         F.coalesce(found["exact"], F.lit(False)).alias("exact"),
+        rows["text_hash"],
     )
     return rows

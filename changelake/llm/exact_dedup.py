@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.llm.columns import bytes_of, stored, text_or_empty
+from changelake.llm.columns import bytes_of, stored, text_hash, text_or_empty
 
 #: Bytes of text that one table holds.
 MEMORY = 24 << 20
@@ -79,7 +79,7 @@ def normalized(text: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(text), r"[\x20\x09-\x0D]+", " ")
 
 
-_SPILLED = "id long, row long, pointer long, sha string, first long, first_row long, copies long, hash long, content binary"
+_SPILLED = "id long, row long, pointer long, text_hash long, sha string, first long, first_row long, copies long, hash long, content binary"
 
 
 def _collapsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +88,7 @@ def _collapsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     entries: list[list[int]] = []
     for batch in batches:
         ids, rows, values = (batch.column(place).to_pylist() for place in range(3))
-        data, offsets = bytes_of(batch.column(4))
+        data, offsets = bytes_of(batch.column(5))
         raw = data.tobytes()
         pointers = []
         for place, (id, row, value) in enumerate(zip(ids, rows, values)):
@@ -105,7 +105,7 @@ def _collapsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _texts(table, entries)
                 table.clear()
                 entries = []
-        yield _spilled(len(ids), id=ids, row=rows, pointer=pointers, sha=batch.column(3).to_pylist())
+        yield _spilled(len(ids), id=ids, row=rows, pointer=pointers, text_hash=batch.column(3), sha=batch.column(4))
     if entries:
         yield _texts(table, entries)
 
@@ -120,10 +120,10 @@ def _texts(table: ContentTable, entries: list[list[int]]) -> pa.RecordBatch:
 def _spilled(size: int, **columns: Iterable) -> pa.RecordBatch:
     kinds = {"sha": pa.string(), "content": pa.binary()}
     names = [part.split()[0] for part in _SPILLED.split(", ")]
-    arrays = [
-        pa.array(columns[name], kinds.get(name, pa.int64())) if name in columns else pa.nulls(size, kinds.get(name, pa.int64()))
-        for name in names
-    ]
+    arrays = []
+    for name in names:
+        column, kind = columns.get(name), kinds.get(name, pa.int64())
+        arrays.append(pa.nulls(size, kind) if column is None else column if isinstance(column, pa.Array) else pa.array(column, kind))
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
@@ -178,16 +178,21 @@ def _groups(waiting: list[tuple[int, int]], groups: list[list[int]]) -> Iterator
 
 
 def deduplicate(df: DataFrame, id: str = "doc_id", text: str = "text", memory: int = MEMORY) -> DataFrame:
-    """One row per row of `df`: id, `keep_id`, `group_size`, `kept`, `text_sha256`.
+    """One row per row of `df`: id, `keep_id`, `group_size`, `kept`, `text_sha256`, `text_hash`.
 
     Texts are equal if they are so after each run of ASCII white space has become one
     space; a null is an empty text. Of each group the row with the smallest id is kept;
     a null id comes last, and of rows with the same id one is kept. Other columns are not
     read. An empty table gives an empty result.
     """
-    rows = df.select(F.col(id).cast("long").alias("id"), normalized(text).alias("content"))
+    rows = df.select(F.col(id).cast("long").alias("id"), text_hash(text).alias("text_hash"), normalized(text).alias("content"))
     rows = rows.select(
-        "id", F.monotonically_increasing_id().alias("row"), F.xxhash64("content").alias("hash"), F.sha2("content", 256).alias("sha"), "content"
+        "id",
+        F.monotonically_increasing_id().alias("row"),
+        F.xxhash64("content").alias("hash"),
+        "text_hash",
+        F.sha2("content", 256).alias("sha"),
+        "content",
     )
     spilled = stored(rows.mapInArrow(_collapsed, _SPILLED), "spilled")
     texts = spilled.filter(F.col("content").isNotNull()).select("pointer", "first", "first_row", "copies", "hash", "content")
@@ -195,11 +200,12 @@ def deduplicate(df: DataFrame, id: str = "doc_id", text: str = "text", memory: i
     groups = texts.select("bits", "prefix", "hash", "pointer", "first", "first_row", "copies", "content").mapInArrow(
         _compared, "pointer long, keep_id long, keep_row long, group_size long"
     )
-    pointers = spilled.filter(F.col("row").isNotNull()).select("id", "row", "pointer", "sha")
+    pointers = spilled.filter(F.col("row").isNotNull()).select("id", "row", "pointer", "text_hash", "sha")
     return pointers.join(groups, "pointer").select(
         F.col("id").cast(df.schema[id].dataType).alias(id),
         F.col("keep_id").cast(df.schema[id].dataType).alias("keep_id"),
         "group_size",
         (F.col("row") == F.col("keep_row")).alias("kept"),
         F.col("sha").alias("text_sha256"),
+        "text_hash",
     )

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm.bloom import bloom, maybe
-from changelake.llm.columns import chunks, stored
+from changelake.llm.columns import chunks, stored, text_hash
 from changelake.llm.components import components
 from changelake.llm.words import CHUNK, LOWER, mix, ngrams, words
 
@@ -118,7 +118,7 @@ def frequencies(texts: DataFrame, size: int, bits: int) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """id, `n`, `set`, and the prefix of each set that a task meets first."""
+    """id, text hash, `n`, `set`, and the prefix of each set that a task meets first."""
     bits = len(counts).bit_length() - 1
     held = texts.sparkSession.sparkContext.broadcast(counts)
 
@@ -138,10 +138,12 @@ def _prefixes(texts: DataFrame, counts: np.ndarray, size: int, percent: int) ->
                 # Equal counts stay in the order of the hashes: one order for all sets.
                 order = np.argsort(held.value[shingles >> np.uint64(64 - bits)], kind="stable")
                 prefixes.append(shingles[order[: len(shingles) - needed(len(shingles), percent) + 1]].view(np.int64))
-            arrays = [batch.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(keys, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(prefixes, pa.list_(pa.int64()))], ["id", "n", "set", "prefix"])
+            arrays = [batch.column(0), batch.column(1), pa.array(list(map(len, sets)), pa.int64()), pa.array(keys, pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [*arrays, pa.array(prefixes, pa.list_(pa.int64()))], ["id", "text_hash", "n", "set", "prefix"]
+            )
 
-    return texts.mapInArrow(run, "id long, n long, set binary, prefix array<long>")
+    return texts.mapInArrow(run, "id long, text_hash long, n long, set binary, prefix array<long>")
 
 
 def _shared_postings(sets: DataFrame) -> DataFrame:
@@ -337,17 +339,18 @@ def _links(blocks: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(
     df: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK
 ) -> DataFrame:
-    """One row per row of `df`: id, `n_shingles`, `component_id`.
+    """One row per row of `df`: id, `n_shingles`, `component_id`, `kept`, `text_hash`.
 
     Words are runs without ASCII white space, A-Z lower-cased; a set holds the distinct
     shingles of `size` words, or the whole sequence if it is shorter. Sets link if 100
     times the intersection is at least `percent` times the union. `component_id` is the
-    smallest id that links lead to. A text without words, or null, has an empty set and
-    links with nothing. A null id doesn't count as smallest unless there is no other;
+    smallest id that links lead to; of each class its row is kept, of several with that id
+    the one with the smallest text hash. A text without words, or null, has an empty set,
+    links with nothing and is kept. A null id doesn't count as smallest unless there is no other;
     repeated ids are rows of their own. Other columns are not read.
     """
     kind = df.schema[id].dataType
-    texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = df.select(F.col(id).cast("long").alias("id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
     number = max(1, texts.count())
     counts = frequencies(texts, size, min(SKETCH_BITS, max(12, math.ceil(math.log2(4 * number)))))
     sets = stored(_prefixes(texts, counts, size, percent), "sets")
@@ -356,12 +359,19 @@ def jaccard_components(
     full = _full_sets(texts, members, size)
     links = _links(full.join(_blocks(members, percent, block), "set"), percent)
     linked = components(links).select(F.col("node").alias("set"), "component")
-    by_set = sets.filter("n > 0").groupBy("set").agg(F.min("id").alias("least"))
+    rank = F.struct(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), "text_hash")
+    by_set = sets.filter("n > 0").groupBy("set").agg(F.min(rank).alias("least"))
     by_set = by_set.join(linked, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    classes = by_set.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = by_set.join(classes, "component").select("set", "component_id")
-    empty = sets.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    rows = sets.filter("n > 0").select("id", "n", "set").join(classes, "set").select("id", "n", "component_id")
-    return rows.unionByName(empty).select(
-        F.col("id").cast(kind).alias(id), F.col("n").alias("n_shingles"), F.col("component_id").cast(kind).alias("component_id")
+    classes = by_set.groupBy("component").agg(F.min("least").alias("first"))
+    classes = by_set.join(classes, "component").select("set", "first")
+    rows = sets.withColumn("rank", rank).select("id", "text_hash", "n", "set", "rank")
+    empty = rows.filter("n = 0").withColumn("first", F.col("rank")).drop("set")
+    rows = rows.filter("n > 0").join(classes, "set").drop("set").unionByName(empty)
+    component = F.when(F.col("first.id") < (1 << 63) - 1, F.col("first.id"))
+    return rows.select(
+        F.col("id").cast(kind).alias(id),
+        F.col("n").alias("n_shingles"),
+        component.cast(kind).alias("component_id"),
+        (F.col("rank") == F.col("first")).alias("kept"),
+        "text_hash",
     )

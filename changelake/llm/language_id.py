@@ -15,6 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -261,19 +262,40 @@ def identify(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
         for batch in batches:
-            start = 0
-            sizes = np.cumsum([len(value or "") for value in batch.column(1).to_pylist()])
-            while start < batch.num_rows:
-                done = sizes[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(sizes, done + CHUNK, "right")))
+            for start, end in _cuts(batch.column(1)):
                 yield _scored(known, batch.slice(start, end - start))
-                start = end
 
     kind = df.schema[id].dataType.simpleString()
     schema = f"id {kind}, lang_pred string, score double, entropy double, letters long, rejected boolean"
     return df.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id)
 
 
+def accepted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of `df`, all columns, whose texts `identify` does not reject. No shuffle."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+    place = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end in _cuts(batch.column(place)):
+                part = batch.slice(start, end - start)
+                texts = pa.RecordBatch.from_arrays([part.column(place)] * 2, ["id", "text"])
+                yield part.filter(pc.invert(_scored(held.value, texts).column("rejected")))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about `CHUNK` characters at most, or one longer row."""
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        done = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, done + CHUNK, "right")))
+        yield start, end
+        start = end
+
+
 def _scored(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = batch.column(1).to_pylist()
     if not model.languages:

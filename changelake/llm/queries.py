@@ -36,15 +36,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    found = exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm.bloom import bloom, maybe
-from changelake.llm.columns import bytes_of, chunks, stored
+from changelake.llm.columns import bytes_of, chunks, stored, text_hash
 from changelake.llm.words import CHUNK, Words, mix, ngrams, words
 
 #: Words of a window and of a prefix inside it.
@@ -249,7 +249,7 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", size:
     take nothing from one another. Other columns are not read.
     """
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    texts = texts.select("id", F.xxhash64("text").alias("text_hash"), "text")
+    texts = texts.select("id", text_hash().alias("text_hash"), "text")
     windows = repeated_windows(texts, size, common=common)
     windows = windows.groupBy("id", "text_hash").agg(F.collect_set("window").alias("windows"))
     rows = texts.join(windows, ["id", "text_hash"], "left").select("id", "windows", "text")
