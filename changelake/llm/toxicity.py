@@ -31,8 +31,8 @@ FACTORS = 8
 FEWEST = 5
 #: Chi-squared statistic below which a bucket isn't considered: odds of 0.001 by chance.
 LEAST_CHI = 10.83
-#: Steps of the fit: passes over the sample, rows of a step, rate, and decay of weights and vectors.
-EPOCHS = 25
+#: The fit: steps, rows of a step, rate, and decay of weights and vectors.
+STEPS = 2000
 STEP = 256
 RATE = 0.02
 DECAY = 1e-4
@@ -70,12 +70,12 @@ def fit(inputs: np.ndarray, row: np.ndarray, input_: np.ndarray, labels: np.ndar
     clipped = np.clip(positive, 1e-3, 1 - 1e-3)
     state = [np.array([np.log(clipped / (1 - clipped))]), np.zeros(number), draw.normal(0, 0.01, (number, FACTORS))]
     machine = lambda: Machine(inputs, float(state[0][0]), state[1], state[2])
-    if not 0 < positive < 1:
+    if not len(labels) or not 0 < positive < 1:
         return machine()
     first = np.searchsorted(row, np.arange(len(labels) + 1))
     means, squares = [np.zeros_like(p) for p in state], [np.zeros_like(p) for p in state]
     step = 0
-    for _ in range(EPOCHS):
+    while step < STEPS:
         order = draw.permutation(len(labels))
         for start in range(0, len(order), STEP):
             chosen = order[start : start + STEP]
