@@ -8,11 +8,12 @@ leaves in several documents is a repeated passage.
    neighbouring windows. Prefixes are counted by document; a filter of bounded size holds
    those that several documents have.
 2. Rows of these prefixes are read again with the words around them. Prefixes split the
-   suffixes into groups: a common prefix is made longer, up to the whole window, whose rows
-   are reduced to the least document before and after a shuffle.
+   suffixes into groups; the group of a common prefix is dealt out to several tasks.
 3. A task sorts the suffixes of its groups, which gives each group's subtree: neighbours
    that agree in `size` words hang below one deep node. Windows of a node are removed from
    all documents but its first.
+4. For a common prefix, what is left of each task's part, one document for each window, is
+   grouped again by a longer prefix: the whole window.
 
 Words are compared by 64-bit hashes, whole windows of common prefixes by 128 bits.
 """
@@ -33,8 +34,9 @@ from changelake.llm.words import CHUNK, Words, mix, ngrams, words
 #: Words of a window and of a prefix inside it.
 SIZE = 13
 PREFIX = 6
-#: Rows of a prefix above which it is made as long as the window.
+#: Rows of a prefix above which its group is dealt out, and to how many tasks.
 COMMON = 1000
+PARTS = 64
 #: Rows of prefixes whose subtrees are built together.
 GROUP = 40_000
 
@@ -140,84 +142,94 @@ def subtree_repeats(suffixes: np.ndarray, groups: list[np.ndarray], documents: n
     return out
 
 
-_FOUND = "id long, text_hash long, window int, one long, two long"
+_FOUND = "id long, text_hash long, window int, windows int, one long, two long"
 
 
-def _searched(size: int):
-    """Removed windows of rare prefixes' rows, and all windows, with their hashes, of common ones."""
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """Rows come in the order of their prefixes; a piece ends where a prefix does."""
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(part.num_rows for part in held) < GROUP:
-                continue
-            together = pa.Table.from_batches(held)
-            prefixes = together.column("prefix").to_numpy()
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows come in the order of their prefixes; a piece ends where a prefix does, or anywhere in a common one."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(part.num_rows for part in held) < GROUP:
+            continue
+        together = pa.Table.from_batches(held)
+        prefixes = together.column("prefix").to_numpy()
+        if together.column("common")[-1].as_py():
+            end = len(prefixes)
+        else:
             ends = np.flatnonzero(prefixes != prefixes[-1])
             end = int(ends[-1]) + 1 if len(ends) else 0
-            if end:
-                yield together.slice(0, end)
-            held = together.slice(end).to_batches()
-        if sum(part.num_rows for part in held):
-            yield pa.Table.from_batches(held)
+        if end:
+            yield together.slice(0, end)
+        held = together.slice(end).to_batches()
+    if sum(part.num_rows for part in held):
+        yield pa.Table.from_batches(held)
+
+
+def _searched(size: int):
+    """Runs of removed windows, and the windows of common prefixes that are left, with their hashes."""
+    names = [part.split()[0] for part in _FOUND.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in _pieces(batches):
             piece = piece.combine_chunks()
             data, offsets = bytes_of(piece.column("context").chunk(0))
             found = words(data, offsets)
-            number, anchor = (piece.column(name).to_numpy() for name in ("windows", "anchor"))
+            number, anchor, first = (piece.column(name).to_numpy() for name in ("windows", "anchor", "first"))
+            ids, hashes = (piece.column(name).to_numpy() for name in ("id", "text_hash"))
             row = np.repeat(np.arange(piece.num_rows), number)
             nth = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
             start = found.first[row] + nth
-            id, hash_, first = (piece.column(name).to_numpy()[row] for name in ("id", "text_hash", "first"))
-            common = piece.column("common").to_numpy()[row]
-            window = first + nth.astype(np.int32)
-            rare = np.flatnonzero(~common)
-            suffixes = found.hash[start[rare][:, None] + np.arange(size)]
-            groups = [(anchor[row] - nth)[rare], piece.column("prefix").to_numpy()[row[rare]]]
-            removed = rare[subtree_repeats(suffixes, groups, id[rare]) < id[rare]]
-            none = pa.nulls(len(removed), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(v[removed]) for v in (id, hash_, window)] + [none, none], names)
-            common = np.flatnonzero(common)
-            if len(common):
-                one, two = ngrams(found.hash, size)[start[common]], mix(ngrams(mix(found.hash), size))[start[common]]
-                arrays = [pa.array(v[common]) for v in (id, hash_, window)]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], names)
+            suffixes = found.hash[start[:, None] + np.arange(size)]
+            groups = [anchor[row] - nth, piece.column("prefix").to_numpy()[row]]
+            removed = subtree_repeats(suffixes, groups, ids[row]) < ids[row]
+            # Neighbouring removed windows of a row are one run.
+            begins = removed.copy()
+            begins[1:] &= ~(removed[:-1] & (row[1:] == row[:-1]))
+            begin = np.flatnonzero(begins)
+            counts = np.diff(np.append(np.cumsum(removed)[begin] - 1, removed.sum()))
+            of = row[begin]
+            arrays = [pa.array(v) for v in (ids[of], hashes[of], (first[of] + nth[begin]).astype(np.int32), counts.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*arrays, *[pa.nulls(len(of), pa.int64())] * 2], names)
+            left = np.flatnonzero(piece.column("common").to_numpy()[row] & ~removed)
+            if len(left):
+                of = row[left]
+                one, two = ngrams(found.hash, size)[start[left]], mix(ngrams(mix(found.hash), size))[start[left]]
+                window, ones = (first[of] + nth[left]).astype(np.int32), np.ones(len(left), np.int32)
+                arrays = [pa.array(v) for v in (ids[of], hashes[of], window, ones, one.view(np.int64), two.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
-    names = [part.split()[0] for part in _FOUND.split(", ")]
     return run
 
 
 def repeated_windows(texts: DataFrame, size: int = SIZE, prefix: int = PREFIX, common: int = COMMON) -> DataFrame:
-    """`id`, `text_hash`, `window` of each window whose words also start in a document of smaller id.
+    """`id`, `text_hash`, `window`, `windows`: runs of windows whose words also start in a document of smaller id.
 
     `texts` has id, text_hash and text; rows without id take no part.
     """
     texts = texts.filter(F.col("id").isNotNull())
     rows = _candidates(texts, _counted(texts, size, prefix), size, prefix, common)
-    salt = F.when(F.col("common"), F.pmod(F.xxhash64("id"), F.lit(256))).otherwise(0)
-    rows = rows.withColumn("salt", salt).repartition("prefix", "salt").sortWithinPartitions("prefix").drop("salt")
+    part = F.when(F.col("common"), F.pmod(F.xxhash64("id"), F.lit(PARTS))).otherwise(0)
+    rows = rows.withColumn("part", part).repartition("prefix", "part").sortWithinPartitions("prefix").drop("part")
     found = stored(rows.mapInArrow(_searched(size), _FOUND), "windows")
-    whole = found.filter(F.col("one").isNotNull())
-    least = whole.groupBy("one", "two").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
-    again = whole.join(least, ["one", "two"]).filter("id > least")
-    return found.filter(F.col("one").isNull()).select("id", "text_hash", "window").unionByName(again.select("id", "text_hash", "window"))
+    left = found.filter(F.col("one").isNotNull())
+    least = left.groupBy("one", "two").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
+    again = left.join(least, ["one", "two"]).filter("id > least")
+    run = ["id", "text_hash", "window", "windows"]
+    return found.filter(F.col("one").isNull()).select(run).unionByName(again.select(run))
 
 
 def _without(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in chunks(batches, "text", CHUNK):
             found = words(data, offsets)
-            lists = batch.column("windows")
-            windows = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            lists = batch.column("runs")
+            window, windows = (lists.flatten().field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("window", "windows"))
             row = np.repeat(np.arange(batch.num_rows), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
             covered = np.zeros(len(found.hash) + 1, np.int64)
-            begin = found.first[row] + windows
+            begin = found.first[row] + window
             np.add.at(covered, begin, 1)
-            np.add.at(covered, begin + size, -1)
+            np.add.at(covered, begin + windows + size - 1, -1)
             kept = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
             # Each kept word takes the white space after it along, but for its row's last.
             more = np.append(found.row[kept][1:] == found.row[kept][:-1], False) if len(kept) else np.zeros(0, bool)
@@ -250,8 +262,8 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", size:
     """
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     texts = texts.select("id", text_hash().alias("text_hash"), "text")
-    windows = repeated_windows(texts, size, common=common)
-    windows = windows.groupBy("id", "text_hash").agg(F.collect_set("window").alias("windows"))
-    rows = texts.join(windows, ["id", "text_hash"], "left").select("id", "windows", "text")
+    runs = repeated_windows(texts, size, common=common)
+    runs = runs.groupBy("id", "text_hash").agg(F.collect_list(F.struct("window", "windows")).alias("runs"))
+    rows = texts.join(runs, ["id", "text_hash"], "left").select("id", "runs", "text")
     out = rows.mapInArrow(_without(size), "id long, n_words long, n_removed long, kept binary")
     return out.withColumn("id", F.col("id").cast(df.schema[id].dataType)).withColumnRenamed("id", id)
