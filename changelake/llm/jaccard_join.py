@@ -5,10 +5,13 @@ it occurs T times on the inverted lists of the set's shingles. Leaving out the T
 frequent shingles, it still occurs once on the others: on these, the prefix, candidates
 are found.
 
-1. A sketch of fixed size counts how many documents have each shingle. Any order of all
-   shingles gives the same result; this one puts the rare ones first.
-2. Sets that are equal are one. Prefix shingles that two sets share put these sets in one
-   candidate group; all links lie within groups.
+1. Equal sets are one. Of all sets, the shingles in a fixed part of the hash space are
+   grouped; a set that has more than n - T of them to itself can link with none and is
+   out. Unlike a prefix of each set, that part is the same for all, so "to itself" holds.
+2. For the sets left, a sketch of fixed size counts the documents of each shingle. Any
+   order of all shingles gives the same result; this one puts the rare ones first.
+   Prefix shingles that two sets share put these sets in one candidate group; all links
+   lie within groups.
 3. A group is cut by size classes, of which only neighbours can link, and by hash into
    blocks of bounded size; each pair of blocks is one task's work. Small groups are one block.
 4. Within a pair of blocks each set is a query on the inverted lists of the others. By
@@ -40,10 +43,14 @@ from changelake.llm.words import CHUNK, LOWER, mix, ngrams, words
 #: Words of a shingle, and the similarity that links, in hundredths.
 SHINGLE = 4
 PERCENT = 85
+#: The part of the hash space in which shingles are grouped, of 256.
+PART = 80
 #: Shingles of a block.
 BLOCK = 1 << 20
 #: Largest sketch: 2^24 counters of 4 bytes.
 SKETCH_BITS = 24
+#: Sets handled together.
+ROWS = 256
 #: Sets remembered by a task so as not to send copies twice; beyond, some are sent again.
 SEEN = 200_000
 #: The share of the occurrences asked for that DivideSkip leaves to the long lists falls
@@ -88,14 +95,16 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def frequencies(texts: DataFrame, size: int, bits: int) -> np.ndarray:
-    """Documents by the leading bits of a shingle's hash: `2^bits` counters."""
+def frequencies(sets: DataFrame, bits: int) -> np.ndarray:
+    """Sets by the leading bits of a shingle's hash: `2^bits` counters."""
     parts = min(1 << bits, 64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.int64)
-        for _, sets in shingle_sets(batches, size):
-            total += np.bincount((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                raw = b"".join(batch.column(0).slice(start, ROWS).to_pylist())
+                total += np.bincount((np.frombuffer(raw, np.uint64) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         if total.any():
             slices = [part.astype("<u4").tobytes() for part in np.split(total, parts)]
             yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(slices, pa.binary())], ["part", "counts"])
@@ -109,7 +118,7 @@ def frequencies(texts: DataFrame, size: int, bits: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([capped], pa.binary())], ["part", "counts"])
 
     schema = "part int, counts binary"
-    rows = texts.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+    rows = sets.select("shingles").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
     out = np.zeros(1 << bits, np.uint32)
     for part, counts in rows:
         step = (1 << bits) // parts
@@ -117,55 +126,62 @@ def frequencies(texts: DataFrame, size: int, bits: int) -> np.ndarray:
     return out
 
 
-def _prefixes(texts: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """id, text hash, `n`, `set`, and the prefix of each set that a task meets first."""
-    bits = len(counts).bit_length() - 1
-    held = texts.sparkSession.sparkContext.broadcast(counts)
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """id, text hash, `n`, `set`, and of each set that a task meets first the shingles in `PART`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch, sets in shingle_sets(batches, size):
-            keys, prefixes = [], []
-            for shingles in sets:
-                key = _key(shingles)
-                keys.append(key)
-                if key in seen or not len(shingles):
-                    prefixes.append(None)
-                    continue
+            keys, parts = [_key(shingles) for shingles in sets], []
+            for key, shingles in zip(keys, sets):
+                # Shingles are sorted, so the part is where they begin.
+                parts.append(None if key in seen else shingles[: np.searchsorted(shingles, np.uint64(PART << 56))].view(np.int64))
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(key)
-                # Equal counts stay in the order of the hashes: one order for all sets.
-                order = np.argsort(held.value[shingles >> np.uint64(64 - bits)], kind="stable")
-                prefixes.append(shingles[order[: len(shingles) - needed(len(shingles), percent) + 1]].view(np.int64))
             arrays = [batch.column(0), batch.column(1), pa.array(list(map(len, sets)), pa.int64()), pa.array(keys, pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(prefixes, pa.list_(pa.int64()))], ["id", "text_hash", "n", "set", "prefix"]
-            )
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(parts, pa.list_(pa.int64()))], ["id", "text_hash", "n", "set", "part"])
 
-    return texts.mapInArrow(run, "id long, text_hash long, n long, set binary, prefix array<long>")
+    return texts.mapInArrow(run, "id long, text_hash long, n long, set binary, part array<long>")
 
 
-def _shared_postings(sets: DataFrame) -> DataFrame:
-    """`token`, `set`, `n`: the prefix shingles that two sets or more have."""
-    exploded = sets.select(F.explode("prefix").alias("token"), F.xxhash64("set").alias("h"))
-    shared = exploded.groupBy("token").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low <> high")
-    shared = stored(shared.select("token"), "shared")
-    held = sets.sparkSession.sparkContext.broadcast(bloom(shared))
+def _linkable(sets: DataFrame, percent: int) -> DataFrame:
+    """`set` of those that have no more than n - T shingles to themselves, as far as `PART` shows."""
+    spread = sets.select(F.xxhash64("set").alias("h"), F.explode("part").alias("token")).repartition("token")
+    alone = spread.groupBy("token").agg(F.min("h").alias("h"), F.max("h").alias("high")).filter("h = high")
+    alone = alone.groupBy("h").agg(F.count("token").alias("alone"))
+    distinct = sets.filter("n > 0").select("set", "n").distinct()
+    known = distinct.join(alone, F.xxhash64("set") == F.col("h"), "left")
+    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    return known.filter(F.coalesce("alone", F.lit(0)) <= spare).select("set")
+
+
+def _prefixes(full: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """`set`, `n` and `prefix` of all sets."""
+    bits = len(counts).bit_length() - 1
+    held = full.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("prefix")
-            tokens = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            row = lists.value_parent_indices().to_numpy(zero_copy_only=False) if len(lists) else np.zeros(0, int)
-            found = np.flatnonzero(maybe(held.value, tokens))
-            kept = pa.array(row[found], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[found].view(np.int64)), batch.column("set").take(kept), batch.column("n").take(kept)], ["token", "set", "n"]
-            )
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                sets = [np.frombuffer(raw, np.uint64) for raw in part.column(1).to_pylist()]
+                prefixes = []
+                for shingles in sets:
+                    # Equal counts stay in the order of the hashes: one order for all sets.
+                    order = np.argsort(held.value[shingles >> np.uint64(64 - bits)], kind="stable")
+                    prefixes.append(shingles[order[: len(shingles) - needed(len(shingles), percent) + 1]].view(np.int64))
+                arrays = [part.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["set", "n", "prefix"])
 
-    lists = sets.filter(F.col("prefix").isNotNull()).select("set", "n", "prefix")
-    return lists.mapInArrow(run, "token long, set binary, n long").join(shared, "token").distinct()
+    return full.select("set", "shingles").mapInArrow(run, "set binary, n long, prefix array<long>")
+
+
+def _shared_postings(prefixes: DataFrame) -> DataFrame:
+    """`token`, `set`, `n`: the prefix shingles that two sets or more have."""
+    postings = prefixes.select(F.explode("prefix").alias("token"), "set", "n")
+    shared = postings.groupBy("token").agg(F.count("set").alias("sets")).filter("sets > 1").select("token")
+    return postings.join(shared, "token")
 
 
 def _groups(postings: DataFrame) -> DataFrame:
@@ -209,9 +225,8 @@ def _blocks(members: DataFrame, percent: int, block: int) -> DataFrame:
     return small.unionByName(large)
 
 
-def _full_sets(texts: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """`set` and its `shingles` for all members, each set once."""
-    wanted = members.select("set").distinct()
+def _full_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """`set` and its `shingles` for all those wanted, each set once."""
     held = texts.sparkSession.sparkContext.broadcast(bloom(wanted.select(_half("set"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,12 +366,13 @@ def jaccard_components(
     """
     kind = df.schema[id].dataType
     texts = df.select(F.col(id).cast("long").alias("id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
-    number = max(1, texts.count())
-    counts = frequencies(texts, size, min(SKETCH_BITS, max(12, math.ceil(math.log2(4 * number)))))
-    sets = stored(_prefixes(texts, counts, size, percent), "sets")
-    postings = stored(_shared_postings(sets), "postings")
+    sets = stored(_sets(texts, size), "sets")
+    wanted = stored(_linkable(sets, percent), "linkable")
+    full = stored(_full_sets(texts, wanted, size), "full")
+    number = max(1, wanted.count())
+    counts = frequencies(full, min(SKETCH_BITS, max(12, math.ceil(math.log2(16 * number)))))
+    postings = stored(_shared_postings(_prefixes(full, counts, percent)), "postings")
     members = stored(_groups(postings), "members")
-    full = _full_sets(texts, members, size)
     links = _links(full.join(_blocks(members, percent, block), "set"), percent)
     linked = components(links).select(F.col("node").alias("set"), "component")
     rank = F.struct(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), "text_hash")
