@@ -179,8 +179,12 @@ def kneser_ney(counted: dict[str, tuple[np.ndarray, np.ndarray]], order: int = O
         lower_hash, lower = joint_hash, logs
         grams.append((joint_hash, np.log(logs).astype(np.float32)))
         contexts.append((context_hash, np.log(weights).astype(np.float32)))
-    ceiling = np.full(len(languages), np.log(len(letters) + 1))
-    return Model(languages, grams, contexts, unseen.astype(np.float32), ceiling)
+    model = Model(languages, grams, contexts, unseen.astype(np.float32), np.zeros(len(languages)))
+    # Letters thrown at random in words of five set the limit until it is calibrated.
+    known = [chr(code) for code in letters[:, 0].tolist() if code] or ["?"]
+    thrown = np.random.default_rng(5).integers(0, len(known), (2000, 5))
+    model.limits = model.entropies([" ".join("".join(known[place] for place in word) for word in thrown.tolist())])[0][0]
+    return model
 
 
 def _row_hashes(codes: np.ndarray) -> np.ndarray:
