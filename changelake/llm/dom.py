@@ -69,6 +69,9 @@ class _Reader(HTMLParser):
             self.open.pop()
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in ("p", "br") and all(node.tag != tag for node in self.open):
+            # These two make an empty element where none is open.
+            self.handle_starttag(tag, [])
         self._close((tag,), ())
 
     def handle_data(self, data: str) -> None:

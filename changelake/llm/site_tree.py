@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from changelake.llm.columns import stored
 from changelake.llm.dom import Node, blocks, parse
 
-#: Weight of the children against the node's own presentation.
+#: Weight of a node's texts against its presentation.
 DAMPING = 0.9
 #: Pages of a host that weigh as much as the tree of all hosts.
 BORROWED = 20
@@ -104,42 +104,28 @@ class Tree:
         return _hash(kinds)
 
     def text(self, importance: dict[int, tuple[float, float]]) -> str:
-        """Blocks of the branches that are important enough, joined by line breaks."""
-        texts: dict[int, list[str]] = {}
-        for block, text in blocks(self.root):
-            texts.setdefault(id(block), []).append(text)
-        learned: dict[int, float] = {}
+        """Texts of the branches that are important enough, joined by line breaks.
+
+        A branch goes as a whole if nothing in it is important.
+        """
+        own = {id(block) for block, _ in blocks(self.root)}
+        best: dict[int, float] = {}
+        score: dict[int, float] = {}
         for node in reversed(self.order):
-            presentation, content = importance.get(self.path[id(node)], (1.0, 1.0))
-            below = [learned[id(child)] for child in node.children if isinstance(child, Node) and id(child) in learned]
-            if own := len(texts.get(id(node), ())):
-                below += [content] * own
+            below = [best[id(child)] for child in node.children if isinstance(child, Node) and id(child) in best]
+            if id(node) in own:
+                presentation, content = importance.get(self.path[id(node)], (1.0, 1.0))
+                known = 1.0 if id(node) in self.main else 0.5 if not self.has_main else -0.25
+                score[id(node)] = ((1 - DAMPING) * presentation + DAMPING * content + known) / 2
+                below.append(score[id(node)])
             if below:
-                learned[id(node)] = (1 - DAMPING) * presentation + DAMPING * sum(below) / len(below)
+                best[id(node)] = max(below)
 
         def keep(node: Node) -> bool:
-            if id(node) in self.never:
-                return False
-            if id(node) not in learned or self._holds_main(node):
-                return True
-            known = 1.0 if id(node) in self.main else 0.5 if not self.has_main else -0.25
-            return (learned[id(node)] + known) / 2 >= LEAST
-
-        return "\n".join(text for _, text in blocks(self.root, keep))
-
-    def _holds_main(self, node: Node) -> bool:
-        """Whether a main element is below the node and so has to be looked at by itself."""
-        if not self.has_main or id(node) in self.main:
-            return False
-        if not hasattr(self, "_above"):
-            self._above: set[int] = set()
-            for each in self.order:
-                if id(each) in self.main:
-                    parent = each.parent
-                    while parent is not None and id(parent) not in self._above:
-                        self._above.add(id(parent))
-                        parent = parent.parent
-        return id(node) in self._above
+            # What holds no block is part of the text around it.
+            return id(node) not in self.never and best.get(id(node), 1.0) >= LEAST
+
+        return "\n".join(text for block, text in blocks(self.root, keep) if score[id(block)] >= LEAST)
 
 
 def host_of(url: str) -> Column:
