@@ -97,7 +97,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 
+#: Words of all documents in order; lower-cased ASCII for the shingles.
+_WORDS = r"""
+    words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    )"""
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {
+    "op4_jaccard_join": f"""
+        WITH RECURSIVE {_WORDS.format(text=_LOWER)},
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+            FROM words
+        ),
+        shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+        several AS (SELECT shingle FROM shingles GROUP BY shingle HAVING count(*) > 1),
+        shared AS (SELECT doc_id, n, shingle FROM shingles SEMI JOIN several USING (shingle)),
+        links AS (
+            SELECT a.doc_id AS u, b.doc_id AS v
+            FROM shared a JOIN shared b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+                AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION
+            SELECT doc_id, v FROM reached JOIN links ON other = u
+        )
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
+        FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+    """,
     "op5_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents
@@ -107,4 +140,24 @@ ORACLE: dict[str, str] = {
         FROM texts
         WINDOW same AS (PARTITION BY content)
     """,
+    "op7_substring_dedup": f"""
+        WITH {_WORDS.format(text="coalesce(text, '')")},
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS content
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)
+        ),
+        first AS (SELECT content, min(doc_id) AS least FROM windows GROUP BY content HAVING min(doc_id) < max(doc_id)),
+        gone AS (
+            SELECT DISTINCT doc_id, i + k AS place
+            FROM windows JOIN first USING (content), unnest(range(13)) AS t(k)
+            WHERE doc_id > least
+        ),
+        placed AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM words),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+            FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id)
+    """,
 }
