@@ -11,6 +11,14 @@ from pyspark.sql import types as T
 from changelake.functions.cleaners import strip
 
 
+#: Nulls are written, and times whole; by default JSON cuts them to milliseconds.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def normalize_table_name(table: Column) -> Column:
     """Last dotted part of a table name, stripped, in lower case."""
     return F.lower(strip(F.element_at(F.split(table, r"\."), -1)))
@@ -28,7 +36,7 @@ def row_id(columns: Iterable[str], key: str | None = None) -> Column:
     counts as missing.
     """
     whole = F.struct(*[F.col(c) for c in sorted(columns)])
-    digest = F.md5(F.to_json(whole, {"ignoreNullFields": "false"}))
+    digest = F.md5(F.to_json(whole, JSON_OPTIONS))
     if key is None:
         return digest
     text = F.col(key).cast("string")
@@ -36,7 +44,7 @@ def row_id(columns: Iterable[str], key: str | None = None) -> Column:
 
 
 def record_id(database: Column, table: Column, identity: Column) -> Column:
-    """Identity of a row across all databases and tables."""
+    """Database, table and row as one text; names that hold `_` can make two of them alike."""
     return F.concat_ws("_", database, table, identity)
 
 
@@ -49,7 +57,7 @@ def stringify(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
         if field.name in kept:
             return column
         if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            return F.to_json(column).alias(field.name)
+            return F.to_json(column, {**JSON_OPTIONS, "ignoreNullFields": "true"}).alias(field.name)
         return column.cast("string").alias(field.name)
 
     return df.select([as_text(f) for f in df.schema.fields])

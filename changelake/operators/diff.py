@@ -67,8 +67,12 @@ def snapshot_diff(
     null equals null. Both sides are shuffled once, on the row id, which also
     serves to reduce repeated ids.
     """
-    left = _flat(identified(prev, key, order, unique), "p_")
-    right = _flat(identified(cur, key, order, unique), "c_")
+    return _compared(identified(prev, key, order, unique), identified(cur, key, order, unique), prev, cur)
+
+
+def _compared(old: DataFrame, new: DataFrame, prev: DataFrame, cur: DataFrame) -> DataFrame:
+    """Changes between rows with distinct ids, in the columns of the snapshots."""
+    left, right = _flat(old, "p_"), _flat(new, "c_")
     operation = (
         F.when(F.col("p_present").isNull(), "INSERT")
         .when(F.col("c_present").isNull(), "DELETE")
@@ -92,30 +96,40 @@ def snapshot_diff(
     )
 
 
-def _digest(columns: Sequence[str]) -> list[Column]:
-    """Two independent 64-bit hashes of a row that tell null from absent text."""
+_HASHES = ("_hash1", "_hash2")
+
+
+def _digest(df: DataFrame, columns: Sequence[str], names: Sequence[str] = _HASHES) -> DataFrame:
+    """Add two independent 64-bit hashes of `columns`, which tell null from absent text."""
     flags = [F.col(c).isNull() for c in columns]
     values = [F.col(c) for c in columns]
-    return [
-        F.xxhash64(F.lit(seed), *values, *flags).alias(f"_hash{seed}") for seed in (1, 2)
-    ]
+    return df.withColumns({name: F.xxhash64(F.lit(seed), *values, *flags) for seed, name in enumerate(names, start=1)})
 
 
 def snapshot_diff_narrow(
-    prev: DataFrame, cur: DataFrame, key: str, folder: str, order: Sequence[str] = ()
+    prev: DataFrame, cur: DataFrame, key: str, folder: str, order: Sequence[str] = (), unique: bool = False
 ) -> DataFrame:
     """`snapshot_diff` for wide tables of which few rows change.
 
-    The first pass shuffles only row ids and 128 bits of hash, and stores the
-    ids that differ in `folder`. The full rows of those ids come from a second
-    scan. As the size of the stored ids is known, Spark broadcasts them while
-    they are few, and then shuffles no unchanged row; else it joins by shuffle.
+    The first pass shuffles only row ids, order columns and hashes, and stores the ids that
+    differ in `folder`. The full rows of those ids come from a second scan. As the size of
+    the stored ids is known, Spark broadcasts them while they are few, and then shuffles no
+    unchanged row; else it joins by shuffle.
+
+    Of rows with the same id, the greatest by `order` counts, then the one with the greatest
+    hash, in both passes. A change goes unseen if the old and new row agree in 128 bits of
+    hash, with odds of 2^-128 for a changed row.
     """
     common = _common(prev, cur)
+    same = ("_same1", "_same2")
+
+    def hashed(df: DataFrame) -> DataFrame:
+        return _digest(df.withColumn(ROW_ID, row_id(df.columns, key)), df.columns)
 
     def brief(df: DataFrame, side: str) -> DataFrame:
-        rows = identified(df, key, order)
-        return rows.select(ROW_ID, F.struct(*_digest(common)).alias(side))
+        rows = _digest(hashed(df), common, same).select(ROW_ID, *order, *_HASHES, *same)
+        rows = rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
+        return rows.select(ROW_ID, F.struct(*same).alias(side))
 
     brief(prev, "p").join(brief(cur, "c"), ROW_ID, "full_outer").filter(
         ~F.col("p").eqNullSafe(F.col("c"))
@@ -123,10 +137,11 @@ def snapshot_diff_narrow(
     changed = prev.sparkSession.read.parquet(folder)
 
     def only_changed(df: DataFrame) -> DataFrame:
-        rows = df.withColumn(ROW_ID, row_id(df.columns, key))
-        return rows.join(changed, ROW_ID, "left_semi").drop(ROW_ID)
+        rows = hashed(df).join(changed, ROW_ID, "left_semi")
+        rows = rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
+        return rows.drop(*_HASHES)
 
-    return snapshot_diff(only_changed(prev), only_changed(cur), key, order)
+    return _compared(only_changed(prev), only_changed(cur), prev, cur)
 
 
 def snapshot_inserts(

@@ -172,7 +172,17 @@ def added_table_columns(old: DataFrame, new: DataFrame) -> DataFrame:
     return new.join(added.select(F.col("table").alias("table_full")), "table_full", "left_semi")
 
 
-def schema_versions(events: DataFrame) -> DataFrame:
-    """Number of schema events per table under its present name."""
-    table = F.coalesce("new_table", "table")
-    return events.groupBy(table.alias("table")).agg(F.count("*").alias("version"))
+def schema_versions(events: DataFrame, earlier: DataFrame) -> DataFrame:
+    """`table, version` after the events of one poll, from those before it.
+
+    Adding a table counts one, and so does each column added, dropped or renamed. A dropped
+    table has no version any more; a renamed one takes its version along.
+    """
+    operation = F.col("operation")
+    dropped = events.filter(operation == "DROP_TABLE").select("table")
+    renamed = events.filter(operation == "RENAME_TABLE").select(F.col("old_table").alias("table"), "new_table")
+    kept = earlier.select("table", "version").join(dropped, "table", "left_anti").join(renamed, "table", "left")
+    counted = events.filter(operation.isin("ADD_TABLE", "ADD_COLUMN", "DROP_COLUMN", "RENAME_COLUMN"))
+    parts = kept.select(F.coalesce("new_table", "table").alias("table"), F.col("version").cast("bigint").alias("version"))
+    parts = parts.unionByName(counted.select("table", F.lit(1).cast("bigint").alias("version")))
+    return parts.groupBy("table").agg(F.sum("version").alias("version"))

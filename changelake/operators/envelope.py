@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.functions.cleaners import strip
-from changelake.functions.keys import normalize_database, normalize_table_name, record_id
+from changelake.functions.keys import JSON_OPTIONS, normalize_database, normalize_table_name, record_id
 
 # The operations of the two kinds of event.
 ROW_OPERATIONS = ("INSERT", "UPDATE", "DELETE")
@@ -30,7 +30,8 @@ SCHEMA_FIELDS = (
     "default",
 )
 _MALFORMED = "_malformed"
-_FIELDS = ("operation", "table", "database", "source", "timestamp", "data", "columns")
+ROW_ID_FIELD = "row_id"
+_FIELDS = ("operation", "table", "database", "source", "timestamp", ROW_ID_FIELD, "data", "columns")
 WIRE_SCHEMA = ", ".join(f"`{f}` string" for f in (*_FIELDS, *SCHEMA_FIELDS, _MALFORMED))
 
 
@@ -52,7 +53,7 @@ def build_envelope(
         F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.struct(*[F.col(c) for c in data]).alias("data"),
     )
-    return changes.withColumn("value", F.to_json(envelope, {"ignoreNullFields": "false"}))
+    return changes.withColumn("value", F.to_json(envelope, JSON_OPTIONS))
 
 
 def route(operation: Column) -> Column:
@@ -86,6 +87,7 @@ def _fault() -> Column:
         .when(no_table | half_rename, "no table")
         .when(no_column | half_column, "no column")
         .when((F.col("route") != "schema") & F.col("data").isNull(), "no data")
+        .when(F.size(F.array_distinct(F.map_keys("data"))) < F.size(F.map_keys("data")), "repeated name")
     )
 
 
@@ -116,6 +118,7 @@ def parse_envelope(raw: DataFrame, value: str = "value") -> DataFrame:
         normalize_table_name(F.col("_e.table")).alias("table"),
         F.col("_e.source").alias("source"),
         F.col("_e.timestamp").alias("timestamp"),
+        F.col(f"_e.{ROW_ID_FIELD}").alias(ROW_ID_FIELD),
         "data",
         F.col("_e.columns").alias("columns"),
         *[_schema_field(f) for f in SCHEMA_FIELDS],
@@ -142,13 +145,22 @@ def event_identity(data: Column, table_key: Column, key: str | Mapping[str, str]
         value = F.lit(None).cast("string")
         for name, column in key.items():
             value = F.when(table_key == name, data[column]).otherwise(value)
-    ordered = F.map_from_entries(F.array_sort(F.map_entries(data)))
-    return F.coalesce(F.when(strip(value) != "", value), F.md5(F.to_json(ordered)))
+    ordered = F.to_json(F.array_sort(F.map_entries(data)))
+    return F.coalesce(F.when(strip(value) != "", value), F.md5(ordered))
 
 
 def identify(events: DataFrame, key: str | Mapping[str, str]) -> DataFrame:
-    """Add `row_key`, and `record_id` that is unique across databases and tables."""
+    """Add `row_key`, and `record_id` as text for readers.
+
+    A message of a poll carries the id of its row, which stays the same however the key
+    is written or renamed, and whether the message has the whole row or not. Only a
+    message of another producer is identified by its data. `record_id` joins database,
+    table and `row_key` by `_`, which names may hold too: rows are told apart by
+    `table_key` and `row_key`.
+    """
     identity = event_identity(F.col("data"), F.col("table_key"), key)
+    if ROW_ID_FIELD in events.columns:
+        identity = F.coalesce(ROW_ID_FIELD, identity)
     return events.withColumn("row_key", identity).withColumn(
         "record_id", record_id(F.col("database"), F.col("table"), F.col("row_key"))
     )

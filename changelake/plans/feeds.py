@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.operators.envelope import build_envelope
+from changelake.operators.evolve import apply_schema_events
+from changelake.plans.poll import load_messages, row_messages
 from changelake.session import scratch_dir
 
 BATCH_ROWS = 1000
@@ -34,6 +36,51 @@ def line_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return before, lines.filter("l_returnflag <> 'R'")
 
 
+def wide_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Line items under a key, of which a seventh of those of one supplier in a hundred changed their price."""
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", F.date_format("l_shipdate", "yyyyMMdd"))
+    wide = table(spark, sf_dir, "lineitem").withColumn("line", line).withColumn("note", F.concat(F.lit("line "), line))
+    price = F.when((F.col("l_suppkey") % 100 == 0) & (F.col("l_orderkey") % 7 == 0), F.col("l_extendedprice") + 1)
+    return wide, wide.withColumn("l_extendedprice", F.coalesce(price, "l_extendedprice"))
+
+
+def event_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events keyed by their time, before errors left, purchases came in and clicks were revalued."""
+    events = table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    value = F.when(kind == "click", F.col("value") + 1).otherwise(F.col("value"))
+    return events.filter(kind != "purchase"), events.filter(kind != "error").withColumn("value", value)
+
+
+def part_keyed_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The snapshots of the orders, of which those of low priority have no key or a blank one."""
+    def keyed(orders: DataFrame) -> DataFrame:
+        key = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", " ").when(
+            F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey").cast("string")
+        )
+        return orders.withColumn("okey", key)
+
+    prev, cur = order_snapshots(spark, sf_dir)
+    return keyed(prev), keyed(cur)
+
+
+def key_rename_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages `seq, value`: the orders are loaded, their key gets another name, and a poll follows."""
+    prev, cur = order_snapshots(spark, sf_dir)
+    at = F.lit("2024-02-01 08:30:00").cast("timestamp_ntz")
+    renamed = {"operation": "RENAME_COLUMN", "table": "public.orders", "old_column": "o_orderkey", "new_column": "number"}
+    source = ("orders", "shop", "postgresql", at)
+    load = load_messages(prev, "o_orderkey", *source, unique=True)
+    polled = row_messages(
+        apply_schema_events(prev, [renamed]), cur.withColumnRenamed("o_orderkey", "number"), "number", *source, unique=True
+    )
+    event = {**renamed, "database": "shop", "source": "postgresql"}
+    schema = spark.range(1).select(F.to_json(F.struct(*[F.lit(v).alias(c) for c, v in event.items()])).alias("value"))
+    parts = ((load, 1), (schema, 2), (polled, 3))
+    rows = [df.select(F.lit(seq).cast("bigint").alias("seq"), "value") for df, seq in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as changes of a row per user, or per user and table."""
     kind = F.col("event_type")
@@ -97,19 +144,25 @@ def envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(full, kind).alias("event_type"),
         F.when(full, F.col("props")).alias("props"),
         ((kind == "click") & (value < 1)).alias("broken"),
+        ((kind == "click") & (value >= 1) & (value < 3)).alias("repeated"),
     )
 
 
 DATA = ["user_id", "cents", "event_type", "props"]
 
 
+def built_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with its envelope, `value`."""
+    parts = [F.col(c) for c in ("operation", "table", "database", "source", "ts")]
+    return build_envelope(envelope_rows(spark, sf_dir), DATA, *parts)
+
+
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelopes `seq, value` as they come off a topic; some are not JSON."""
-    rows = envelope_rows(spark, sf_dir)
-    built = build_envelope(
-        rows, DATA, *[F.col(c) for c in ("operation", "table", "database", "source", "ts")]
-    )
+    """Envelopes `seq, value` as they come off a topic; some are not JSON, some name a column twice."""
+    built = built_feed(spark, sf_dir)
     text = F.when(F.col("broken"), F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
+    twice = F.regexp_replace("value", r'"data":\{', '"data":{"user_id":0,')
+    text = F.when(~F.col("broken") & F.col("repeated"), twice).otherwise(text)
     return built.select("seq", text.alias("value"))
 
 
@@ -139,12 +192,12 @@ def evolving_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~renamed, F.col("cents")).alias("cents"),
         F.when(renamed, F.col("cents")).alias("amount"),
         F.when(~((k == "dbo.VISITS") & after_drop), F.col("event_type")).alias("event_type"),
+        "repeated",
     )
     data = F.struct("user_id", "cents", "amount", "event_type")
-    row_values = changed.select(
-        "seq",
-        F.to_json(F.struct("operation", "table", "database", "source", data.alias("data"))).alias("value"),
-    )
+    text = F.to_json(F.struct("operation", "table", "database", "source", data.alias("data")))
+    twice = F.regexp_replace(text, r'"data":\{', '"data":{"user_id":0,')
+    row_values = changed.select("seq", F.when(F.col("repeated"), twice).otherwise(text).alias("value"))
 
     def event(operation: str, database: str, day: str, **fields: str) -> DataFrame:
         first = table(spark, sf_dir, "events").filter(

@@ -77,7 +77,7 @@ rows AS (SELECT event_id AS seq, k,
     CASE WHEN value < 10 THEN 'mssql' WHEN value < 300 THEN 'postgresql' ELSE 'oracle' END AS source,
     ts, user_id, event_type AS kind, props AS raw_props,
     CAST(round(value * 100) AS BIGINT) AS raw_cents,
-    event_type = 'click' AND value < 1 AS broken
+    event_type = 'click' AND value < 1 AS broken, event_type = 'click' AND value >= 1 AND value < 3 AS repeated
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)),
 parsed AS (SELECT *, upper(operation) AS op, trim(db) AS database,
     lower(trim(string_split(tbl, '.')[-1])) AS "table",
@@ -85,7 +85,8 @@ parsed AS (SELECT *, upper(operation) AS op, trim(db) AS database,
     CASE WHEN operation <> 'DELETE' THEN kind END AS event_type,
     CASE WHEN operation <> 'DELETE' THEN raw_props END AS props,
     CASE WHEN broken THEN 'malformed' WHEN operation = 'TRUNCATE' THEN 'unknown operation'
-      WHEN db = '' THEN 'no database' WHEN coalesce(tbl, '') = '' THEN 'no table' END AS fault
+      WHEN db = '' THEN 'no database' WHEN coalesce(tbl, '') = '' THEN 'no table'
+      WHEN repeated THEN 'repeated name' END AS fault
   FROM rows),
 good AS (SELECT *, database || '.' || "table" AS table_key,
     database || '_' || "table" || '_' || user_id AS record_id FROM parsed WHERE fault IS NULL)
@@ -297,6 +298,11 @@ _sql(
     """SELECT doc_id, CASE WHEN quality = 1 THEN CAST(doc_id AS VARCHAR) ELSE md5('{"doc_id":' || doc_id
       || ',"quality":' || quality || ',"toxic":' || toxic || '}') END AS row_id FROM labels""",
 )
+_sql(
+    "row_id_keyless",
+    """SELECT l_orderkey, l_linenumber, count(*) AS n_ids FROM (SELECT DISTINCT * FROM lineitem)
+    GROUP BY l_orderkey, l_linenumber""",
+)
 _sql("normalize_table_name", 'SELECT seq, database, "table" FROM parsed', ENVELOPES)
 _sql(
     "record_id",
@@ -323,7 +329,7 @@ _sql("clean_code", f"SELECT doc_id, {_code('text')} AS cleaned FROM documents")
 
 # Snapshots
 
-_ORDER = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+_ORDER = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 _SAME = " AND ".join(f"p.{c} IS NOT DISTINCT FROM c.{c}" for c in _ORDER)
 _IMAGES = ", ".join(
     f"{alias}.{c} AS {side}_{c}" for alias, side in (("p", "before"), ("c", "after")) for c in _ORDER
@@ -335,9 +341,20 @@ _DIFF = f"""SELECT CAST(coalesce(p.o_orderkey, c.o_orderkey) AS VARCHAR) AS row_
   WHERE p.o_orderkey IS NULL OR c.o_orderkey IS NULL OR NOT ({_SAME})"""
 _sql("snapshot_diff", _DIFF, SNAPSHOTS)
 _sql("snapshot_diff_narrow", _DIFF, SNAPSHOTS)
+_LINE = """line l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag
+    l_linestatus l_shipdate note""".split()
+for _name in ("snapshot_diff_wide", "snapshot_diff_wide_narrow"):
+    _sql(
+        _name,
+        f"""SELECT line AS row_id, 'UPDATE' AS operation, {", ".join(f"{c} AS before_{c}" for c in _LINE)},
+          {", ".join(f"{c} + 1 AS after_{c}" if c == "l_extendedprice" else f"{c} AS after_{c}" for c in _LINE)}
+        FROM wide WHERE l_suppkey % 100 = 0 AND l_orderkey % 7 = 0""",
+        """wide AS (SELECT *, 'line ' || line AS note FROM (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey,
+          strftime(l_shipdate, '%Y%m%d')) AS line FROM lineitem))""",
+    )
 _sql(
     "snapshot_diff_keyless",
-    """SELECT operation, * EXCLUDE (operation, l_shipdate) FROM (
+    """SELECT * FROM (
       SELECT 'INSERT' AS operation, * FROM (SELECT * FROM c EXCEPT SELECT * FROM p)
       UNION ALL SELECT 'DELETE', * FROM (SELECT * FROM p EXCEPT SELECT * FROM c))""",
     "p AS (SELECT * FROM lineitem WHERE l_returnflag <> 'N' OR l_linestatus <> 'O')",
@@ -346,12 +363,12 @@ _sql(
 _sql("snapshot_inserts", "SELECT * FROM cur WHERE o_orderkey NOT IN (SELECT o_orderkey FROM prev)", SNAPSHOTS)
 _sql(
     "snapshot_deletes",
-    "SELECT o_orderkey FROM prev WHERE o_orderkey NOT IN (SELECT o_orderkey FROM cur)",
+    "SELECT * FROM prev WHERE o_orderkey NOT IN (SELECT o_orderkey FROM cur)",
     SNAPSHOTS,
 )
 _sql(
     "snapshot_updates",
-    f"SELECT c.o_orderkey, c.o_totalprice FROM prev p JOIN cur c ON p.o_orderkey = c.o_orderkey WHERE NOT ({_SAME})",
+    f"SELECT c.* FROM prev p JOIN cur c ON p.o_orderkey = c.o_orderkey WHERE NOT ({_SAME})",
     SNAPSHOTS,
 )
 _sql(
@@ -367,7 +384,7 @@ _sql(
     "envelope_build",
     """SELECT seq, operation, tbl AS "table", db AS database, source,
       strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, CAST(user_id AS VARCHAR) AS user_id,
-      CAST(cents AS VARCHAR) AS cents, event_type, props FROM parsed WHERE NOT broken""",
+      CAST(cents AS VARCHAR) AS cents, event_type, props FROM parsed""",
     ENVELOPES,
 )
 _FLAT = """SELECT seq, database AS _source_database, "table" AS _source_table, source AS _source_type,
@@ -395,33 +412,49 @@ _sql("events_per_table", "SELECT table_key, count(*) AS n FROM good GROUP BY tab
 
 _sql(
     "poll_row_messages",
-    """SELECT 'shop-orders-topic' AS topic, row_id AS "key", operation, '2024-02-01T08:30:00' AS timestamp,
-      CASE WHEN operation = 'DELETE' THEN '{"o_orderkey":"' || row_id || '"}'
-        ELSE '{"o_orderkey":' || row_id || ',"o_custkey":' || after_o_custkey || ',"o_orderstatus":"'
-          || after_o_orderstatus || '","o_orderpriority":"' || after_o_orderpriority || '"}' END AS data
+    """SELECT 'shop-orders-topic' AS topic, row_id AS "key", operation, '2024-02-01T08:30:00' AS timestamp, row_id,
+      row_id AS o_orderkey, after_o_custkey AS o_custkey, after_o_orderstatus AS o_orderstatus,
+      after_o_totalprice AS o_totalprice, after_o_orderdate AS o_orderdate, after_o_orderpriority AS o_orderpriority
     FROM (""" + _DIFF + ")",
     SNAPSHOTS,
 )
 _sql(
     "poll_load_messages",
     """SELECT 'shop-customer-topic' AS topic, CAST(c_custkey AS VARCHAR) AS "key", 'INITIAL_LOAD' AS operation,
-      'mssql' AS source, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey
-      || ',"c_mktsegment":"' || c_mktsegment || '"}' AS data FROM customer""",
+      'mssql' AS source, * FROM customer""",
 )
 _sql(
     "poll_schema_messages",
     """SELECT 'shop-ddl-topic' AS topic, "table" AS "key",
       CASE WHEN old_column IS NULL THEN 'ADD_COLUMN' WHEN new_column IS NULL THEN 'DROP_COLUMN'
-        ELSE 'RENAME_COLUMN' END AS operation, "table",
+        ELSE 'RENAME_COLUMN' END AS operation, "table", NULL AS old_table, NULL AS new_table,
+      CASE WHEN new_column IS NULL OR old_column IS NULL THEN coalesce(new_column, old_column) END AS "column",
       CASE WHEN new_column IS NOT NULL THEN old_column END AS old_column,
-      CASE WHEN old_column IS NOT NULL THEN new_column END AS new_column FROM columns
+      CASE WHEN old_column IS NOT NULL THEN new_column END AS new_column,
+      CASE WHEN new_column IS NOT NULL THEN data_type END AS data_type,
+      CASE WHEN old_column IS NULL THEN "default" END AS "default" FROM columns
     UNION ALL SELECT 'shop-ddl-topic', coalesce(old_table, new_table),
       CASE WHEN old_table IS NULL THEN 'ADD_TABLE' WHEN new_table IS NULL THEN 'DROP_TABLE' ELSE 'RENAME_TABLE' END,
-      CASE WHEN old_table IS NULL OR new_table IS NULL THEN coalesce(old_table, new_table) END, NULL, NULL
+      CASE WHEN old_table IS NULL OR new_table IS NULL THEN coalesce(old_table, new_table) END,
+      CASE WHEN new_table IS NOT NULL THEN old_table END, CASE WHEN old_table IS NOT NULL THEN new_table END,
+      NULL, NULL, NULL, NULL, NULL
     FROM tables""",
     TABLE_CHANGES,
     _column_changes(False).replace(CATALOGS + ",", ""),
 )
+_sql("poll_to_state_keyless", "SELECT DISTINCT * FROM lineitem WHERE l_returnflag <> 'R'")
+_sql(
+    "poll_to_state_timestamp_key",
+    """SELECT * REPLACE (CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS value) FROM events
+    WHERE event_type <> 'error' QUALIFY row_number() OVER (PARTITION BY ts ORDER BY event_id DESC) = 1""",
+)
+_sql(
+    "poll_to_state_null_key",
+    """SELECT *, CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN ' ' WHEN '5-LOW' THEN NULL
+      ELSE CAST(o_orderkey AS VARCHAR) END AS okey FROM cur""",
+    SNAPSHOTS,
+)
+_sql("stream_key_rename", "SELECT * EXCLUDE (o_orderkey), o_orderkey AS number FROM cur", SNAPSHOTS)
 
 # Change application
 
@@ -470,8 +503,13 @@ _sql("ddl_rename_column", _RENAMED, _column_changes(True))
 _sql("ddl_rename_column_by_type", _RENAMED, _column_changes(False))
 _sql(
     "schema_versions",
-    """SELECT "table", count(*) AS version FROM (
-      SELECT coalesce(new_table, old_table) AS "table" FROM tables UNION ALL SELECT "table" FROM columns)
+    """SELECT "table", CAST(sum(version) AS BIGINT) AS version FROM (
+      SELECT coalesce(new_table, table_full) AS "table", version FROM
+        (SELECT table_full, max(ordinal) % 3 AS version FROM old GROUP BY table_full)
+        LEFT JOIN tables ON table_full = old_table
+        WHERE old_table IS NULL OR new_table IS NOT NULL
+      UNION ALL SELECT new_table, 1 FROM tables WHERE old_table IS NULL
+      UNION ALL SELECT "table", 1 FROM columns)
     GROUP BY ALL""",
     TABLE_CHANGES,
     _column_changes(True).replace(CATALOGS + ",", ""),
@@ -486,19 +524,20 @@ _sql(
 )
 _sql(
     "apply_add_column",
-    """SELECT * EXCLUDE (o_orderdate), 'web' AS channel, CAST(1 AS INT) AS parcels, CAST(NULL AS DATE) AS checked
+    """SELECT *, 'web' AS channel, CAST(1 AS INT) AS parcels, CAST(NULL AS DATE) AS checked
     FROM orders""",
 )
-_sql("apply_rename_column", "SELECT * EXCLUDE (o_orderdate, o_totalprice), o_totalprice AS amount FROM orders")
+_sql("apply_rename_column", "SELECT * EXCLUDE (o_totalprice), o_totalprice AS amount FROM orders")
 _sql(
     "apply_drop_column",
-    "SELECT * EXCLUDE (o_orderdate, o_orderpriority), o_orderpriority AS o_orderpriority_deleted FROM orders",
+    "SELECT * EXCLUDE (o_orderpriority), o_orderpriority AS o_orderpriority_deleted FROM orders",
 )
 for _name, _new in {"apply_rename_table": "shop.sales", "apply_drop_table": "shop.orders_deleted"}.items():
     _sql(
         _name,
         f"""SELECT seq, CASE WHEN table_key = 'shop.orders' AND ts < TIMESTAMP '{RENAMED_ON}' THEN '{_new}'
-          ELSE table_key END AS table_key FROM good""",
+          ELSE table_key END AS table_key, CAST(user_id AS VARCHAR) AS user_id, CAST(cents AS VARCHAR) AS cents,
+          event_type, props FROM good""",
         ENVELOPES,
     )
 
@@ -559,7 +598,7 @@ _sql(
 )
 _EVOLVING = f"""
 valid AS (SELECT *, database || '.' || "table" AS table_key FROM parsed
-  WHERE coalesce(tbl, '') <> '' AND db <> '' AND op <> 'TRUNCATE'),
+  WHERE coalesce(tbl, '') <> '' AND db <> '' AND op <> 'TRUNCATE' AND NOT repeated),
 evolving AS (SELECT seq * 2 + 1 AS seq, op, seq // {BATCH_ROWS} AS batch_id, table_key,
     CASE WHEN table_key = 'crm.leads' THEN 'crm_prospects_' || user_id
       ELSE database || '_' || "table" || '_' || user_id END AS record_id,

@@ -10,9 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changelake.functions.keys import JSON_OPTIONS
 from changelake.operators.diff import ROW_ID, identified, snapshot_diff
 from changelake.operators.drift import EVENT_FIELDS, ddl_diff
-from changelake.operators.envelope import row_topic, schema_topic
+from changelake.operators.envelope import ROW_ID_FIELD, row_topic, schema_topic
 
 _TIME = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -24,19 +25,27 @@ def _message(operation: Column, data: Column, table: str, database: str, source:
         F.lit(database).alias("database"),
         F.lit(source).alias("source"),
         F.date_format(at, _TIME).alias("timestamp"),
+        F.col(ROW_ID).alias(ROW_ID_FIELD),
         data.alias("data"),
     )
     return F.to_json(envelope)
 
 
 def load_messages(
-    snapshot: DataFrame, key: str | None, table: str, database: str, source: str, at: Column
+    snapshot: DataFrame,
+    key: str | None,
+    table: str,
+    database: str,
+    source: str,
+    at: Column,
+    order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """`topic, key, value` of each row of a first snapshot."""
-    data = F.to_json(F.struct(*snapshot.columns), {"ignoreNullFields": "false"})
+    data = F.to_json(F.struct(*snapshot.columns), JSON_OPTIONS)
     value = _message(F.lit("INITIAL_LOAD"), data, table, database, source, at)
     topic = row_topic(F.lit(database), F.lit(table))
-    return identified(snapshot, key).select(
+    return identified(snapshot, key, order, unique).select(
         topic.alias("topic"), F.col(ROW_ID).alias("key"), value.alias("value")
     )
 
@@ -50,15 +59,19 @@ def row_messages(
     source: str,
     at: Column,
     order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """`topic, key, value` of each row that changed; a delete carries the key alone."""
+    """`topic, key, value` of each row that changed; a delete carries the key alone.
+
+    `unique` says that the source declares the key, so that no id repeats.
+    """
     gone = F.to_json(F.struct(F.col(ROW_ID).alias(key or ROW_ID)))
     data = F.when(F.col("operation") == "DELETE", gone).otherwise(
-        F.to_json("after", {"ignoreNullFields": "false"})
+        F.to_json("after", JSON_OPTIONS)
     )
     value = _message(F.col("operation"), data, table, database, source, at)
     topic = row_topic(F.lit(database), F.lit(table))
-    return snapshot_diff(prev, cur, key, order).select(
+    return snapshot_diff(prev, cur, key, order, unique).select(
         topic.alias("topic"), F.col(ROW_ID).alias("key"), value.alias("value")
     )
 

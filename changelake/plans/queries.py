@@ -18,6 +18,7 @@ from changelake.functions import (
     row_id,
     stringify,
 )
+from changelake.functions.keys import JSON_OPTIONS
 from changelake.operators import commits, conform, diff, drift, envelope, evolve, fold
 from changelake.plans import feeds, poll, silver
 from changelake.session import scratch_dir
@@ -103,7 +104,8 @@ def row_id_(spark, sf_dir):
 @query
 def row_id_keyless(spark, sf_dir):
     lines = feeds.table(spark, sf_dir, "lineitem")
-    return lines.select("l_orderkey", "l_linenumber", row_id(lines.columns).alias("row_id"))
+    ids = lines.select("l_orderkey", "l_linenumber", row_id(lines.columns).alias("row_id"))
+    return ids.groupBy("l_orderkey", "l_linenumber").agg(F.count_distinct("row_id").alias("n_ids"))
 
 
 def _named(spark, sf_dir):
@@ -182,7 +184,7 @@ def _images(changes: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-ORDER_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query
@@ -197,12 +199,24 @@ def snapshot_diff_narrow(spark, sf_dir):
     return _images(diff.snapshot_diff_narrow(prev, cur, "o_orderkey", scratch_dir(spark, "changed")), ORDER_COLUMNS)
 
 
+@query
+def snapshot_diff_wide(spark, sf_dir):
+    prev, cur = feeds.wide_snapshots(spark, sf_dir)
+    return _images(diff.snapshot_diff(prev, cur, "line"), cur.columns)
+
+
+@query
+def snapshot_diff_wide_narrow(spark, sf_dir):
+    prev, cur = feeds.wide_snapshots(spark, sf_dir)
+    return _images(diff.snapshot_diff_narrow(prev, cur, "line", scratch_dir(spark, "changed")), cur.columns)
+
+
 @query
 def snapshot_diff_keyless(spark, sf_dir):
     prev, cur = feeds.line_snapshots(spark, sf_dir)
     out = diff.snapshot_diff(prev, cur)
     row = F.coalesce("after", "before")
-    return out.select("operation", *[row[c].alias(c) for c in prev.columns if c != "l_shipdate"])
+    return out.select("operation", *[row[c].alias(c) for c in prev.columns])
 
 
 @query
@@ -214,13 +228,13 @@ def snapshot_inserts(spark, sf_dir):
 @query
 def snapshot_deletes(spark, sf_dir):
     prev, cur = feeds.order_snapshots(spark, sf_dir)
-    return diff.snapshot_deletes(prev, cur, "o_orderkey").select("o_orderkey")
+    return diff.snapshot_deletes(prev, cur, "o_orderkey").drop("_row_id")
 
 
 @query
 def snapshot_updates(spark, sf_dir):
     prev, cur = feeds.order_snapshots(spark, sf_dir)
-    return diff.snapshot_updates(prev, cur, "o_orderkey").select("o_orderkey", "o_totalprice")
+    return diff.snapshot_updates(prev, cur, "o_orderkey").drop("_row_id")
 
 
 @query
@@ -235,7 +249,7 @@ def snapshot_last_wins(spark, sf_dir):
 
 @query
 def envelope_build(spark, sf_dir):
-    built = feeds.raw_feed(spark, sf_dir).filter("value NOT LIKE '{{%'")
+    built = feeds.built_feed(spark, sf_dir).select("seq", "value")
     wire = "operation string, table string, database string, source string, timestamp string"
     parsed = F.from_json("value", f"{wire}, data map<string,string>")
     names = [part.split(" ")[0] for part in wire.split(", ")]
@@ -293,39 +307,66 @@ def events_per_table(spark, sf_dir):
 
 # Polls
 
+
+def _polled_at() -> Column:
+    return F.lit("2024-02-01 08:30:00").cast("timestamp_ntz")
+
+
+def _unwrapped(messages: DataFrame, row: DataFrame | None, *fields: str) -> DataFrame:
+    """Fields of the messages, and the columns of `row` that their data hold, typed."""
+    wire = F.from_json("value", ", ".join(f"`{f}` string" for f in (*fields, "data")))
+    rows = messages.select("topic", "key", F.inline(F.array(wire)))
+    if row is None:
+        return rows.drop("data")
+    typed = F.from_json("data", row.schema, JSON_OPTIONS)
+    return rows.select("topic", "key", *fields, F.inline(F.array(typed)))
+
+
 @query
 def poll_row_messages(spark, sf_dir):
     prev, cur = feeds.order_snapshots(spark, sf_dir)
-    out = poll.row_messages(prev, cur, "o_orderkey", "orders", "shop", "postgresql", _polled_at())
-    return _unwrapped(out, "operation", "timestamp", "data")
+    out = poll.row_messages(prev, cur, "o_orderkey", "orders", "shop", "postgresql", _polled_at(), unique=True)
+    return _unwrapped(out, cur.withColumn("o_orderkey", F.col("o_orderkey").cast("string")), "operation", "timestamp", "row_id")
 
 
 @query
 def poll_load_messages(spark, sf_dir):
-    customers = feeds.table(spark, sf_dir, "customer").drop("c_acctbal")
-    out = poll.load_messages(customers, "c_custkey", "customer", "shop", "mssql", _polled_at())
-    return _unwrapped(out, "operation", "source", "data")
+    customers = feeds.table(spark, sf_dir, "customer")
+    out = poll.load_messages(customers, "c_custkey", "customer", "shop", "mssql", _polled_at(), unique=True)
+    return _unwrapped(out, customers, "operation", "source")
 
 
 @query
 def poll_schema_messages(spark, sf_dir):
     old, new = feeds.catalogs(spark, sf_dir)
     out = poll.schema_messages(old, new, "shop", "mssql", _polled_at(), match_default=False)
-    return _unwrapped(out, "operation", "table", "old_column", "new_column")
+    return _unwrapped(out, None, "operation", "table", "old_table", "new_table", "column", "old_column", "new_column", "data_type", "default")
 
 
-def _polled_at() -> Column:
-    return F.lit("2024-02-01 08:30:00").cast("timestamp_ntz")
+def _polled_state(prev: DataFrame, cur: DataFrame, key: str | None, order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows that are live after a first load and one poll have gone through the messages."""
+    source = (key, "t", "shop", "postgresql", _polled_at(), order)
+    load = poll.load_messages(prev, *source).withColumn("seq", F.lit(1))
+    changes = poll.row_messages(prev, cur, *source).withColumn("seq", F.lit(2))
+    events = envelope.parse_envelope(load.unionByName(changes).select("seq", "value"))
+    good, _ = envelope.split_valid(envelope.identify(events, key or "none"))
+    state = fold.fold_state(good, ["table_key", "row_key"], "seq", ["data"]).filter("NOT deleted")
+    return state.select(*[F.col("data")[f.name].cast(f.dataType).alias(f.name) for f in cur.schema.fields])
 
 
-def _unwrapped(messages: DataFrame, *fields: str) -> DataFrame:
-    wire = F.from_json("value", ", ".join(f"`{f}` string" for f in fields))
-    rows = messages.select("topic", "key", F.inline(F.array(wire)))
-    if "data" not in fields:
-        return rows
-    # The price is left out, as engines write doubles differently.
-    data = F.regexp_replace("data", r'"o_(totalprice|orderdate)":[^,}]*,', "")
-    return rows.withColumn("data", data)
+@query
+def poll_to_state_keyless(spark, sf_dir):
+    return _polled_state(*feeds.line_snapshots(spark, sf_dir), None)
+
+
+@query
+def poll_to_state_timestamp_key(spark, sf_dir):
+    return _polled_state(*feeds.event_snapshots(spark, sf_dir), "ts", ("event_id",))
+
+
+@query
+def poll_to_state_null_key(spark, sf_dir):
+    return _polled_state(*feeds.part_keyed_orders(spark, sf_dir), "okey")
 
 
 # Change application
@@ -431,7 +472,9 @@ QUERIES["ddl_rename_column_by_type"] = _drift(
 
 @query
 def schema_versions(spark, sf_dir):
-    return drift.schema_versions(drift.ddl_diff(*feeds.catalogs(spark, sf_dir)))
+    old, new = feeds.catalogs(spark, sf_dir)
+    earlier = old.groupBy(F.col("table_full").alias("table")).agg((F.max("ordinal") % 3).alias("version"))
+    return drift.schema_versions(drift.ddl_diff(old, new), earlier)
 
 
 # Schema events
@@ -444,8 +487,7 @@ def apply_add_table(spark, sf_dir):
 
 def _evolved_orders(*events: dict[str, str]) -> Query:
     def run(spark, sf_dir):
-        orders = feeds.table(spark, sf_dir, "orders").drop("o_orderdate")
-        return evolve.apply_schema_events(orders, events)
+        return evolve.apply_schema_events(feeds.table(spark, sf_dir, "orders"), events)
 
     return run
 
@@ -479,7 +521,9 @@ def _moved(operation: str) -> Query:
             *[F.lit(names.get(f)).cast("string").alias(f) for f in fields],
         )
         log = good.filter("route <> 'schema'").select("seq", "table_key", "data")
-        return evolve.evolve_log(log, events).select("seq", "table_key")
+        return evolve.evolve_log(log, events).select(
+            "seq", "table_key", *[F.col("data")[c].alias(c) for c in feeds.DATA]
+        )
 
     return run
 
@@ -536,11 +580,11 @@ def _topic(spark: SparkSession, feed: DataFrame, files: int = 4) -> str:
 WIRE = "seq bigint, value string"
 
 
-def _applied(spark: SparkSession, feed: DataFrame) -> Bronze:
+def _applied(spark: SparkSession, feed: DataFrame, key: str = "user_id") -> Bronze:
     """The bronze area after the feed has run through the apply stream."""
     raw = readers.read_lines_stream(spark, _topic(spark, feed), WIRE, files_per_batch=2)
     base = scratch_dir(spark, "bronze")
-    stream = start_apply_stream(raw, base, scratch_dir(spark, "checkpoint"), "user_id")
+    stream = start_apply_stream(raw, base, scratch_dir(spark, "checkpoint"), key)
     stream.awaitTermination()
     return Bronze(spark, base)
 
@@ -581,6 +625,13 @@ def stream_events_per_table(spark, sf_dir):
     )
 
 
+@query
+def stream_key_rename(spark, sf_dir):
+    cur = feeds.order_snapshots(spark, sf_dir)[1].withColumnRenamed("o_orderkey", "number")
+    state = _applied(spark, feeds.key_rename_feed(spark, sf_dir), "o_orderkey").state().filter("NOT deleted")
+    return state.select(*[F.col("data")[f.name].cast(f.dataType).alias(f.name) for f in cur.schema.fields])
+
+
 @query
 def stream_ddl_apply(spark, sf_dir):
     state = _applied(spark, feeds.evolving_feed(spark, sf_dir)).state()

@@ -30,6 +30,8 @@ CASES = [
     (envelope(database=""), "no database"),
     (envelope(data="not json"), "no data"),
     ("{broken", "malformed"),
+    (envelope(data='{"x": 1, "x": 2}'), "repeated name"),
+    ('{"operation": "DELETE", "table": "t", "database": "d", "data": {"x": 1, "y": 0, "x": 1}}', "repeated name"),
     (envelope(operation="ADD_COLUMN", data=None, column="c"), None),
     (envelope(operation="ADD_COLUMN", data=None), "no column"),
     (envelope(operation="RENAME_COLUMN", data=None, old_column="c"), "no column"),
@@ -86,6 +88,13 @@ def test_build_and_parse_agree(spark):
     assert row.data == {"id": "1", "name": "é", "gone": None}
 
 
+def test_a_carried_id_is_the_identity(spark):
+    texts = [envelope(row_id="r1"), envelope(operation="DELETE", row_id="r1", data={"id": "01"}), envelope(data={"v": 1})]
+    events = parse_envelope(spark.createDataFrame(list(enumerate(texts)), "seq bigint, value string"))
+    keys = [r.row_key for r in identify(events, "id").orderBy("seq").collect()]
+    assert keys[:2] == ["r1", "r1"] and len(keys[2]) == 32
+
+
 def test_topics(spark):
     df = spark.createDataFrame([("PostgreSQL",), ("mssql",), (None,), ("oracle",)], "source string")
     got = [r[0] for r in df.select(schema_topic(F.col("source"), F.lit("d"))).collect()]

@@ -45,8 +45,12 @@ def test_catalog_pair(spark, match_default):
     events = ddl_diff(old, new, match_default)
     assert events_of(events) == want
     assert [r.column for r in added_table_columns(old, new).collect()] == ["k"]
-    versions = {r.table: r.version for r in schema_versions(events).collect()}
-    assert versions["s.b2"] == 1 and versions["s.a"] == (4 if match_default else 3)
+    earlier = spark.createDataFrame([("s.a", 2), ("s.b", 5), ("s.gone", 3)], "table string, version int")
+    dropped = events.unionByName(
+        spark.createDataFrame([("DROP_TABLE", "s.gone")], "operation string, table string"), allowMissingColumns=True
+    )
+    versions = {r.table: r.version for r in schema_versions(dropped, earlier).collect()}
+    assert versions == {"s.a": 2 + (4 if match_default else 3), "s.b2": 5, "s.c": 1, "s.n": 1}
 
 
 def test_same_catalog_has_no_events(spark):
