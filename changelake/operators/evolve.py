@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changelake.session import scratch_dir
+
 SUFFIX = "_deleted"
 
 # Type names of the source databases and the types they become.
@@ -69,66 +70,100 @@ def empty_table(spark, columns: Iterable[Mapping[str, str]]) -> DataFrame:
 
 
 _OLDEST = -(2**63)
-_STEP = "array<struct<until: bigint, name: string>>"
-TABLE_RULES = f"table_key string, tables {_STEP}"
-COLUMN_RULES = (
-    f"table_key string, names map<string, {_STEP}>, "
-    "defaults array<struct<since: bigint, until: bigint, name: string, value: string>>"
-)
-
-
-def _latest_first(events: pd.DataFrame) -> list[dict]:
-    ordered = events.sort_values("seq", ascending=False).astype(object)
-    return ordered.where(ordered.notna(), None).to_dict("records")
-
-
-def _table_steps(events: pd.DataFrame) -> pd.DataFrame:
-    """What each table of a database was called later, by last event first."""
-    final: dict[str, str] = {}
-    steps: dict[str, list] = {}
-    for e in _latest_first(events):
-        database = e["database"]
-        old = e["old_table"] if e["operation"] == "RENAME_TABLE" else e["table"]
-        new = e["new_table"] if e["operation"] == "RENAME_TABLE" else f"{old}{SUFFIX}"
-        old, new = f"{database}.{old}", f"{database}.{new}"
-        name = final.get(new, new)
-        steps.setdefault(old, []).insert(0, {"until": e["seq"], "name": name})
-        final[old] = name
-    return pd.DataFrame(
-        {"table_key": list(steps), "tables": list(steps.values())}, columns=["table_key", "tables"]
-    )
+_QUOTED = r"(?i)^'((?:[^']|'')*)'(?:::[\w \[\]]+)?$"
+_BARE = r"(?i)^([+-]?\d+(?:\.\d+)?|true|false)$"
+
+
+def _literal(default: Column) -> Column:
+    """`literal_default` of a column."""
+    text = F.trim(default)
+    quoted = F.regexp_replace(F.regexp_extract(text, _QUOTED, 1), "''", "'")
+    return F.when(text.rlike(_QUOTED), quoted).when(text.rlike(_BARE), text)
+
+
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    folder = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
 
+def _followed(steps: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """`arrivals` with `final`: what the name they arrive at is called after all later steps.
 
-def _column_steps(events: pd.DataFrame) -> pd.DataFrame:
-    """What each column of a table was called later, and defaults of added ones."""
-    final: dict[str, str | None] = {}
-    names: dict[str, list] = {}
-    defaults = []
-    for e in _latest_first(events):
-        if e["operation"] == "ADD_COLUMN":
-            value = literal_default(e["default"])
-            name = final.get(e["column"], e["column"])
-            if value is not None and name is not None:
-                for later in defaults:
-                    if later["name"] == name and later["since"] < e["seq"]:
-                        later["since"] = e["seq"]
-                defaults.insert(0, {"since": _OLDEST, "until": e["seq"], "name": name, "value": value})
-            continue
-        renamed = e["operation"] == "RENAME_COLUMN"
-        old = e["old_column"] if renamed else e["column"]
-        new = e["new_column"] if renamed else f"{old}{SUFFIX}"
-        if old == new:
-            continue
-        name = final.get(new, new)
-        for before, after in ((old, name), (new, None)):
-            names.setdefault(before, []).insert(0, {"until": e["seq"], "name": after})
-            final[before] = after
-    return pd.DataFrame(
-        {
-            "table_key": [events["table_key"].iloc[0]],
-            "names": [names],
-            "defaults": [defaults],
-        }
+    A step says that at `seq` what is called `name` in its `scope` becomes `to`; null is the
+    end. An arrival is an `id` with `scope`, `to` and `seq`; those of steps have their ids.
+    The step after an arrival is found by a window over the events of one name; chains of
+    steps are then followed by doubling, so the rounds grow with the logarithm of the
+    longest chain. Rounds are stored, for each refers to the last one twice.
+    """
+    there = arrivals.filter("`to` IS NOT NULL")
+    marks = steps.select("scope", "name", "seq", F.lit(1).alias("kind"), F.col("id").alias("step"))
+    none = F.lit(None).cast("string")
+    marks = marks.unionByName(
+        there.select("scope", F.col("to").alias("name"), "seq", F.lit(0).alias("kind"), none.alias("step"), "id"),
+        allowMissingColumns=True,
+    )
+    later = Window.partitionBy("scope", "name").orderBy(F.desc("seq"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    found = marks.withColumn("next", F.last("step", ignorenulls=True).over(later)).filter("kind = 0").select("id", "next")
+    chain = arrivals.join(found, "id", "left").select("id", F.col("to").alias("final"), "next")
+    while True:
+        chain = _kept(chain, "chains")
+        if chain.filter("next IS NOT NULL").isEmpty():
+            return chain.select("id", "final")
+        onward = chain.select(F.col("id").alias("next"), F.col("final").alias("end"), F.col("next").alias("after"))
+        joined = chain.join(onward, "next", "left")
+        chain = joined.select("id", F.when(F.col("next").isNull(), F.col("final")).otherwise(F.col("end")).alias("final"), F.col("after").alias("next"))
+
+
+def _rules(steps: DataFrame, final: DataFrame, *by: str) -> DataFrame:
+    step = F.struct(F.col("seq").alias("until"), F.col("final").alias("name"))
+    return steps.join(final, "id").groupBy(*by).agg(F.sort_array(F.collect_list(step)).alias("steps"))
+
+
+def table_rules(events: DataFrame) -> DataFrame:
+    """`table_key, tables`: what each table name of the past became, by the event that changed it."""
+    events = events.filter(F.col("operation").isin("RENAME_TABLE", "DROP_TABLE"))
+    old = F.when(F.col("operation") == "RENAME_TABLE", F.col("old_table")).otherwise(F.col("table"))
+    new = F.when(F.col("operation") == "RENAME_TABLE", F.col("new_table")).otherwise(F.concat("table", F.lit(SUFFIX)))
+    steps = events.select(
+        F.col("database").alias("scope"),
+        F.concat_ws(".", "database", old).alias("name"),
+        F.concat_ws(".", "database", new).alias("to"),
+        "seq",
+    ).filter("name <> `to`")
+    steps = _kept(steps.withColumn("id", F.concat_ws(" ", "seq", "name")), "steps")
+    return _rules(steps, _followed(steps, steps), "name").select(F.col("name").alias("table_key"), F.col("steps").alias("tables"))
+
+
+def _column_rules(events: DataFrame) -> DataFrame:
+    """`table_key, names, defaults` from column events under the present names of their tables."""
+    operation = F.col("operation")
+    moves = events.filter(operation.isin("RENAME_COLUMN", "DROP_COLUMN"))
+    old = F.when(operation == "RENAME_COLUMN", F.col("old_column")).otherwise(F.col("column"))
+    new = F.when(operation == "RENAME_COLUMN", F.col("new_column")).otherwise(F.concat("column", F.lit(SUFFIX)))
+    moves = moves.select(F.col("table_key").alias("scope"), old.alias("name"), new.alias("to"), "seq").filter("name <> `to`")
+    # What already has the new name ends there.
+    ends = moves.select("scope", F.col("to").alias("name"), F.lit(None).cast("string").alias("to"), "seq")
+    steps = moves.unionByName(ends).withColumn("id", F.concat_ws(" ", "seq", F.col("to").isNull().cast("string"), "scope", "name"))
+    added = events.filter(operation == "ADD_COLUMN").select(
+        F.col("table_key").alias("scope"), F.col("column").alias("to"), "seq", _literal(F.col("default")).alias("value")
+    ).filter("value IS NOT NULL").withColumn("id", F.concat_ws(" ", "seq", F.lit("add"), "scope", "to"))
+    steps, added = _kept(steps, "steps"), _kept(added, "added")
+    final = _followed(steps, steps.unionByName(added.drop("value"), allowMissingColumns=True))
+    names = _rules(steps, final, "scope", "name").groupBy(F.col("scope").alias("table_key")).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "steps"))).alias("names")
+    )
+    earlier = Window.partitionBy("scope", "final").orderBy("seq")
+    since = F.coalesce(F.lag("seq").over(earlier), F.lit(_OLDEST))
+    defaults = added.join(final, "id").filter("final IS NOT NULL").select(
+        F.col("scope").alias("table_key"),
+        F.struct(since.alias("since"), F.col("seq").alias("until"), F.col("final").alias("name"), "value").alias("default"),
+    )
+    defaults = defaults.groupBy("table_key").agg(F.sort_array(F.collect_list("default")).alias("defaults"))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<struct<until: bigint, name: string>>>"))
+    none = F.array().cast("array<struct<since: bigint, until: bigint, name: string, value: string>>")
+    return names.join(defaults, "table_key", "full_outer").select(
+        "table_key", F.coalesce("names", empty).alias("names"), F.coalesce("defaults", none).alias("defaults")
     )
 
 
@@ -146,28 +181,21 @@ def _resolve_tables(df: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def evolve_log(log: DataFrame, events: DataFrame) -> DataFrame:
+def evolve_log(log: DataFrame, events: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     """Rows of a log (`table_key, seq, data`) in the present schema of their table.
 
-    A row takes part in the schema events after its own `seq`. The events of a
-    table are worked into one row of rules, so the log is joined once however
-    many events there are; it is not shuffled while the rules fit a broadcast.
+    A row takes part in the schema events after its own `seq`; no two schema events of a
+    table share one. Chains of renames are followed once, on the events alone, and the steps
+    of each table become one row of rules, bounded by the schema events of that table; the
+    log is then joined once however many events there are, and not shuffled while the rules
+    fit a broadcast. `tables` are the `table_rules`, if they are known already.
     """
     events = events.withColumn("table_key", F.concat_ws(".", "database", "table"))
-    tables = (
-        events.filter(F.col("operation").isin("RENAME_TABLE", "DROP_TABLE"))
-        .select("seq", "database", "operation", "table", "old_table", "new_table")
-        .groupBy("database")
-        .applyInPandas(_table_steps, TABLE_RULES)
-    )
+    tables = table_rules(events) if tables is None else tables
     columns = _resolve_tables(
         events.filter(F.col("operation").isin("ADD_COLUMN", "RENAME_COLUMN", "DROP_COLUMN")), tables
     )
-    rules = (
-        columns.select("seq", "table_key", "operation", "column", "old_column", "new_column", "default")
-        .groupBy("table_key")
-        .applyInPandas(_column_steps, COLUMN_RULES)
-    )
+    rules = _column_rules(columns)
     seq, data = F.col("seq"), F.col("data")
 
     def renamed(name: Column) -> Column:

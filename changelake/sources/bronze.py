@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from changelake.functions.keys import record_id
 from changelake.operators.commits import batch_summary, effective_counts
 from changelake.operators.envelope import SCHEMA_FIELDS, split_valid
-from changelake.operators.evolve import evolve_log
+from changelake.operators.evolve import evolve_log, table_rules
 from changelake.operators.fold import change_log, fold_state
 from changelake.sources.readers import read_or_empty
 
@@ -136,22 +136,34 @@ class Bronze:
             return None, -1
         return read_or_empty(self.spark, f"{self.base}/base/upto={upto}", _schema_of_state()), upto
 
-    def _inputs(self, through: int | None = None) -> tuple[DataFrame | None, DataFrame]:
-        """Base, and events after it, both in the schema of the last schema event."""
+    def _inputs(
+        self, through: int | None = None, table_key: str | None = None
+    ) -> tuple[DataFrame | None, DataFrame]:
+        """Base, and events after it, both in the schema of the last schema event.
+
+        For one table, only folders under its present and earlier names are read.
+        """
         base, upto = self._base()
         log, schema = self.log().filter(F.col("batch_id") > upto), self.schema_events()
         if through is not None:
             log, schema = (df.filter(F.col("batch_id") <= through) for df in (log, schema))
         if schema.isEmpty():
-            return base, log
+            only = F.lit(True) if table_key is None else F.col("table_key") == table_key
+            return base if base is None else base.filter(only), log.filter(only)
+        tables = table_rules(schema)
+        if table_key is not None:
+            was = tables.filter(F.exists("tables", lambda step: step["name"] == table_key)).select("table_key")
+            # As many names as a table has had.
+            only = F.col("table_key").isin(table_key, *[row.table_key for row in was.collect()])
+            base, log = base if base is None else base.filter(only), log.filter(only)
         if base is not None:
             oldest = base.withColumn("seq", F.lit(-(2**63)).cast("bigint"))
             base = evolve_log(oldest, schema.filter(F.col("batch_id") > upto)).drop("seq")
-        return base, evolve_log(log, schema)
+        return base, evolve_log(log, schema, tables)
 
-    def state(self) -> DataFrame:
-        """Current rows of all tables, soft-deleted ones flagged, with `record_id`."""
-        base, events = self._inputs()
+    def state(self, table_key: str | None = None) -> DataFrame:
+        """Current rows of all tables or one, soft-deleted ones flagged, with `record_id`."""
+        base, events = self._inputs(table_key=table_key)
         state = fold_state(events, KEY, "seq", IMAGE, base=base)
         table = F.substring_index("table_key", ".", -1)
         database = F.expr("substring(table_key, 1, length(table_key) - length(`table`) - 1)")
@@ -163,7 +175,7 @@ class Bronze:
 
     def table(self, table_key: str, columns: Sequence[str]) -> DataFrame:
         """One table as text columns with its `deleted` flag."""
-        rows = self.state().filter(F.col("table_key") == table_key)
+        rows = self.state(table_key).filter(F.col("table_key") == table_key)
         return rows.select(
             "record_id", *[F.col("data")[c].alias(c) for c in columns], "deleted"
         )
