@@ -59,14 +59,28 @@ def text_hash(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
-def chosen(df: DataFrame, keys: DataFrame, id: str = "doc_id", text: str = "text", without: bool = False) -> DataFrame:
-    """Rows of `df`, all columns, whose id and text hash are among `keys` (`id`, `text_hash`), or `without` them.
+#: Keys of rows to leave out that are sent to all tasks; one takes 17 bytes.
+NAMED = 200_000
 
-    Of rows alike in id and text, those that `keys` name stay once. Null ids match null ids.
+
+def chosen(df: DataFrame, decisions: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `df`, all columns, that are kept by `decisions` (`id`, `text_hash`, `kept`: one row for each of `df`).
+
+    Rows alike in id and text count as one, of which one is returned if any is kept. Null
+    ids match null ids. Where few rows go, their keys are sent to all tasks and no text is
+    shuffled; else both sides are joined by shuffle.
     """
+    number, kept = F.count(F.lit(1)), F.count_if("kept")
+    gone = decisions.groupBy("id", "text_hash").agg(number.alias("number"), kept.alias("kept")).filter("kept < number")
+    gone = stored(gone, "gone")
+    many, partly = gone.agg(F.count(F.lit(1)), F.count_if(F.col("kept") > 0)).first()
     rows = df.select(F.col(id).alias("_id"), text_hash(text).alias("_hash"), F.struct(*[df[name] for name in df.columns]).alias("_row"))
-    same = rows["_id"].eqNullSafe(keys["id"]) & (rows["_hash"] == keys["text_hash"])
-    rows = rows.join(keys.select("id", "text_hash"), same, "left_anti" if without else "left_semi")
-    if not without:
-        rows = rows.dropDuplicates(["_id", "_hash"])
-    return rows.select("_row.*")
+
+    def joined(keys: DataFrame, how: str) -> DataFrame:
+        same = rows["_id"].eqNullSafe(keys["id"]) & (rows["_hash"] == keys["text_hash"])
+        return rows.join(F.broadcast(keys) if many <= NAMED else keys, same, how)
+
+    out = joined(gone, "left_anti")
+    if partly:
+        out = out.unionByName(joined(gone.filter("kept > 0"), "left_semi").dropDuplicates(["_id", "_hash"]))
+    return out.select("_row.*")

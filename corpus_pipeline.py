@@ -9,13 +9,17 @@ apart. An empty table goes through all stages.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id
 from changelake.llm.columns import chosen, stored, table
 
 
+def _decisions(found: DataFrame, kept: Column) -> DataFrame:
+    return found.select(F.col("doc_id").alias("id"), "text_hash", kept.alias("kept"))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; texts without letters, and letters like no language, go."""
     return language_id.accepted(docs, language_id.learn(docs, "doc_id", "text", "lang"))
@@ -23,21 +27,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of smallest id of each group of equal texts."""
-    found = exact_dedup.deduplicate(docs).filter("kept").select(F.col("doc_id").alias("id"), "text_hash")
-    return chosen(docs, found)
+    return chosen(docs, _decisions(exact_dedup.deduplicate(docs), F.col("kept")))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of smallest id of each class of texts that similarity links."""
-    found = jaccard_join.jaccard_components(docs).filter("kept").select(F.col("doc_id").alias("id"), "text_hash")
-    return chosen(docs, found)
+    return chosen(docs, _decisions(jaccard_join.jaccard_components(docs), F.col("kept")))
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark, nor one with other values."""
     found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    leaks = stored(found.filter("contaminated").select(F.col("doc_id").alias("id"), "text_hash").distinct(), "leaks")
-    return chosen(docs, leaks, without=True)
+    return chosen(docs, _decisions(found, ~F.col("contaminated")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
