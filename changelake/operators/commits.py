@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changelake.operators.scan import prefix_scan
@@ -19,6 +19,10 @@ def batch_summary(events: DataFrame, op: str = "operation") -> DataFrame:
     total = F.count("*")
     return events.groupBy(*GROUP).agg(
         F.when(loads == total, "batch").otherwise("stream").alias("commit_type"),
+        F.when(loads == total, "batch")
+        .when(F.min(operation) == F.max(operation), F.lower(F.min(operation)))
+        .otherwise("mixed")
+        .alias("operation"),
         total.alias("total"),
         F.count_if(operation.isin("INSERT", "INITIAL_LOAD")).alias("inserts"),
         F.count_if(operation == "UPDATE").alias("updates"),
@@ -54,6 +58,26 @@ def running_totals(summary: DataFrame, births: DataFrame) -> DataFrame:
     )
 
 
+def totals_after(counts: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Counts per table and batch with `total_records`, the table's rows after each batch.
+
+    `earlier` has the totals of the part before, so history is not summed again: one row
+    for each table and batch of this part is scanned. Tables that this part doesn't touch
+    are carried on with their last batch.
+    """
+    last = earlier.groupBy("table_key").agg(F.max_by(F.struct("batch_id", "total_records"), "batch_id").alias("last"))
+    rows = counts.select(*GROUP, "new_rows", "effective_deletes").join(last, "table_key", "full_outer")
+    scan = Window.partitionBy("table_key").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.coalesce("last.total_records", F.lit(0))
+    return rows.select(
+        "table_key",
+        F.coalesce("batch_id", "last.batch_id").alias("batch_id"),
+        F.when(F.col("batch_id").isNotNull(), F.col("new_rows")).alias("new_rows"),
+        "effective_deletes",
+        (before + F.coalesce(F.sum("new_rows").over(scan), F.lit(0))).alias("total_records"),
+    )
+
+
 def schema_changes(events: DataFrame) -> DataFrame:
     """Batches that brought data columns a table did not have before."""
     columns = events.select(*GROUP, F.explode(F.map_keys("data")).alias("column"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changelake.operators.envelope import build_envelope
 from changelake.operators.evolve import apply_schema_events
-from changelake.plans.poll import load_messages, row_messages
+from changelake.plans.poll import Polled, load_messages, row_messages
 from changelake.session import scratch_dir
 
 BATCH_ROWS = 1000
@@ -81,6 +81,25 @@ def key_rename_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def polled_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Polled], DataFrame]:
+    """Three tables and an unreadable one since the last poll.
+
+    Of the customers the balance has another name and some values changed, of the suppliers
+    some left, and the parts are polled for the first time.
+    """
+    customers, suppliers, parts = (table(spark, sf_dir, name) for name in ("customer", "supplier", "part"))
+    changed = F.when(F.col("c_nationkey") == 1, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    now = customers.withColumn("c_acctbal", changed).withColumnRenamed("c_acctbal", "balance")
+    columns = "operation string, table string, column string, old_column string, new_column string"
+    events = spark.createDataFrame([("RENAME_COLUMN", "customer", None, "c_acctbal", "balance")], columns)
+    return {
+        "customer": Polled(lambda: now, "c_custkey", unique=True, last=customers),
+        "supplier": Polled(lambda: suppliers.filter("s_nationkey <> 2"), "s_suppkey", unique=True, last=suppliers),
+        "part": Polled(lambda: parts, "p_partkey", unique=True),
+        "missing": Polled(lambda: table(spark, sf_dir, "missing"), "id", last=suppliers),
+    }, events
+
+
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as changes of a row per user, or per user and table."""
     kind = F.col("event_type")

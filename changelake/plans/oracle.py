@@ -188,6 +188,8 @@ log AS (SELECT user_id, seq, operation, batch_id, table_key, {_side("1 PRECEDING
 SUMMARY = f"""{FEED},
 summary AS (SELECT table_key, batch_id,
     CASE WHEN bool_and(operation = 'INITIAL_LOAD') THEN 'batch' ELSE 'stream' END AS commit_type,
+    CASE WHEN bool_and(operation = 'INITIAL_LOAD') THEN 'batch' WHEN min(operation) = max(operation)
+      THEN lower(min(operation)) ELSE 'mixed' END AS operation,
     count(*) AS total, count(*) FILTER (operation IN ('INSERT', 'INITIAL_LOAD')) AS inserts,
     count(*) FILTER (operation = 'UPDATE') AS updates, count(*) FILTER (operation = 'DELETE') AS deletes
   FROM load_feed GROUP BY ALL),
@@ -442,6 +444,14 @@ _sql(
     TABLE_CHANGES,
     _column_changes(False).replace(CATALOGS + ",", ""),
 )
+_sql(
+    "poll_tables",
+    """SELECT 'shop-customer-topic' AS topic, CAST(c_custkey AS VARCHAR) AS "key", 'UPDATE' AS operation,
+      c_acctbal + 1 AS amount, 5 AS n_columns FROM customer WHERE c_nationkey = 1
+    UNION ALL SELECT 'shop-supplier-topic', CAST(s_suppkey AS VARCHAR), 'DELETE', NULL, 1 FROM supplier WHERE s_nationkey = 2
+    UNION ALL SELECT 'shop-part-topic', CAST(p_partkey AS VARCHAR), 'INITIAL_LOAD', p_retailprice, 6 FROM part
+    UNION ALL SELECT 'missing', NULL, 'PATH_NOT_FOUND', NULL, NULL""",
+)
 _sql("poll_to_state_keyless", "SELECT DISTINCT * FROM lineitem WHERE l_returnflag <> 'R'")
 _sql(
     "poll_to_state_timestamp_key",
@@ -465,7 +475,8 @@ for _name, _feed in {
     "initial_load_then_changes": "load_feed",
 }.items():
     _sql(_name, "SELECT * FROM final", FEED, _state(_feed))
-_sql("cdc_change_log", "SELECT * EXCLUDE (batch_id) FROM log", CHANGE_LOG)
+for _name in ("cdc_change_log", "stored_change_log"):
+    _sql(_name, "SELECT * EXCLUDE (batch_id) FROM log", CHANGE_LOG)
 _sql("cdc_batch_summary", "SELECT * FROM summary", SUMMARY)
 _sql(
     "cdc_effective_counts",
@@ -475,7 +486,8 @@ _sql(
     FROM log GROUP BY ALL""",
     CHANGE_LOG,
 )
-_sql("commit_running_total", "SELECT table_key, batch_id, new_rows, total_records FROM commits", SUMMARY)
+for _name in ("commit_running_total", "commit_totals_of_log"):
+    _sql(_name, "SELECT table_key, batch_id, new_rows, total_records FROM commits", SUMMARY)
 _sql("commit_latest", "SELECT * FROM commits QUALIFY row_number() OVER (PARTITION BY table_key ORDER BY batch_id DESC) = 1", SUMMARY)
 
 # Schema drift
@@ -519,6 +531,12 @@ _sql(
 
 _sql(
     "apply_add_table",
+    """SELECT table_full AS table_key, "column", data_type FROM new JOIN tables ON table_full = new_table
+    WHERE old_table IS NULL""",
+    TABLE_CHANGES,
+)
+_sql(
+    "added_table_columns",
     'SELECT new.* FROM new JOIN tables ON table_full = new_table WHERE old_table IS NULL',
     TABLE_CHANGES,
 )

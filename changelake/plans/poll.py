@@ -5,15 +5,19 @@ The caller keeps the snapshots and decides when to poll.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from changelake.functions.keys import JSON_OPTIONS
 from changelake.operators.diff import ROW_ID, identified, snapshot_diff
-from changelake.operators.drift import EVENT_FIELDS, ddl_diff
+from changelake.operators.drift import EVENT_FIELDS, added_table_columns, ddl_diff
 from changelake.operators.envelope import ROW_ID_FIELD, row_topic, schema_topic
+from changelake.operators.evolve import apply_schema_events
 
 _TIME = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -79,16 +83,73 @@ def row_messages(
 def schema_messages(
     old: DataFrame, new: DataFrame, database: str, source: str, at: Column, match_default: bool = True
 ) -> DataFrame:
-    """`topic, key, value` of each schema event; the key is the table it is about."""
+    """`topic, key, value` of each schema event; the key is the table it is about.
+
+    An added table's message carries its columns, name to type.
+    """
     fields = [F.col(f) for f in EVENT_FIELDS]
+    columns = added_table_columns(old, new).groupBy("table_full").agg(
+        F.map_from_entries(F.collect_list(F.struct("column", "data_type"))).alias("columns")
+    )
+    events = ddl_diff(old, new, match_default)
+    events = events.join(columns, (F.col("operation") == "ADD_TABLE") & (F.col("table") == F.col("table_full")), "left")
     envelope = F.struct(
         F.lit(database).alias("database"),
         F.lit(source).alias("source"),
         F.date_format(at, _TIME).alias("timestamp"),
         *fields,
+        "columns",
     )
-    return ddl_diff(old, new, match_default).select(
+    return events.select(
         schema_topic(F.lit(source), F.lit(database)).alias("topic"),
         F.coalesce("table", "old_table").alias("key"),
         F.to_json(envelope).alias("value"),
     )
+
+
+@dataclass(frozen=True)
+class Polled:
+    """A table to poll: how to read it now, and what the last poll read, if there was one."""
+
+    read: Callable[[], DataFrame]
+    key: str | None = None
+    unique: bool = False
+    order: Sequence[str] = ()
+    last: DataFrame | None = None
+
+
+def poll_tables(
+    tables: Mapping[str, Polled],
+    schema_events: DataFrame,
+    database: str,
+    source: str,
+    at: Column,
+) -> tuple[DataFrame | None, dict[str, DataFrame], dict[str, str]]:
+    """Messages of all tables, the snapshots to keep for the next poll, and why tables failed.
+
+    `schema_events` of this poll are applied to a table's last snapshot first, so a renamed
+    column is compared under its new name, and a key column too. A table that cannot be
+    read fails alone; its last snapshot stays for the next poll. A table without a last
+    snapshot is loaded whole.
+    """
+    wanted = schema_events.filter(F.col("operation").endswith("_COLUMN") & F.col("table").isin(*tables))
+    events: dict[str, list[dict]] = {}
+    # Column events of the polled tables between two polls.
+    for row in wanted.orderBy("table", "operation", "column", "old_column").collect():
+        events.setdefault(row.table, []).append(row.asDict())
+    messages, kept, failed = [], {}, {}
+    for name, table in tables.items():
+        try:
+            now = table.read()
+        except AnalysisException as error:
+            failed[name] = error.getCondition() or "UNREADABLE"
+            if table.last is not None:
+                kept[name] = table.last
+            continue
+        kept[name] = now
+        common = (table.key, name, database, source, at, table.order, table.unique)
+        if table.last is None:
+            messages.append(load_messages(now, *common))
+        else:
+            messages.append(row_messages(apply_schema_events(table.last, events.get(name, ())), now, *common))
+    return (reduce(DataFrame.unionByName, messages) if messages else None), kept, failed

@@ -58,7 +58,8 @@ def catalog_columns(spark, sf_dir):
 
 @query
 def snapshot_scan(spark, sf_dir):
-    return feeds.table(spark, sf_dir, "orders")
+    found, _ = readers.read_sources(spark, {"orders": f"{sf_dir}/orders.parquet"})
+    return found["orders"]
 
 
 @query
@@ -343,6 +344,21 @@ def poll_schema_messages(spark, sf_dir):
     return _unwrapped(out, None, "operation", "table", "old_table", "new_table", "column", "old_column", "new_column", "data_type", "default")
 
 
+@query
+def poll_tables(spark, sf_dir):
+    tables, events = feeds.polled_tables(spark, sf_dir)
+    out, _, failed = poll.poll_tables(tables, events, "shop", "mssql", _polled_at())
+    wire = F.from_json("value", "operation string, data string")
+    rows = out.select("topic", "key", F.inline(F.array(wire)))
+    rows = rows.withColumn("data", F.from_json("data", "map<string,string>"))
+    amount = F.coalesce(F.col("data")["balance"], F.col("data")["s_acctbal"], F.col("data")["p_retailprice"])
+    rows = rows.select("topic", "key", "operation", amount.cast("double").alias("amount"), F.size("data").alias("n_columns"))
+    for name, reason in failed.items():
+        none = spark.range(1).select(F.lit(name).alias("topic"), F.lit(reason).alias("operation"))
+        rows = rows.unionByName(none, allowMissingColumns=True)
+    return rows
+
+
 def _polled_state(prev: DataFrame, cur: DataFrame, key: str | None, order: tuple[str, ...] = ()) -> DataFrame:
     """Rows that are live after a first load and one poll have gone through the messages."""
     source = (key, "t", "shop", "postgresql", _polled_at(), order)
@@ -421,19 +437,75 @@ def cdc_effective_counts(spark, sf_dir):
     return commits.effective_counts(_log(spark, sf_dir))
 
 
+def _messages(feed: DataFrame, *keep: str) -> DataFrame:
+    """Parsed and identified events of a feed that has gone through messages."""
+    name = F.split("table_key", r"\.")
+    value = F.to_json(
+        F.struct(
+            "operation",
+            name[1].alias("table"),
+            name[0].alias("database"),
+            F.lit("mssql").alias("source"),
+            F.struct("user_id", "value", "event_type").alias("data"),
+        )
+    )
+    return envelope.identify(envelope.parse_envelope(feed.select("seq", *keep, value.alias("value"))), "user_id")
+
+
 def _commits(spark, sf_dir) -> DataFrame:
-    feed = feeds.load_feed(spark, sf_dir)
-    return commits.running_totals(commits.batch_summary(feed), commits.new_rows(feed, USER))
+    """Commits of a bronze area that the feed is stored in by two parts."""
+    bronze = Bronze(spark, scratch_dir(spark, "bronze"))
+    events = _messages(feeds.load_feed(spark, sf_dir), "batch_id")
+    half = events.agg(F.max("batch_id")).first()[0] // 2
+    bronze.append_all(events.filter(F.col("batch_id") <= half))
+    bronze.write_change_log()
+    bronze.append_all(events.filter(F.col("batch_id") > half))
+    bronze.write_change_log()
+    return bronze.commits()
 
 
 @query
 def commit_running_total(spark, sf_dir):
-    return _commits(spark, sf_dir).select("table_key", "batch_id", "new_rows", "total_records")
+    return _commits(spark, sf_dir).select(
+        "table_key", "batch_id", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), "total_records"
+    )
 
 
 @query
 def commit_latest(spark, sf_dir):
-    return commits.commit_latest(_commits(spark, sf_dir))
+    columns = "table_key batch_id commit_type operation total inserts updates deletes new_rows total_records".split()
+    return commits.commit_latest(_commits(spark, sf_dir).select(*columns))
+
+
+@query
+def commit_totals_of_log(spark, sf_dir):
+    feed = feeds.load_feed(spark, sf_dir)
+    totals = commits.running_totals(commits.batch_summary(feed), commits.new_rows(feed, USER))
+    return totals.select("table_key", "batch_id", "new_rows", "total_records")
+
+
+@query
+def stored_change_log(spark, sf_dir):
+    bronze = Bronze(spark, scratch_dir(spark, "bronze"))
+    feed = feeds.change_feed(spark, sf_dir)
+    last = feed.agg(F.max("seq")).first()[0] + 1
+    events = _messages(feed.withColumn("batch_id", F.expr(f"seq * 6 div {last}")), "batch_id")
+    for first, after in ((0, 2), (2, 3), (3, 5), (5, 6)):
+        bronze.append_all(events.filter(F.col("batch_id").between(first, after - 1)))
+        if first != 3:
+            bronze.compact()
+    bronze.write_change_log()
+
+    def image(side: str) -> list[Column]:
+        data = F.col(f"{side}.data")
+        return [
+            data["value"].cast("double").alias(f"{side}_value"),
+            data["event_type"].alias(f"{side}_event_type"),
+            F.col(f"{side}.deleted").alias(f"{side}_deleted"),
+        ]
+
+    user = F.col("row_key").cast("bigint").alias("user_id")
+    return bronze.stored_change_log().select("table_key", user, "seq", "operation", *image("before"), *image("after"))
 
 
 @query
@@ -481,10 +553,20 @@ def schema_versions(spark, sf_dir):
 
 
 @query
-def apply_add_table(spark, sf_dir):
+def added_table_columns(spark, sf_dir):
     return drift.added_table_columns(*feeds.catalogs(spark, sf_dir))
 
 
+@query
+def apply_add_table(spark, sf_dir):
+    messages = poll.schema_messages(*feeds.catalogs(spark, sf_dir), "shop", "mssql", _polled_at())
+    raw = messages.select(F.lit(1).cast("bigint").alias("seq"), "value")
+    events = envelope.identify(envelope.parse_envelope(raw), "none").filter("operation = 'ADD_TABLE'")
+    bronze = Bronze(spark, scratch_dir(spark, "bronze"))
+    bronze.append(events, 0)
+    return bronze.tables().select("table_key", F.explode("columns").alias("column", "data_type"))
+
+
 def _evolved_orders(*events: dict[str, str]) -> Query:
     def run(spark, sf_dir):
         return evolve.apply_schema_events(feeds.table(spark, sf_dir, "orders"), events)

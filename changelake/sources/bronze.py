@@ -1,26 +1,30 @@
 """The bronze area: an append-only log per batch, compacted bases, commits.
 
-    log/batch_id=N/table_key=K        row events
+    log/batch_id=N                    row events, sorted by table and row
     schema_events/batch_id=N          schema events
     quarantine/batch_id=N             events that cannot be applied, with the fault
     commits/batch_id=N                counts per table
     batches/batch_id=N                one row, written last: the batch is whole
     base/upto=N                       state of all rows after batch N
     bases/upto=N                      one row, written last: the base is whole
+    change_log/through=N              before and after images of the batches since the last part
+    totals/through=N                  rows born and alive per table and batch of that part
+    parts/through=N                   one row, written last: the part is whole
 
 A batch is written with overwrite under its own number, so a replayed batch
-replaces itself.
+replaces itself. Parts of the change log are added and never written again.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changelake.functions.keys import record_id
-from changelake.operators.commits import batch_summary, effective_counts
+from changelake.operators.commits import GROUP, batch_summary, effective_counts, totals_after
 from changelake.operators.envelope import SCHEMA_FIELDS, split_valid
 from changelake.operators.evolve import evolve_log, table_rules
 from changelake.operators.fold import change_log, fold_state
@@ -45,17 +49,28 @@ _SCHEMA_EVENT = {
     "database": "string",
     "table": "string",
     "source": "string",
+    "columns": "string",
     **dict.fromkeys(SCHEMA_FIELDS, "string"),
 }
 _QUARANTINE = {"seq": "bigint", "value": "string", "fault": "string"}
 _COMMIT = {
     "table_key": "string",
     "commit_type": "string",
+    "operation": "string",
     "total": "bigint",
     "inserts": "bigint",
     "updates": "bigint",
     "deletes": "bigint",
+    "schema_events": "bigint",
     "processed_at": "timestamp",
+    "duration_ms": "bigint",
+}
+_TOTALS = {
+    "table_key": "string",
+    "batch_id": "bigint",
+    "new_rows": "bigint",
+    "effective_deletes": "bigint",
+    "total_records": "bigint",
 }
 _STATE = {
     "table_key": "string",
@@ -79,13 +94,18 @@ class Bronze:
         self.spark = spark
         self.base = base_uri.rstrip("/")
 
-    def _write(self, df: DataFrame, folder: str, by: Sequence[str] = ()) -> None:
-        if by:
-            # Sizes the files of a table by its data: hot tables are split, small ones merged.
-            df = df.hint("rebalance", *[F.col(c) for c in by])
-        writer = df.write.mode("overwrite")
+    def _write(self, df: DataFrame, folder: str, sort: Sequence[str] = (), by: Sequence[str] = ()) -> None:
+        if sort:
+            # Sizes the files by their data, hot tables being split; a table's rows lie
+            # together, so a reader of one table skips the others by file statistics.
+            df = df.hint("rebalance", *[F.col(c) for c in (*by, sort[0])]).sortWithinPartitions(*by, *sort)
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if by else "static")
         (writer.partitionBy(*by) if by else writer).parquet(f"{self.base}/{folder}")
 
+    def _drop(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{folder}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _mark(self, folder: str) -> None:
         self._write(self.spark.range(1).coalesce(1), folder)
 
@@ -98,24 +118,48 @@ class Bronze:
 
     def append(self, events: DataFrame, batch_id: int) -> None:
         """Write one batch of parsed, identified events."""
-        good, bad = split_valid(events.withColumn("processed_at", F.current_timestamp()))
-        rows = good.filter("route <> 'schema'")
-        schema = good.filter("route = 'schema'")
-        numbered = F.lit(batch_id).cast("bigint")
-        summary = batch_summary(rows.withColumn("batch_id", numbered)).unionByName(
-            schema.groupBy("table_key").agg(
-                F.lit("ddl").alias("commit_type"), F.count("*").alias("total")
-            ),
-            allowMissingColumns=True,
-        )
+        start = time.monotonic()
         at = f"batch_id={batch_id}"
-        self._write(rows.select(*_LOG), f"log/{at}", ["table_key"])
+        rows, schema, bad = self._parts(events)
+        self._write(rows.select(*_LOG), f"log/{at}", ["table_key", "row_key"])
         self._write(schema.select(*_SCHEMA_EVENT), f"schema_events/{at}")
         self._write(bad.select(*_QUARANTINE), f"quarantine/{at}")
-        summary = summary.withColumn("processed_at", F.current_timestamp())
-        self._write(summary.select(*_COMMIT), f"commits/{at}")
+        numbered = [df.withColumn("batch_id", F.lit(batch_id).cast("bigint")) for df in (rows, schema)]
+        commits = self._commit_rows(*numbered).withColumn("duration_ms", F.lit(round(1000 * (time.monotonic() - start))))
+        self._write(commits.select(*_COMMIT), f"commits/{at}")
         self._mark(f"batches/{at}")
 
+    def append_all(self, events: DataFrame) -> None:
+        """Write many batches at once, numbered by `batch_id`: a first load, or a replay."""
+        rows, schema, bad = self._parts(events)
+        for df, folder, columns, sort in (
+            (rows, "log", _LOG, ["table_key", "row_key"]),
+            (schema, "schema_events", _SCHEMA_EVENT, ["seq"]),
+            (bad, "quarantine", _QUARANTINE, ["seq"]),
+            (self._commit_rows(rows, schema).withColumn("duration_ms", F.lit(None).cast("bigint")), "commits", _COMMIT, ["table_key"]),
+        ):
+            self._write(df.select(*columns, "batch_id"), folder, sort, ["batch_id"])
+        self._write(events.select("batch_id", F.col("batch_id").alias("id")).distinct(), "batches", ["id"], ["batch_id"])
+
+    def _parts(self, events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        good, bad = split_valid(events.withColumn("processed_at", F.current_timestamp()))
+        return good.filter("route <> 'schema'"), good.filter("route = 'schema'"), bad
+
+    def _commit_rows(self, rows: DataFrame, schema: DataFrame) -> DataFrame:
+        """What each batch brought each table; a renamed table is filed under its old name."""
+        table_key = F.concat_ws(".", "database", F.coalesce("table", "old_table"))
+        changes = schema.groupBy("batch_id", table_key.alias("table_key")).agg(F.count("*").alias("schema_events"))
+        both = batch_summary(rows).join(changes, list(GROUP), "full_outer")
+        counts = [c for c in ("total", "inserts", "updates", "deletes", "schema_events")]
+        commit_type = F.when(F.col("schema_events") > 0, "schema_change").otherwise(F.col("commit_type"))
+        return both.select(
+            *GROUP,
+            commit_type.alias("commit_type"),
+            F.coalesce("operation", F.lit("ddl")).alias("operation"),
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+            F.current_timestamp().alias("processed_at"),
+        )
+
     def log(self) -> DataFrame:
         return self._whole("log", _LOG)
 
@@ -126,7 +170,41 @@ class Bronze:
         return self._whole("quarantine", _QUARANTINE)
 
     def commits(self) -> DataFrame:
-        return self._whole("commits", _COMMIT)
+        """Commits with the rows of the table after each, as far as the change log is stored.
+
+        `schema_id` counts the schema events of the table up to the commit.
+        """
+        whole = self._whole("commits", _COMMIT)
+        earlier = Window.partitionBy("table_key").orderBy("batch_id")
+        # One row per table and batch.
+        whole = whole.withColumn("schema_id", F.sum("schema_events").over(earlier))
+        parts = self._read("parts", {"id": "bigint"}, "through").select("through")
+        totals = self._read("totals", _TOTALS, "through").join(parts, "through", "left_semi")
+        # A table that a later part doesn't touch is carried on there under its last batch.
+        totals = totals.groupBy(*GROUP).agg(
+            *[F.max(c).alias(c) for c in ("new_rows", "effective_deletes", "total_records")], F.min("through").alias("through")
+        )
+        place = F.concat(F.lit(f"{self.base}/change_log/through="), F.col("through").cast("string"))
+        return whole.join(totals, list(GROUP), "left").withColumn("change_log", place).drop("through")
+
+    def tables(self) -> DataFrame:
+        """`table_key`, `columns` (name to type) of the registered tables, also of those without rows.
+
+        Tables and columns are registered by `ADD_TABLE` and `ADD_COLUMN`, and stand under
+        their present names.
+        """
+        schema = self.schema_events()
+        added = F.when(F.col("operation") == "ADD_TABLE", F.from_json("columns", "map<string,string>"))
+        added = added.when(F.col("operation") == "ADD_COLUMN", F.create_map(F.col("column"), F.coalesce("data_type", F.lit(""))))
+        none = F.from_json(F.lit("{}"), "map<string,string>")
+        rows = schema.filter(F.col("operation").isin("ADD_TABLE", "ADD_COLUMN")).select(
+            F.concat_ws(".", "database", "table").alias("table_key"), "seq", F.coalesce(added, none).alias("data")
+        )
+        present = evolve_log(rows, schema.filter("operation <> 'ADD_COLUMN'"))
+        entries = present.select("table_key", F.explode_outer(F.map_entries("data")).alias("e"))
+        last = entries.groupBy("table_key", F.col("e.key").alias("key")).agg(F.max("e.value").alias("value"))
+        pairs = F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "value")))
+        return last.groupBy("table_key").agg(F.map_from_entries(pairs).alias("columns"))
 
     def _base(self) -> tuple[DataFrame | None, int]:
         """The last whole base and the batch it reaches."""
@@ -180,29 +258,82 @@ class Bronze:
             "record_id", *[F.col("data")[c].alias(c) for c in columns], "deleted"
         )
 
-    def change_log(self) -> DataFrame:
-        """Before and after images of the events since the last base."""
-        base, events = self._inputs()
-        return change_log(events, KEY, "seq", IMAGE, base=base, keep=["batch_id"])
+    def _logged(self) -> int:
+        """The last batch whose changes are stored."""
+        last = self._read("parts", {"id": "bigint"}, "through").agg(F.max("through")).first()[0]
+        return -1 if last is None else last
+
+    def change_log(self, after: int | None = None, through: int | None = None) -> DataFrame:
+        """Before and after images of the events of the batches after one, up to another.
+
+        Without bounds, of all batches since the last base. The images start from the state
+        that the last base or the events before `after` give, whichever is there.
+        """
+        base, upto = self._base()
+        if after is None or after == upto:
+            base, events = self._inputs(through)
+            return change_log(events, KEY, "seq", IMAGE, base=base, keep=["batch_id"])
+        if after < upto:
+            raise ValueError(f"the events between batch {after} and the base at {upto} are folded already")
+        base, events = self._inputs(through)
+        early = fold_state(events.filter(F.col("batch_id") <= after), KEY, "seq", IMAGE, base=base)
+        return change_log(events.filter(F.col("batch_id") > after), KEY, "seq", IMAGE, base=early, keep=["batch_id"])
+
+    def write_change_log(self) -> int | None:
+        """Add the changes of the whole batches since the last part; returns the last of these batches.
 
-    def write_change_log(self, folder: str) -> None:
-        """Store the change log by table and batch."""
-        log = self.change_log().hint("rebalance", F.col("table_key"), F.col("batch_id"))
-        log.write.mode("overwrite").partitionBy("table_key", "batch_id").parquet(f"{self.base}/{folder}")
+        Images have the column names of the time they are stored.
+        """
+        done = self._logged()
+        through = self._read("batches", {"id": "bigint"}).agg(F.max("batch_id")).first()[0]
+        if through is None or through <= done:
+            return None
+        part = f"through={through}"
+        changes = self.change_log(done, through)
+        self._write(changes, f"change_log/{part}", ["table_key", "batch_id"])
+        stored = self.spark.read.parquet(f"{self.base}/change_log/{part}")
+        earlier = self._read("totals", _TOTALS, "through").filter(F.col("through") == done)
+        self._write(totals_after(effective_counts(stored), earlier), f"totals/{part}")
+        self._mark(f"parts/{part}")
+        return through
+
+    def stored_change_log(self) -> DataFrame:
+        """All changes stored so far."""
+        parts = self._read("parts", {"id": "bigint"}, "through").select("through")
+        if parts.isEmpty():
+            return self.change_log().limit(0)
+        return self.spark.read.parquet(f"{self.base}/change_log").join(parts, "through", "left_semi").drop("through")
 
     def effective_counts(self) -> DataFrame:
         return effective_counts(self.change_log())
 
-    def compact(self) -> int | None:
-        """Fold the whole batches into a new base; returns the batch it reaches."""
+    def compact(self, clean: bool = True) -> int | None:
+        """Fold the whole batches into a new base; returns the batch it reaches.
+
+        Their changes are stored first. With `clean`, row events that a base and the change
+        log hold, and bases before the last two, are deleted; schema events, commits and
+        quarantine stay. A reader that has planned on the base before may go on.
+        """
+        self.write_change_log()
         batches = self._read("batches", {"id": "bigint"})
         through = batches.agg(F.max("batch_id")).first()[0]
         if through is None:
             return None
+        bases = sorted(row.upto for row in self._read("bases", {"id": "bigint"}, "upto").select("upto").distinct().collect())
+        if bases and bases[-1] == through:
+            return through
         base, events = self._inputs(through)
         state = fold_state(events, KEY, "seq", IMAGE, base=base)
-        self._write(state.select(*_STATE), f"base/upto={through}", ["table_key"])
+        self._write(state.select(*_STATE), f"base/upto={through}", ["table_key", "row_key"])
         self._mark(f"bases/upto={through}")
+        if clean and bases:
+            # Batches behind the base before this one; that base still serves readers.
+            old = self._read("batches", {"id": "bigint"}).filter(F.col("batch_id") <= bases[-1])
+            for row in old.select("batch_id").distinct().toLocalIterator():
+                self._drop(f"log/batch_id={row.batch_id}")
+            for upto in bases[:-1]:
+                self._drop(f"bases/upto={upto}")
+                self._drop(f"base/upto={upto}")
         return through
 
 

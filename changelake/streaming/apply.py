@@ -13,6 +13,13 @@ from changelake.operators.fold import fold_state
 from changelake.sources.bronze import Bronze
 
 AVAILABLE_NOW = {"availableNow": True}
+#: Names under which the streams report what each micro-batch received.
+APPLY_METRICS, STATE_METRICS = "bronze_apply", "keyed_state"
+
+
+def received(events: DataFrame, name: str) -> DataFrame:
+    """`events`, counted as they pass; each progress report of the stream holds the counts."""
+    return events.observe(name, F.count(F.lit(1)).alias("events"), F.max("seq").alias("last_seq"))
 
 
 def start_apply_stream(
@@ -36,7 +43,8 @@ def start_apply_stream(
             events.unpersist()
 
     return (
-        raw.writeStream.foreachBatch(apply)
+        received(raw, APPLY_METRICS)
+        .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()
@@ -63,8 +71,9 @@ def start_state_stream(
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    counted = events.observe(STATE_METRICS, F.count(F.lit(1)).alias("events"), F.max(seq).alias("last_seq"))
     return (
-        fold_state(events, key, seq, image, op)
+        fold_state(counted, key, seq, image, op)
         .writeStream.outputMode("update")
         .foreachBatch(put)
         .option("checkpointLocation", checkpoint)

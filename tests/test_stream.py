@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from changelake.operators.envelope import identify, parse_envelope
-from changelake.operators.fold import fold_state
+from changelake.operators.fold import change_log, fold_state
 from changelake.sources.bronze import IMAGE, KEY, Bronze
 from changelake.sources.readers import read_lines_stream
-from changelake.streaming.apply import latest_state, start_apply_stream, start_state_stream
+from changelake.streaming.apply import APPLY_METRICS, latest_state, start_apply_stream, start_state_stream
 
 WIRE = "seq bigint, value string"
 
@@ -77,7 +77,7 @@ def test_unfinished_batch_is_not_read(spark, tmp_path):
     bronze = run(spark, tmp_path / "in", tmp_path / "out", tmp_path / "cp")
     whole = bronze.log().count()
     part = spark.read.parquet(f"{tmp_path}/out/log/batch_id=0")
-    part.write.partitionBy("table_key").parquet(f"{tmp_path}/out/log/batch_id=1")
+    part.write.parquet(f"{tmp_path}/out/log/batch_id=1")
     assert bronze.log().count() == whole
 
 
@@ -90,13 +90,40 @@ def test_compaction(spark, tmp_path):
     run(spark, tmp_path / "in", tmp_path / "out", tmp_path / "cp")
     want = states(batch_state(spark, rows))
     assert states(bronze.state()) == want
-    bronze.write_change_log("change_log")
-    log = spark.read.parquet(f"{tmp_path}/out/change_log")
-    assert log.count() == bronze.change_log().count() > 0
+    since = bronze.change_log().count()
+    assert bronze.write_change_log() == 3 and bronze.write_change_log() is None
+    log = bronze.stored_change_log()
+    assert log.count() == batch_log(spark, rows).count() > since > 0
+    assert changes(log) == changes(batch_log(spark, rows))
     assert log.filter("operation = 'INSERT' AND after IS NULL").count() == 0
-    assert bronze.compact() == 3
+    assert (tmp_path / "out/log/batch_id=1").exists()
+    assert bronze.compact() == 3 and bronze.compact() == 3
+    assert not (tmp_path / "out/log/batch_id=1").exists() and (tmp_path / "out/log/batch_id=2").exists()
     assert states(bronze.state()) == want
     assert bronze.change_log().count() == 0
+    alive = batch_state(spark, rows).groupBy("table_key").count()
+    totals = bronze.commits().groupBy("table_key").agg(F.max_by("total_records", "batch_id").alias("count"))
+    assert {tuple(r) for r in totals.collect()} == {tuple(r) for r in alive.collect()}
+    assert bronze.commits().filter("change_log IS NULL OR operation IS NULL OR duration_ms IS NULL").count() == 0
+
+
+def batch_log(spark, rows):
+    events = identify(parse_envelope(spark.createDataFrame(rows, WIRE)), "id").filter("fault IS NULL")
+    return change_log(events, KEY, "seq", IMAGE)
+
+
+def changes(log):
+    return {(r.table_key, r.row_key, r.seq): (r.operation, r.before, r.after) for r in log.collect()}
+
+
+def test_streams_report_what_they_received(spark, tmp_path):
+    rows = lines(6)
+    put(spark, rows, tmp_path / "in", 2)
+    raw = read_lines_stream(spark, str(tmp_path / "in"), WIRE, 1)
+    stream = start_apply_stream(raw, str(tmp_path / "out"), str(tmp_path / "cp"), "id")
+    stream.awaitTermination()
+    counts = [p.observedMetrics[APPLY_METRICS].events for p in stream.recentProgress if APPLY_METRICS in p.observedMetrics]
+    assert sum(counts) == len(rows)
 
 
 def test_schema_events_across_a_compaction(spark, tmp_path):
