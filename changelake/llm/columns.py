@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 from changelake.session import scratch_dir
 
 
+#: Rows of an Arrow batch. Spark's default of 10,000 makes tens of megabytes of texts, which
+#: the JVM and a Python worker each hold more than once.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -89,10 +89,9 @@ def _collapsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, rows, values = (batch.column(place).to_pylist() for place in range(3))
         data, offsets = bytes_of(batch.column(5))
-        raw = data.tobytes()
         pointers = []
         for place, (id, row, value) in enumerate(zip(ids, rows, values)):
-            entry, new = table.find(value, raw[offsets[place] : offsets[place + 1]])
+            entry, new = table.find(value, data[offsets[place] : offsets[place + 1]].tobytes())
             rank = _LAST if id is None else id
             if new:
                 entries.append([row, rank, row, 0])

@@ -30,7 +30,7 @@ FEWEST = 24
 #: Languages that can be learned; a column with more values is refused.
 MOST_LANGUAGES = 4096
 #: Characters scored at a time.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 UNKNOWN = "und"
 
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, 2 * place + 1, 1 << 64) for place in range(ORDER)], np.uint64)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id
-from changelake.llm.columns import chosen, stored, table
+from changelake.llm.columns import chosen, small_batches, stored, table
 
 
 def _decisions(found: DataFrame, kept: Column) -> DataFrame:
@@ -22,16 +22,19 @@ def _decisions(found: DataFrame, kept: Column) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; texts without letters, and letters like no language, go."""
+    small_batches(spark)
     return language_id.accepted(docs, language_id.learn(docs, "doc_id", "text", "lang"))
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of smallest id of each group of equal texts."""
+    small_batches(spark)
     return chosen(docs, _decisions(exact_dedup.deduplicate(docs), F.col("kept")))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of smallest id of each class of texts that similarity links."""
+    small_batches(spark)
     return chosen(docs, _decisions(jaccard_join.jaccard_components(docs), F.col("kept")))
 
 
@@ -43,6 +46,7 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`doc_id`, `n_tokens`, and the token ids as little-endian unsigned 32-bit integers."""
+    small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
