@@ -22,8 +22,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces whose ids are kept per Python worker; when full, the memo starts anew.
-MEMO = 400_000
+#: Pieces whose ids, and pairs of tokens whose compatibility, are kept per Python worker;
+#: when full, a memo starts anew. An entry takes about 200 bytes.
+MEMO = 300_000
+PAIRS = 250_000
 #: Longer pieces are encoded but not kept.
 MEMO_LENGTH = 64
 #: Rows encoded before their results are sent on.
@@ -55,7 +57,7 @@ class ByteBpe:
         self.merged: dict[tuple[int, int], int] = {}
         for rank in range(len(tokens)):
             self._split(rank)
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         self.memo = _Memo(self)
 
     def _longest_proper_prefix(self, token: bytes) -> int:
@@ -103,11 +105,12 @@ class ByteBpe:
                         return True
 
     def compatible(self, one: int, two: int) -> bool:
-        found = self.known.get((one, two))
+        pair = one << 32 | two
+        found = self.known.get(pair)
         if found is None:
-            if len(self.known) >= 4 * MEMO:
+            if len(self.known) >= PAIRS:
                 self.known.clear()
-            found = self.known[one, two] = self._check(one, two)
+            found = self.known[pair] = self._check(one, two)
         return found
 
     def encode_piece(self, piece: bytes) -> list[int]:

@@ -31,10 +31,10 @@ from changelake.llm.byte_bpe import vocabulary_file
 #: Characters of a chunk.
 CHUNK = 1 << 15
 #: Words whose counts are kept per Python worker; when full, the memo starts anew.
-MEMO = 400_000
+MEMO = 300_000
 MEMO_LENGTH = 64
 #: States and transitions kept; beyond, the machine is built anew as texts need it.
-STATES = 400_000
+STATES = 150_000
 ROWS = 256
 NONE = -1
 
