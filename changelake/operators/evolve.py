@@ -154,14 +154,15 @@ def _column_rules(events: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("name", "steps"))).alias("names")
     )
     earlier = Window.partitionBy("scope", "final").orderBy("seq")
-    since = F.coalesce(F.lag("seq").over(earlier), F.lit(_OLDEST))
+    since = F.coalesce(F.lag("seq").over(earlier), F.lit(_OLDEST).cast(events.schema["seq"].dataType))
     defaults = added.join(final, "id").filter("final IS NOT NULL").select(
         F.col("scope").alias("table_key"),
         F.struct(since.alias("since"), F.col("seq").alias("until"), F.col("final").alias("name"), "value").alias("default"),
     )
     defaults = defaults.groupBy("table_key").agg(F.sort_array(F.collect_list("default")).alias("defaults"))
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<struct<until: bigint, name: string>>>"))
-    none = F.array().cast("array<struct<since: bigint, until: bigint, name: string, value: string>>")
+    kind = events.schema["seq"].dataType.simpleString()
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast(f"array<array<struct<until: {kind}, name: string>>>"))
+    none = F.array().cast(f"array<struct<since: {kind}, until: {kind}, name: string, value: string>>")
     return names.join(defaults, "table_key", "full_outer").select(
         "table_key", F.coalesce("names", empty).alias("names"), F.coalesce("defaults", none).alias("defaults")
     )

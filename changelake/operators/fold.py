@@ -37,7 +37,10 @@ def _with_states(
     base: DataFrame | None,
 ) -> DataFrame:
     """Events, and rows of the base state, as the values the fold works on."""
-    operation, order = F.col(op), F.col(seq).cast("bigint")
+    # Smaller integers are widened, so that a stored base fits later events.
+    wide = "bigint" if events.schema[seq].dataType.typeName() in ("byte", "short", "integer") else events.schema[seq].dataType
+    operation, order = F.col(op), F.col(seq).cast(wide)
+    none = F.lit(None).cast(wide)
     is_delete = operation == "DELETE"
     columns = F.struct(
         order.alias("seq"), operation.alias("operation"), *[F.col(c) for c in image]
@@ -65,8 +68,8 @@ def _with_states(
         F.col("_seq").alias("_order"),
         F.lit(BASE).alias("_op"),
         F.col("_seq").alias("_first"),
-        F.lit(None).cast("bigint").alias("_delete"),
-        F.lit(None).cast("bigint").alias("_insert"),
+        none.alias("_delete"),
+        none.alias("_insert"),
         F.col("deleted").alias("_flag"),
         kept.alias("_image"),
     )

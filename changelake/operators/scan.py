@@ -3,7 +3,8 @@
 A window partitioned by the key alone would sort a hot key in a single task.
 Here the rows of a key are cut into segments of `2 ** bits` consecutive sequence
 numbers. A sequence number occurs once per key, so no segment can hold more
-rows than that, however the rows spread over keys. Each segment is summed up
+rows than that, however the rows spread over keys. Where sequence numbers are
+sparse, as those with a time in front are, wider segments hold as few rows. Each segment is summed up
 with a partial aggregation, the sums are scanned over the segments in the same
 way, and each segment starts from a carry row that holds what came before it.
 """
@@ -11,6 +12,7 @@ way, and each segment starts from a carry row that holds what came before it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,12 @@ BITS = 20
 LEVELS = 2
 
 
+def segment(seq: Column, bits: int) -> Column:
+    """The first sequence number of the segment, exact for bigint and decimal ones."""
+    width = F.lit(2**bits) if bits < 63 else F.lit(Decimal(2**bits))
+    return seq - F.pmod(seq, width)
+
+
 def _aggregate(kind: str, name: str, order: str) -> Column:
     value = F.col(name)
     if kind == "last":
@@ -43,18 +51,19 @@ def prefix_scan(
     """Add `<state>_before` and `<state>_after` for each row in `seq` order per key.
 
     `states` maps a column to `sum`, `min`, `max` or `last` (last value that is
-    not null). `seq` is a bigint that occurs once per key. Two levels bound
-    every window group for any spread of a 63-bit sequence.
+    not null). `seq` is a bigint or decimal without fraction that occurs once per
+    key. Segments of each further level hold 2^20 of the level before. Two levels
+    bound every window group for any spread of a 63-bit sequence.
     """
     if levels == 0:
         return _window(df, list(key), [F.col(seq)], states)
 
     part = f"_segment{levels}"
-    segments = df.withColumn(part, F.shiftright(F.col(seq).cast("bigint"), bits))
+    segments = df.withColumn(part, segment(F.col(seq), bits))
     sums = segments.groupBy(*key, part).agg(
         *[_aggregate(kind, name, seq).alias(name) for name, kind in states.items()]
     )
-    scanned = prefix_scan(sums, key, part, states, bits, levels - 1)
+    scanned = prefix_scan(sums, key, part, states, bits + BITS, levels - 1)
     known = F.coalesce(*[F.when(F.col(f"{n}_before").isNotNull(), True) for n in states])
     carry = scanned.filter(known).select(
         *key, part, *[F.col(f"{n}_before").alias(n) for n in states], F.lit(0).alias("_row")

@@ -28,7 +28,8 @@ from changelake.operators.commits import GROUP, batch_summary, effective_counts,
 from changelake.operators.envelope import SCHEMA_FIELDS, split_valid
 from changelake.operators.evolve import evolve_log, table_rules
 from changelake.operators.fold import change_log, fold_state
-from changelake.sources.readers import read_or_empty
+from changelake.operators.scan import BITS
+from changelake.sources.readers import OFFSET_BITS, read_or_empty
 
 KEY = ["table_key", "row_key"]
 IMAGE = ["source", "data"]
@@ -88,11 +89,18 @@ def _schema(columns: dict[str, str], number: str) -> str:
 
 
 class Bronze:
-    """Reads and writes one bronze area below a base URI."""
+    """Reads and writes one bronze area below a base URI.
 
-    def __init__(self, spark: SparkSession, base_uri: str):
+    `seq` is the type of the sequence numbers: bigint, or `SEQUENCE` where topics are read
+    across. The change log then cuts a key's events by seconds.
+    """
+
+    def __init__(self, spark: SparkSession, base_uri: str, seq: str = "bigint"):
         self.spark = spark
         self.base = base_uri.rstrip("/")
+        self.bits = BITS if seq == "bigint" else OFFSET_BITS + 10
+        self.log_columns, self.schema_columns, self.bad_columns = ({**c, "seq": seq} for c in (_LOG, _SCHEMA_EVENT, _QUARANTINE))
+        self.state_columns = {**_STATE, "_seq": seq}
 
     def _write(self, df: DataFrame, folder: str, sort: Sequence[str] = (), by: Sequence[str] = ()) -> None:
         if sort:
@@ -121,7 +129,7 @@ class Bronze:
         start = time.monotonic()
         at = f"batch_id={batch_id}"
         rows, schema, bad = self._parts(events)
-        self._write(rows.select(*_LOG), f"log/{at}", ["table_key", "row_key"])
+        self._write(rows.select(*self.log_columns), f"log/{at}", ["table_key", "row_key"])
         self._write(schema.select(*_SCHEMA_EVENT), f"schema_events/{at}")
         self._write(bad.select(*_QUARANTINE), f"quarantine/{at}")
         numbered = [df.withColumn("batch_id", F.lit(batch_id).cast("bigint")) for df in (rows, schema)]
@@ -161,13 +169,13 @@ class Bronze:
         )
 
     def log(self) -> DataFrame:
-        return self._whole("log", _LOG)
+        return self._whole("log", self.log_columns)
 
     def schema_events(self) -> DataFrame:
-        return self._whole("schema_events", _SCHEMA_EVENT)
+        return self._whole("schema_events", self.schema_columns)
 
     def quarantine(self) -> DataFrame:
-        return self._whole("quarantine", _QUARANTINE)
+        return self._whole("quarantine", self.bad_columns)
 
     def commits(self) -> DataFrame:
         """Commits with the rows of the table after each, as far as the change log is stored.
@@ -212,7 +220,10 @@ class Bronze:
         upto = bases.agg(F.max("upto")).first()[0]
         if upto is None:
             return None, -1
-        return read_or_empty(self.spark, f"{self.base}/base/upto={upto}", _schema_of_state()), upto
+        return read_or_empty(self.spark, f"{self.base}/base/upto={upto}", self._state_schema()), upto
+
+    def _state_schema(self) -> str:
+        return ", ".join(f"`{name}` {kind}" for name, kind in self.state_columns.items())
 
     def _inputs(
         self, through: int | None = None, table_key: str | None = None
@@ -235,7 +246,7 @@ class Bronze:
             only = F.col("table_key").isin(table_key, *[row.table_key for row in was.collect()])
             base, log = base if base is None else base.filter(only), log.filter(only)
         if base is not None:
-            oldest = base.withColumn("seq", F.lit(-(2**63)).cast("bigint"))
+            oldest = base.withColumn("seq", F.lit(-(2**63)).cast(self.log_columns["seq"]))
             base = evolve_log(oldest, schema.filter(F.col("batch_id") > upto)).drop("seq")
         return base, evolve_log(log, schema, tables)
 
@@ -272,12 +283,12 @@ class Bronze:
         base, upto = self._base()
         if after is None or after == upto:
             base, events = self._inputs(through)
-            return change_log(events, KEY, "seq", IMAGE, base=base, keep=["batch_id"])
+            return change_log(events, KEY, "seq", IMAGE, base=base, keep=["batch_id"], bits=self.bits)
         if after < upto:
             raise ValueError(f"the events between batch {after} and the base at {upto} are folded already")
         base, events = self._inputs(through)
         early = fold_state(events.filter(F.col("batch_id") <= after), KEY, "seq", IMAGE, base=base)
-        return change_log(events.filter(F.col("batch_id") > after), KEY, "seq", IMAGE, base=early, keep=["batch_id"])
+        return change_log(events.filter(F.col("batch_id") > after), KEY, "seq", IMAGE, base=early, keep=["batch_id"], bits=self.bits)
 
     def write_change_log(self) -> int | None:
         """Add the changes of the whole batches since the last part; returns the last of these batches.
@@ -335,7 +346,3 @@ class Bronze:
                 self._drop(f"bases/upto={upto}")
                 self._drop(f"base/upto={upto}")
         return through
-
-
-def _schema_of_state() -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in _STATE.items())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,9 +102,17 @@ def kafka_options(servers: str, pattern: str = ".*", **options: str) -> dict[str
     }
 
 
+#: Kafka's number for times set by the broker on append.
+LOG_APPEND_TIME = 1
+#: The type of a sequence number that holds a time and an offset whole.
+SEQUENCE = "decimal(38,0)"
+OFFSET_BITS = 63
+
+
 def topic_sequence(timestamp: Column, offset: Column) -> Column:
-    """Milliseconds since 1970, then the low 20 bits of the offset, as one bigint."""
-    return F.unix_millis(timestamp) * 2**20 + F.pmod(offset, F.lit(2**20))
+    """Milliseconds since 1970 before the whole offset, as one number."""
+    milliseconds = F.unix_millis(timestamp).cast("decimal(19,0)")
+    return (milliseconds * F.lit(Decimal(2**OFFSET_BITS)) + offset.cast("decimal(19,0)")).cast(SEQUENCE)
 
 
 def read_topics_stream(
@@ -113,12 +122,17 @@ def read_topics_stream(
 
     By default `seq` is the offset, the exact order within a partition; the
     producer has to key its messages by record. Where schema events come on a
-    topic of their own, `across_topics` puts the time the broker appended the
-    record first, so that rows before and after a schema event can be told
-    apart to the millisecond.
+    topic of their own, `across_topics` puts the record's time first, so that rows
+    before and after a schema event can be told apart to the millisecond; such a
+    `seq` is a `SEQUENCE`, which the bronze area has to be told. That time is only
+    an order if the topics set it on append (`message.timestamp.type` is
+    `LogAppendTime`). Else it is the producer's, and producers' clocks may differ:
+    such records are refused when they are read.
     """
     raw = spark.readStream.format("kafka").options(**options).load()
-    time_first = topic_sequence(F.col("timestamp"), F.col("offset"))
+    refused = F.raise_error(F.lit("a record has its producer's time; set message.timestamp.type to LogAppendTime"))
+    appended = F.when(F.col("timestampType") == LOG_APPEND_TIME, F.col("timestamp")).otherwise(refused)
+    time_first = topic_sequence(appended, F.col("offset"))
     return raw.select(
         F.col("value").cast("string").alias("value"),
         "topic",

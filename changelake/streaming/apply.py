@@ -31,14 +31,19 @@ def start_apply_stream(
 ) -> StreamingQuery:
     """Append each micro-batch of envelopes (`value, seq`) to the bronze area.
 
+    A first load of everything under `availableNow` should be read with a limit per
+    micro-batch, for each is kept on executors while its parts are written.
+
     The micro-batch number is the batch number, and a batch overwrites itself,
     so a batch that is run again after a failure leaves the same result.
     """
 
+    seq = raw.schema["seq"].dataType.simpleString()
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         events = identify(parse_envelope(batch), key).persist()
         try:
-            Bronze(batch.sparkSession, base_uri).append(events, batch_id)
+            Bronze(batch.sparkSession, base_uri, seq).append(events, batch_id)
         finally:
             events.unpersist()
 

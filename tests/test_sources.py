@@ -37,10 +37,12 @@ def test_kafka_options():
 
 
 def test_sequence_across_topics(spark):
-    rows = [("2024-01-01 00:00:00.001", 7), ("2024-01-01 00:00:00.001", 8), ("2024-01-01 00:00:00.002", 3)]
+    offsets = [7, 8, 2**20 - 1, 2**20, 2**20 + 1, 2**62]
+    rows = [("2024-01-01 00:00:00.001", offset) for offset in offsets] + [("2024-01-01 00:00:00.002", 3), ("9999-12-31 00:00:00", 2**63 - 1)]
     df = spark.createDataFrame(rows, "t string, o bigint")
     got = [r[0] for r in df.select(readers.topic_sequence(F.col("t").cast("timestamp"), F.col("o"))).collect()]
-    assert got == sorted(got) and len(set(got)) == 3 and got[1] - got[0] == 1
+    assert got == sorted(got) and len(set(got)) == len(rows)
+    assert [int(value) - int(got[0]) for value in got[:6]] == [offset - 7 for offset in offsets]
 
 
 def test_topic_folders(spark, tmp_path):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from changelake.operators.envelope import identify, parse_envelope
 from changelake.operators.fold import change_log, fold_state
 from changelake.sources.bronze import IMAGE, KEY, Bronze
-from changelake.sources.readers import read_lines_stream
+from changelake.sources.readers import SEQUENCE, read_lines_stream, topic_sequence
 from changelake.streaming.apply import APPLY_METRICS, latest_state, start_apply_stream, start_state_stream
 
 WIRE = "seq bigint, value string"
@@ -116,6 +116,26 @@ def changes(log):
     return {(r.table_key, r.row_key, r.seq): (r.operation, r.before, r.after) for r in log.collect()}
 
 
+def test_times_before_offsets_order_events(spark, tmp_path):
+    rows = lines(7)
+    plain = identify(parse_envelope(spark.createDataFrame(rows, WIRE)), "id")
+    # Two records a millisecond, whose offsets pass a multiple of 2^20.
+    time, offset = F.timestamp_millis(F.expr("seq div 2 + 1700000000000")), F.col("seq") + 2**20 - 200
+    events = plain.withColumn("at", F.col("seq")).withColumn("seq", topic_sequence(time, offset))
+    bronze = Bronze(spark, str(tmp_path / "out"), SEQUENCE)
+    for batch, (first, after) in enumerate(((0, 150), (150, 300), (300, 400))):
+        bronze.append(events.filter(F.col("at").between(first, after - 1)).drop("at"), batch)
+        if batch == 0:
+            bronze.compact()
+    bronze.write_change_log()
+    good = plain.filter("fault IS NULL")
+    whole = {key: value[:2] + value[3:] for key, value in states(fold_state(good, KEY, "seq", IMAGE)).items()}
+    assert {key: value[:2] + value[3:] for key, value in states(bronze.state()).items()} == whole
+    stored = sorted((r.table_key, r.row_key, r.seq, r.operation, str(r.before), str(r.after)) for r in bronze.stored_change_log().collect())
+    want = sorted((r.table_key, r.row_key, r.seq, r.operation, str(r.before), str(r.after)) for r in change_log(good, KEY, "seq", IMAGE).collect())
+    assert [row[:2] + row[3:] for row in stored] == [row[:2] + row[3:] for row in want]
+
+
 def test_streams_report_what_they_received(spark, tmp_path):
     rows = lines(6)
     put(spark, rows, tmp_path / "in", 2)
