@@ -96,7 +96,9 @@ def _compared(old: DataFrame, new: DataFrame, prev: DataFrame, cur: DataFrame) -
     )
 
 
+#: Hashes of a whole row, which choose between rows of one id, and of the columns compared.
 _HASHES = ("_hash1", "_hash2")
+_SAME = ("_same1", "_same2")
 
 
 def _digest(df: DataFrame, columns: Sequence[str], names: Sequence[str] = _HASHES) -> DataFrame:
@@ -106,6 +108,16 @@ def _digest(df: DataFrame, columns: Sequence[str], names: Sequence[str] = _HASHE
     return df.withColumns({name: F.xxhash64(F.lit(seed), *values, *flags) for seed, name in enumerate(names, start=1)})
 
 
+def _hashed(df: DataFrame, key: str | None) -> DataFrame:
+    return _digest(df.withColumn(ROW_ID, row_id(df.columns, key)), df.columns)
+
+
+def briefed(df: DataFrame, key: str | None, common: Sequence[str], order: Sequence[str] = (), unique: bool = False) -> DataFrame:
+    """Ids, order columns and hashes of the rows, one for each id; no other column is shuffled."""
+    rows = _digest(_hashed(df, key), common, _SAME).select(ROW_ID, *order, *_HASHES, *_SAME)
+    return rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
+
+
 def snapshot_diff_narrow(
     prev: DataFrame, cur: DataFrame, key: str, folder: str, order: Sequence[str] = (), unique: bool = False
 ) -> DataFrame:
@@ -121,23 +133,14 @@ def snapshot_diff_narrow(
     hash, with odds of 2^-128 for a changed row.
     """
     common = _common(prev, cur)
-    same = ("_same1", "_same2")
-
-    def hashed(df: DataFrame) -> DataFrame:
-        return _digest(df.withColumn(ROW_ID, row_id(df.columns, key)), df.columns)
-
-    def brief(df: DataFrame, side: str) -> DataFrame:
-        rows = _digest(hashed(df), common, same).select(ROW_ID, *order, *_HASHES, *same)
-        rows = rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
-        return rows.select(ROW_ID, F.struct(*same).alias(side))
-
-    brief(prev, "p").join(brief(cur, "c"), ROW_ID, "full_outer").filter(
-        ~F.col("p").eqNullSafe(F.col("c"))
-    ).select(ROW_ID).write.parquet(folder)
+    old, new = (briefed(df, key, common, order, unique) for df in (prev, cur))
+    sides = [df.select(ROW_ID, F.struct(*_SAME).alias(side)) for df, side in ((old, "p"), (new, "c"))]
+    differing = sides[0].join(sides[1], ROW_ID, "full_outer").filter(~F.col("p").eqNullSafe(F.col("c")))
+    differing.select(ROW_ID).write.parquet(folder)
     changed = prev.sparkSession.read.parquet(folder)
 
     def only_changed(df: DataFrame) -> DataFrame:
-        rows = hashed(df).join(changed, ROW_ID, "left_semi")
+        rows = _hashed(df, key).join(changed, ROW_ID, "left_semi")
         rows = rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
         return rows.drop(*_HASHES)
 

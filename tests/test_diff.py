@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changelake.operators.diff import (
+    briefed,
     last_wins,
     snapshot_deletes,
     snapshot_diff,
@@ -109,3 +110,21 @@ def test_one_shuffle_per_side(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_first_pass_of_the_narrow_diff_shuffles_hashes_only(spark):
+    wide = spark.createDataFrame([(1, "a", 2.0, "long text")], "id int, a string, b double, note string")
+    brief = briefed(wide, "id", wide.columns, ["b"])
+    plan = brief._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange", 1)[1].split("Project", 1)[0]
+    assert "_hash1" in below and "note" not in below and " a#" not in below
+    assert brief.columns == ["_row_id", "b", "_hash1", "_hash2", "_same1", "_same2"]
+
+
+def test_both_passes_choose_the_same_of_repeated_ids(spark):
+    prev = spark.createDataFrame([(1, "x", 1.0), (1, "y", 1.0), (2, "z", 1.0)], SCHEMA)
+    cur = spark.createDataFrame([(1, "y", 1.0), (1, "x", 1.0), (2, "z", 2.0), (2, "w", 3.0)], SCHEMA)
+    found = {r._row_id: r for r in narrow(prev, cur, "id").collect()}
+    assert set(found) == {"2"} and found["2"].before.a == "z"
+    ordered = snapshot_diff_narrow(prev, cur, "id", scratch_dir(spark, "changed"), ["b"]).collect()
+    assert [(r._row_id, r.after.a) for r in ordered] == [("2", "w")]
