@@ -142,9 +142,9 @@ def event_identity(data: Column, table_key: Column, key: str | Mapping[str, str]
     if isinstance(key, str):
         value = data[key]
     else:
-        value = F.lit(None).cast("string")
-        for name, column in key.items():
-            value = F.when(table_key == name, data[column]).otherwise(value)
+        # One literal however many tables there are.
+        pairs = [F.lit(text) for pair in key.items() for text in pair]
+        value = data[F.create_map(*pairs)[table_key]] if pairs else F.lit(None).cast("string")
     ordered = F.to_json(F.array_sort(F.map_entries(data)))
     return F.coalesce(F.when(strip(value) != "", value), F.md5(ordered))
 

@@ -2,14 +2,82 @@
 
 from __future__ import annotations
 
-from changelake.functions.cleaners import CODE_CHARACTERS, WHITESPACE
 from changelake.plans.feeds import BATCH_ROWS, DROPPED_ON, RENAMED_ON
 from changelake.plans.queries import TABLES
-from changelake.plans.silver import SPEC_A, SPEC_B
 
 ORACLE: dict[str, str] = {}
 
-_SPACE = WHITESPACE.replace("\r", "").replace("\n", "").replace("\t", "")
+# Fixed values, written out again so that a change in the library shows: white space
+# beyond tab and line ends, and the characters a code keeps.
+_SPACE = (
+    "\x0b\x0c\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_CODE = "0-9A-Za-z\u00c0-\u1ef9"
+
+# Target column, type, source column and cleaner of the two silver sources.
+_SILVER_A = """
+    STT | string | stt | raw
+    Mã KH | string |  | raw
+    Mã HĐ | string |  | raw
+    Mã nhân viên | string | ma_nv | code
+    NV quản lý | string |  | raw
+    Mã lái xe | string |  | raw
+    ID cuốc xe | string |  | raw
+    Số thẻ | string | so_the | raw
+    Tên trên thẻ | string | ten_in_tren_the | ws
+    Sản phẩm | string | san_pham | ws
+    Số tiền | bigint | so_tien | number
+    Số giao dịch | string | so_giao_dich | code
+    Mã giao dịch | string |  | raw
+    Mã tài | string |  | raw
+    Ngày giao dịch | date |  | raw
+    Thời điểm giao dịch | string |  | raw
+    Ngày đi thực tế | string | ngay_di_thuc_te | date
+    Ngày hiệu lực | string | ngay_hieu_luc | date
+    Biển số xe | string | bs_xe | code
+    Điểm đón | string | diem_don_ghi_chu | ws
+    Điểm trả | string | diem_tra | ws
+    Đơn vị phát sinh | string | don_vi_phat_sinh | ws
+    Mã ĐV phát sinh | string |  | raw
+    Tên ĐV phát sinh | string |  | raw
+    Mã ĐV quản lý KH | string |  | raw
+    Tên ĐV quản lý KH | string |  | raw
+    Trạng thái giao dịch | string |  | raw
+    Loại giao dịch | string |  | raw
+    Ghi chú | string |  | raw
+"""
+_SILVER_B = """
+    STT | string | stt | int
+    Mã KH | string | ma_kh | code
+    Mã HĐ | string | ma_hd | code
+    Mã nhân viên | string |  | raw
+    NV quản lý | string | nv_quan_ly | code
+    Mã lái xe | string | ma_lai_xe | code
+    ID cuốc xe | string | id_cuoc_xe | code
+    Số thẻ | string | so_the | raw
+    Tên trên thẻ | string | ten_in_tren_the | ws
+    Sản phẩm | string | san_pham | ws
+    Số tiền | bigint | so_tien | number
+    Số giao dịch | string |  | raw
+    Mã giao dịch | string | ma_gd | code
+    Mã tài | string | so_tai | code
+    Ngày giao dịch | date |  | raw
+    Thời điểm giao dịch | string | thoi_diem_giao_dich | date
+    Ngày đi thực tế | string |  | raw
+    Ngày hiệu lực | string |  | raw
+    Biển số xe | string |  | raw
+    Điểm đón | string |  | raw
+    Điểm trả | string |  | raw
+    Đơn vị phát sinh | string |  | raw
+    Mã ĐV phát sinh | string | ma_dv_phat_sinh_gd | code
+    Tên ĐV phát sinh | string | ten_dv_phat_sinh_gd | ws
+    Mã ĐV quản lý KH | string |  | raw
+    Tên ĐV quản lý KH | string |  | raw
+    Trạng thái giao dịch | string | trang_thai | ws
+    Loại giao dịch | string | loai_gd | ws
+    Ghi chú | string |  | raw
+"""
 
 
 def _trim(x: str) -> str:
@@ -23,7 +91,7 @@ def _ws(x: str) -> str:
 def _code(x: str) -> str:
     # DuckDB maps the sharp s to one capital letter; full case mapping makes it SS.
     x = f"replace({x}, 'ß', 'ss')"
-    return f"CASE WHEN {x} <> '' THEN upper(regexp_replace({x}, '[^{CODE_CHARACTERS}]', '', 'g')) END"
+    return f"CASE WHEN {x} <> '' THEN upper(regexp_replace({x}, '[^{_CODE}]', '', 'g')) END"
 
 
 def _number(x: str) -> str:
@@ -256,12 +324,12 @@ _CLEAN = {
 }
 
 
-def _conform(spec, source: str) -> str:
-    columns = [
-        f'CAST({"NULL" if t.source is None else _CLEAN[t.cleaner](t.source)} AS'
-        f' {"VARCHAR" if t.kind == "string" else t.kind}) AS "{t.name}"'
-        for t in spec
-    ]
+def _conform(mapping: str, source: str) -> str:
+    columns = []
+    for line in mapping.strip().splitlines():
+        name, kind, column, cleaner = [part.strip() for part in (line + " | |").split("|")][:4]
+        value = _CLEAN[cleaner](column) if column else "NULL"
+        columns.append(f'CAST({value} AS {"VARCHAR" if kind == "string" else kind}) AS "{name}"')
     return f"SELECT {', '.join(columns)} FROM {source}"
 
 
@@ -563,9 +631,9 @@ for _name, _new in {"apply_rename_table": "shop.sales", "apply_drop_table": "sho
 
 _sql("prune_soft_dropped", "SELECT stt, so_the, so_tien FROM source_a", SOURCES)
 _sql("filter_soft_deleted", "SELECT stt, deleted FROM live_a", SOURCES)
-_sql("conform_a", _conform(SPEC_A, "live_a"), SOURCES)
-_sql("conform_b", _conform(SPEC_B, "live_b"), SOURCES)
-_sql("silver_unified", f"{_conform(SPEC_A, 'live_a')} UNION ALL {_conform(SPEC_B, 'live_b')}", SOURCES)
+_sql("conform_a", _conform(_SILVER_A, "live_a"), SOURCES)
+_sql("conform_b", _conform(_SILVER_B, "live_b"), SOURCES)
+_sql("silver_unified", f"{_conform(_SILVER_A, 'live_a')} UNION ALL {_conform(_SILVER_B, 'live_b')}", SOURCES)
 _sql(
     "append_evolve",
     """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_mktsegment AS segment,
