@@ -45,18 +45,22 @@ _MONTH = r"\+?0*(1[0-2]|[1-9])"
 _DAY = r"\+?0*([12][0-9]|3[01]|[1-9])"
 _YEAR_FIRST = rf"\A{_YEAR}[-/. ]{_MONTH}[-/. ]{_DAY}\z"
 _YEAR_LAST = rf"\A{_DAY}[-/. ]{_MONTH}[-/. ]{_YEAR}\z"
-_ISO = r"\A([1-9][0-9]{3}-(?:1[0-2]|[1-9])-(?:[12][0-9]|3[01]|[1-9]))\z"
 
 
 def clean_date(value: Column | str) -> Column:
     """`y-m-d` or `d-m-y`, parted by `-` `/` `.` or space, as `dd-MM-yyyy`; else null."""
-    text = F.regexp_replace(strip(value), _YEAR_FIRST, "$1-$2-$3")
-    text = F.regexp_replace(text, _YEAR_LAST, "$3-$2-$1")
-    return F.date_format(_cast_found(F.regexp_extract(text, _ISO, 1), "date"), "dd-MM-yyyy")
-
-
-# White space; the left side settles most text without a look at the long list.
-_SPACES = f"[[^!-~]&&[{WHITESPACE_CLASS}]]+"
+    text = strip(value)
+    # Text of neither form costs two failing matches, which end at the first odd character.
+    iso = F.when(text.rlike(_YEAR_FIRST), F.regexp_replace(text, _YEAR_FIRST, "$1-$2-$3")).when(
+        text.rlike(_YEAR_LAST), F.regexp_replace(text, _YEAR_LAST, "$3-$2-$1")
+    )
+    return F.date_format(iso.try_cast("date"), "dd-MM-yyyy")
+
+
+# White space; the left side settles most text without a look at the long list. A lone
+# space needs no change, so it is no match: most text then is not copied.
+_SPACE = f"[[^!-~]&&[{WHITESPACE_CLASS}]]"
+_SPACES = f"[[^ -~]&&[{WHITESPACE_CLASS}]]{_SPACE}*| {_SPACE}+"
 
 
 def clean_whitespace(value: Column | str) -> Column:
