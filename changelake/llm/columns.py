@@ -76,8 +76,8 @@ NAMED = 200_000
 def chosen(df: DataFrame, decisions: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `df`, all columns, that are kept by `decisions` (`id`, `text_hash`, `kept`: one row for each of `df`).
 
-    Rows alike in id and text count as one, of which one is returned if any is kept. Null
-    ids match null ids. Where few rows go, their keys are sent to all tasks and no text is
+    Of rows alike in id and text all are returned, or none, or one if only some are kept.
+    Null ids match null ids. Where few rows go, their keys are sent to all tasks and no text is
     shuffled; else both sides are joined by shuffle.
     """
     number, kept = F.count(F.lit(1)), F.count_if("kept")
