@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.operators.scan import BITS, LEVELS, prefix_scan
+from changelake.operators.scan import BITS, levels_for, prefix_scan
 
 CHANGE_OPERATIONS = ("INITIAL_LOAD", "INSERT", "UPDATE", "DELETE")
 BASE = "BASE"
@@ -130,15 +130,18 @@ def change_log(
     base: DataFrame | None = None,
     keep: Sequence[str] = (),
     bits: int = BITS,
-    levels: int = LEVELS,
+    levels: int | None = None,
 ) -> DataFrame:
     """`before` and `after` image of the row that each event meets.
 
+    Without `levels`, the events of each key are counted first, which runs a job.
+
     An image holds the columns of the row and its `deleted` flag, and is null
     where the row does not exist. `keep` names further event columns to return.
     """
     rows = _with_states(events, key, seq, op, image, base)
     rows = rows.select(*key, "_order", "_op", *keep, *_STATES)
+    levels = levels_for(events, key) if levels is None else levels
     scanned = prefix_scan(rows, key, "_order", _STATES, bits, levels)
 
     def image_at(side: str) -> Column:

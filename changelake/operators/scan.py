@@ -27,6 +27,16 @@ def segment(seq: Column, bits: int) -> Column:
     return seq - F.pmod(seq, width)
 
 
+def levels_for(df: DataFrame, key: Sequence[str], rows: int = 2**BITS) -> int:
+    """0, a plain window, where no key has more rows than one segment may hold; else all levels.
+
+    Counting the keys reads them alone and is reduced before its shuffle, which costs less
+    than the shuffles and sorts of the levels it saves.
+    """
+    most = df.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+    return 0 if most <= rows else LEVELS
+
+
 def _aggregate(kind: str, name: str, order: str) -> Column:
     value = F.col(name)
     if kind == "last":
