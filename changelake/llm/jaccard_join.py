@@ -13,8 +13,11 @@ are found.
    Prefix shingles that two sets share put these sets in one candidate group; all links
    lie within groups.
 3. A group is cut by size classes, of which only neighbours can link, and by hash into
-   blocks of bounded size; each pair of blocks is one task's work. Small groups are one block.
-4. Within a pair of blocks each set is a query on the inverted lists of the others. By
+   blocks of bounded size. Small groups are one block and one task's work. Of a large group,
+   each block is first searched together with one other block, which connects most of a
+   group of near copies. Then only the sets outside its largest part, packed into blocks,
+   are searched against all blocks: sets of that part are connected already.
+4. Within a task's blocks each set is a query on the inverted lists of the others. By
    DivideSkip, short lists are merged with a heap, and candidates that occur on them often
    enough are looked up in the long ones by binary search. Sets known to be connected are
    passed over, and only links that connect two parts are returned.
@@ -46,7 +49,7 @@ PERCENT = 85
 #: The part of the hash space in which shingles are grouped, of 256.
 PART = 80
 #: Shingles of a block.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Largest sketch: 2^24 counters of 4 bytes.
 SKETCH_BITS = 24
 #: Sets handled together.
@@ -192,37 +195,79 @@ def _groups(postings: DataFrame) -> DataFrame:
     return postings.select("set", "n").distinct().join(grouped, "set")
 
 
-def _blocks(members: DataFrame, percent: int, block: int) -> DataFrame:
-    """`set` and each `pair` of blocks it takes part in, with its `side`: 0 where both blocks are one."""
+_PAIR = ("group", "c", "r", "d", "i")
+
+
+def _pair(**parts: Column) -> Column:
+    none = F.lit(None).cast("long")
+    return F.struct(*[parts.get(name, none).cast("binary" if name == "group" else "long").alias(name) for name in _PAIR]).alias("pair")
+
+
+def _small(members: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The work of small groups, and the members of large ones."""
     whole = members.groupBy("group").agg(F.sum("n").alias("total"))
-    members = members.join(whole, "group").withColumn("large", F.col("total") > block)
-    small = members.filter("not large").select("set", F.struct("group").alias("key"))
+    members = members.join(whole, "group")
+    small = members.filter(F.col("total") <= block)
+    return small.select("set", _pair(group=F.col("group")), F.lit(0).alias("side")), members.filter(F.col("total") > block).drop("total")
+
+
+def _with_counts(rows: DataFrame, counted: DataFrame, name: str) -> DataFrame:
+    """`rows` with the number `name` of their class, and of the classes before and after it."""
+    for shift, suffix in ((-1, "_before"), (0, ""), (1, "_after")):
+        other = counted.select("group", (F.col("class") - shift).alias("class"), F.col(name).alias(f"{name}{suffix}"))
+        rows = rows.join(other, ["group", "class"], "left").fillna(0, f"{name}{suffix}")
+    return rows
+
+
+def _cut(large: DataFrame, percent: int, block: int) -> DataFrame:
+    """Large groups' sets with their size `class`, and their block `own` of the class's `blocks`."""
     # A linked set has t times the size at least, so classes further apart hold no links.
     step = math.log(100 / percent) * 1.0001
-    large = members.filter("large").withColumn("class", F.floor(F.log("n") / step))
-    sizes = large.groupBy("group", "class").agg(F.ceil(F.sum("n") / block).alias("blocks"))
-    sizes = sizes.select("group", "class", "blocks")
-    after = sizes.select("group", (F.col("class") - 1).alias("class"), F.col("blocks").alias("after"))
-    before = sizes.select("group", (F.col("class") + 1).alias("class"), F.col("blocks").alias("before"))
-    large = large.join(sizes.join(after, ["group", "class"], "left").join(before, ["group", "class"], "left"), ["group", "class"])
-    large = large.withColumn("own", F.pmod(F.xxhash64("set"), F.col("blocks")))
-    pairs = F.expr(
-        """concat(
-            transform(sequence(0L, blocks - 1), other -> struct(class as c, least(own, other) as i, class as d, greatest(own, other) as j,
-                if(own = other, 0, if(own < other, 1, 2)) as side)),
-            if(after is null, array(), transform(sequence(0L, after - 1), other -> struct(class as c, own as i, class + 1 as d, other as j, 1 as side))),
-            if(before is null, array(), transform(sequence(0L, before - 1), other -> struct(class - 1 as c, other as i, class as d, own as j, 2 as side)))
-        )"""
+    large = large.withColumn("class", F.floor(F.log("n") / step))
+    counted = large.groupBy("group", "class").agg(F.ceil(F.sum("n") / block).alias("blocks"))
+    return _with_counts(large, counted, "blocks").withColumn("own", F.pmod(F.xxhash64("set"), F.col("blocks")))
+
+
+def _first_round(cut: DataFrame) -> DataFrame:
+    """Each block by itself and beside the first one of its class; the first ones beside those of the class below."""
+    group, size, own = F.col("group"), F.col("class"), F.col("own")
+    alone = cut.select("set", _pair(group=group, c=size, i=own), F.lit(0).alias("side"))
+    first = cut.filter("own = 0")
+    others = first.filter("blocks > 1").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)))
+    others = others.select("set", _pair(group=group, c=size, i=F.col("i")), F.lit(2).alias("side"))
+    above = first.filter("blocks_after > 0").select("set", _pair(group=group, c=size + 1, i=F.lit(0)), F.lit(2).alias("side"))
+    return alone.unionByName(others).unionByName(above)
+
+
+def _second_round(cut: DataFrame, linked: DataFrame, block: int) -> DataFrame:
+    """Sets outside the largest part of their group, in blocks, against all blocks; `known` are the parts so far."""
+    known = cut.join(linked, "set", "left").withColumn("known", F.coalesce("component", "set")).drop("component")
+    parts = known.groupBy("group", "known").agg(F.count(F.lit(1)).alias("size"))
+    largest = parts.groupBy("group").agg(F.max(F.struct("size", "known")).alias("largest"))
+    known = known.join(largest, "group").withColumn("out", F.col("known") != F.col("largest.known")).drop("largest")
+    counted = known.filter("out").groupBy("group", "class").agg(F.ceil(F.sum("n") / block).alias("packs"))
+    known = _with_counts(known, counted, "packs")
+    group, size, own = F.col("group"), F.col("class"), F.col("own")
+
+    def spread(rows: DataFrame, name: str) -> DataFrame:
+        """A row for each of the numbered things in the class and its neighbours."""
+
+        def numbered(column: str, shift: int) -> Column:
+            numbers = F.sequence(F.lit(0).cast("long"), F.col(column) - 1)
+            found = F.transform(numbers, lambda k: F.struct(F.lit(shift).alias("shift"), k.alias("k")))
+            return F.when(F.col(column) > 0, found).otherwise(F.array().cast("array<struct<shift: int, k: bigint>>"))
+
+        each = [numbered(f"{name}_before", -1), numbered(name, 0), numbered(f"{name}_after", 1)]
+        return rows.withColumn("at", F.explode(F.concat(*each)))
+
+    pack = F.pmod(F.xxhash64("set", F.lit("pack")), F.col("packs"))
+    queries = spread(known.filter("out").withColumn("pack", pack), "blocks").select(
+        "set", _pair(group=group, c=size, r=F.col("pack"), d=size + F.col("at.shift"), i=F.col("at.k")), F.lit(1).alias("side"), "known"
     )
-    large = large.select("set", "group", F.explode(pairs).alias("p"))
-    large = large.select("set", F.struct("group", "p.c", "p.i", "p.d", "p.j").alias("pair"), F.col("p.side").alias("side"))
-    none = F.lit(None).cast("long")
-    small = small.select(
-        "set",
-        F.struct(F.col("key.group").alias("group"), none.alias("c"), none.alias("i"), none.alias("d"), none.alias("j")).alias("pair"),
-        F.lit(0).alias("side"),
+    indexed = spread(known, "packs").select(
+        "set", _pair(group=group, c=size + F.col("at.shift"), r=F.col("at.k"), d=size, i=own), F.lit(2).alias("side"), "known"
     )
-    return small.unionByName(large)
+    return queries.unionByName(indexed)
 
 
 def _full_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -305,8 +350,8 @@ class Index:
 
 
 class _Forest:
-    def __init__(self, number: int) -> None:
-        self.label = np.arange(number)
+    def __init__(self, labels: np.ndarray) -> None:
+        self.label = labels
 
     def join(self, one: int, two: int) -> bool:
         a, b = self.label[one], self.label[two]
@@ -315,17 +360,23 @@ class _Forest:
         return a != b
 
 
-def block_links(sides: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links of a pair of blocks as far as they connect parts not connected yet."""
-    forest, links = _Forest(len(sets)), []
+def block_links(sides: list[int], sets: list[np.ndarray], percent: int, parts: list | None = None) -> list[tuple[int, int]]:
+    """Links of a task's sets as far as they connect parts not connected yet.
+
+    Sets of side 1 are queries on the others, those of side 2 are only indexed, and those
+    of side 0 are both. `parts` names the known part of each set.
+    """
+    labels = np.arange(len(sets)) if parts is None else np.unique(parts, return_inverse=True)[1]
+    forest, links = _Forest(labels), []
     indexed = np.array([number for number, side in enumerate(sides) if side != 1], np.int64)
+    always = np.array([sides[number] == 2 for number in indexed], bool)
     index = Index([sets[number] for number in indexed])
     for query, side in enumerate(sides):
         if side == 2:
             continue
         open_ = forest.label[indexed] != forest.label[query]
         if side == 0:
-            open_ &= indexed < query
+            open_ &= always | (indexed < query)
         for found in index.search(sets[query], percent, open_):
             other = int(indexed[found])
             if forest.join(query, other):
@@ -334,21 +385,35 @@ def block_links(sides: list[int], sets: list[np.ndarray], percent: int) -> list[
 
 
 def _links(blocks: DataFrame, percent: int) -> DataFrame:
-    """`u`, `v`: links that connect all linked sets of each pair of blocks."""
+    """`u`, `v`: links that connect all linked sets of each task, as far as they are not `known` to be."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sides, sets = [], [], []
+        keys, sides, parts, sets = [], [], [], []
         for batch in rows:
             keys += batch.column("set").to_pylist()
             sides += batch.column("side").to_pylist()
+            parts += batch.column("known").to_pylist()
             sets += [np.frombuffer(raw, np.uint64) for raw in batch.column("shingles").to_pylist()]
         order = sorted(range(len(keys)), key=keys.__getitem__)
-        links = block_links([sides[n] for n in order], [sets[n] for n in order], percent)
+        known = np.array([parts[n] for n in order], object)
+        links = block_links([sides[n] for n in order], [sets[n] for n in order], percent, known)
         yield pa.RecordBatch.from_arrays(
             [pa.array([keys[order[pair[end]]] for pair in links], pa.binary()) for end in (0, 1)], ["u", "v"]
         )
 
-    return blocks.select("pair", "set", "side", "shingles").groupBy("pair").applyInArrow(run, "u binary, v binary")
+    return blocks.select("pair", "set", "side", "known", "shingles").groupBy("pair").applyInArrow(run, "u binary, v binary")
+
+
+def _all_links(full: DataFrame, members: DataFrame, percent: int, block: int) -> DataFrame:
+    small, large = _small(members, block)
+    cut = stored(_cut(large, percent, block), "cut")
+    first = small.unionByName(_first_round(cut)).withColumn("known", F.col("set"))
+    links = stored(_links(full.join(first, "set"), percent), "links")
+    if cut.isEmpty():
+        return links
+    linked = components(links).select(F.col("node").alias("set"), "component")
+    second = _second_round(cut, linked, block)
+    return links.unionByName(_links(full.join(second, "set"), percent))
 
 
 def jaccard_components(
@@ -373,8 +438,7 @@ def jaccard_components(
     counts = frequencies(full, min(SKETCH_BITS, max(12, math.ceil(math.log2(16 * number)))))
     postings = stored(_shared_postings(_prefixes(full, counts, percent)), "postings")
     members = stored(_groups(postings), "members")
-    links = _links(full.join(_blocks(members, percent, block), "set"), percent)
-    linked = components(links).select(F.col("node").alias("set"), "component")
+    linked = components(_all_links(full, members, percent, block)).select(F.col("node").alias("set"), "component")
     rank = F.struct(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), "text_hash")
     by_set = sets.filter("n > 0").groupBy("set").agg(F.min(rank).alias("least"))
     by_set = by_set.join(linked, "set", "left").withColumn("component", F.coalesce("component", "set"))
