@@ -166,8 +166,14 @@ def identify(events: DataFrame, key: str | Mapping[str, str]) -> DataFrame:
     )
 
 
-def flatten(events: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Bronze rows: the five event columns and the named data columns, as text."""
+def flatten(
+    events: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), processed_at: Column | None = None
+) -> DataFrame:
+    """Bronze rows: the five event columns and the named data columns, as text.
+
+    `processed_at`, such as `current_timestamp()`, adds the time of processing as ISO text.
+    """
+    time = [] if processed_at is None else [F.date_format(processed_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_processed_at")]
     return events.select(
         *keep,
         F.col("database").alias("_source_database"),
@@ -175,6 +181,7 @@ def flatten(events: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
         F.col("source").alias("_source_type"),
         F.col("operation").alias("_operation"),
         F.col("record_id").alias("_record_id"),
+        *time,
         *[F.col("data")[c].alias(c) for c in columns],
     )
 

@@ -109,13 +109,17 @@ def schema_messages(
 
 @dataclass(frozen=True)
 class Polled:
-    """A table to poll: how to read it now, and what the last poll read, if there was one."""
+    """A table to poll: how to read it now, and what the last poll read, if there was one.
+
+    One that is not `enabled` is left alone until it is again.
+    """
 
     read: Callable[[], DataFrame]
     key: str | None = None
     unique: bool = False
     order: Sequence[str] = ()
     last: DataFrame | None = None
+    enabled: bool = True
 
 
 def poll_tables(
@@ -139,6 +143,10 @@ def poll_tables(
         events.setdefault(row.table, []).append(row.asDict())
     messages, kept, failed = [], {}, {}
     for name, table in tables.items():
+        if not table.enabled:
+            if table.last is not None:
+                kept[name] = table.last
+            continue
         try:
             now = table.read()
         except AnalysisException as error:

@@ -75,6 +75,8 @@ def test_identity(spark):
     assert all(len(r.row_key) == 32 for r in hashed) and len({r.row_key for r in hashed}) == 2
     flat = flatten(rows, ["id", "tags"]).columns
     assert flat[:5] == ["_source_database", "_source_table", "_source_type", "_operation", "_record_id"]
+    timed = flatten(rows, ["id"], processed_at=F.lit("2024-01-02 03:04:05.000006").cast("timestamp_ntz"))
+    assert {r._processed_at for r in timed.collect()} == {"2024-01-02T03:04:05.000006"}
 
 
 def test_build_and_parse_agree(spark):
