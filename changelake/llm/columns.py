@@ -26,11 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def narrowed(df: DataFrame, **columns: Column) -> DataFrame:
-    """Only the named columns, so that extra ones can neither clash nor be shuffled."""
-    return df.select(*[column.alias(name) for name, column in columns.items()])
-
-
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to the shared scratch folder and read again, which ends its lineage."""
     path = scratch_dir(df.sparkSession, purpose)

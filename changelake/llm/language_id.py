@@ -74,6 +74,15 @@ def hashes(codes: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
+def _row_hashes(codes: np.ndarray) -> np.ndarray:
+    """The same of rows of codes."""
+    size = codes.shape[1]
+    total = np.full(len(codes), size, np.uint64)
+    for back in range(size):
+        total += (codes[:, size - 1 - back].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[back]
+    return total
+
+
 def _find(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Place of each wanted value, or -1."""
     if not len(sorted_):
@@ -129,11 +138,7 @@ class Model:
 
 def _unique(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct rows in the order of their hashes, the hashes, and the summed counts."""
-    size = codes.shape[1]
-    value = np.full(len(codes), size, np.uint64)
-    for back in range(size):
-        value += (codes[:, size - 1 - back].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[back]
-    found, first, which = np.unique(value, return_index=True, return_inverse=True)
+    found, first, which = np.unique(_row_hashes(codes), return_index=True, return_inverse=True)
     return codes[first], found, np.bincount(which, counts, len(found))
 
 
@@ -187,13 +192,6 @@ def kneser_ney(counted: dict[str, tuple[np.ndarray, np.ndarray]], order: int = O
     return model
 
 
-def _row_hashes(codes: np.ndarray) -> np.ndarray:
-    value = np.full(len(codes), codes.shape[1], np.uint64)
-    for back in range(codes.shape[1]):
-        value += (codes[:, codes.shape[1] - 1 - back].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[back]
-    return value
-
-
 def learn(labelled: DataFrame, id: str, text: str, language: str, sample: int = SAMPLE) -> Model:
     """Models of all languages of `labelled`; rows without id, text or language are left out.
 
