@@ -23,8 +23,10 @@ from changelake.llm.columns import stored
 
 #: Longest n-gram.
 ORDER = 5
-#: Characters of training text for a language, about; a bound on the model's size.
+#: Characters of training text for a language, about, and for all together: a bound on the
+#: model's size, as an n-gram takes 8 bytes and 4 for each language.
 SAMPLE = 3_000_000
+WHOLE_SAMPLE = 30_000_000
 #: Letters below which a text is never rejected: its cross-entropy varies too much.
 FEWEST = 24
 #: Languages that can be learned; a column with more values is refused.
@@ -200,10 +202,12 @@ def learn(labelled: DataFrame, id: str, text: str, language: str, sample: int =
     counted on Spark, each batch's first, and only the distinct ones of that sample are gathered.
     """
     rows = labelled.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(language).alias("language")).dropna()
-    share = rows.groupBy("language").agg((F.lit(float(sample)) / F.greatest(F.sum(F.length("text")), F.lit(1))).alias("share"))
+    share = rows.groupBy("language").agg(F.greatest(F.sum(F.length("text")), F.lit(1)).alias("characters"))
     share = stored(share, "languages")
-    if share.count() > MOST_LANGUAGES:
+    number = share.count()
+    if number > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    share = share.withColumn("share", min(sample, WHOLE_SAMPLE / max(1, number)) / F.col("characters"))
     place = (F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("place")
     drawn = rows.withColumn("place", place).join(F.broadcast(share), "language").filter(F.col("place") < F.col("share"))
     calibrating = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("calibrate")), F.lit(10)) == 0
