@@ -260,7 +260,8 @@ def identify(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text"
 
     A text that is null or has no letter is `und` with score 0, and rejected. Equal
     cross-entropies go to the first language by name. A text of `FEWEST` letters or more is
-    rejected if even its language's cross-entropy is beyond that language's limit. Ids may
+    rejected if even its language's cross-entropy is beyond that language's limit. If no
+    language was learned, all are `und`, and only those without letters rejected. Ids may
     be null or repeated; other columns are not read.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
@@ -317,7 +318,7 @@ def _scored(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
         known, names = letters > 0, model.languages
     languages = [names[column] if here else UNKNOWN for column, here in zip(best, known)]
     limits = model.limits[best] if model.languages else entropy
-    rejected = ~known | ((letters >= FEWEST) & (entropy > limits))
+    rejected = (letters == 0) | ((letters >= FEWEST) & (entropy > limits))
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0),

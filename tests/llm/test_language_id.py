@@ -117,7 +117,8 @@ def test_edge_texts(spark, model):
 def test_nothing_learned(spark, labelled):
     model = learn(labelled.limit(0), "doc_id", "text", "lang")
     rows = spark.createDataFrame([(1, "ka"), (2, None)], "doc_id long, text string")
-    assert [(row.lang_pred, row.score) for row in identify(rows, model).collect()] == [("und", 0.0)] * 2
+    found = sorted(identify(rows, model).collect(), key=lambda row: row.doc_id)
+    assert [(row.lang_pred, row.score, row.rejected) for row in found] == [("und", 0.0, False), ("und", 0.0, True)]
     assert identify(rows.limit(0), model).collect() == []
 
 
