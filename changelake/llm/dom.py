@@ -29,9 +29,10 @@ _SCOPE = frozenset("td th table button caption html body".split())
 
 @dataclass(slots=True)
 class Node:
+    """An element. It doesn't know its parent, so a tree is freed as soon as it isn't used."""
+
     tag: str
     attributes: dict[str, str]
-    parent: Node | None = None
     #: Elements, and texts as strings, in page order.
     children: list[Node | str] = field(default_factory=list)
 
@@ -57,7 +58,7 @@ class _Reader(HTMLParser):
         if tag in CLOSES:
             names, border = CLOSES[tag]
             self._close(names.split(), border)
-        node = Node(tag, {name: value or "" for name, value in attrs}, self.open[-1])
+        node = Node(tag, {name: value or "" for name, value in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
