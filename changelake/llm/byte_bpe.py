@@ -147,6 +147,11 @@ class ByteBpe:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
 
+    def forget(self) -> None:
+        """Free the memos; an idle Python worker then holds the vocabulary only."""
+        self.memo.clear()
+        self.known.clear()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -185,7 +190,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, id: str = "doc_id", text: st
 
     `ranks` names a rank file. A null text counts as empty and gives no ids. Ids may be
     null or repeated; each row gets its own result. Other columns are not read. No shuffle:
-    a text is encoded where it is read, and only a worker's memo outlives it.
+    a text is encoded where it is read, and nothing but the vocabulary outlives a task.
     """
     name = vocabulary_file(df, ranks)
 
@@ -199,6 +204,8 @@ def encode(df: DataFrame, ranks: str, pattern: str, id: str = "doc_id", text: st
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], ["id", "ids", "decoded"]
                 )
+        bpe.forget()
+        pa.default_memory_pool().release_unused()
 
     kind = df.schema[id].dataType.simpleString()
     found = df.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, ids binary, decoded binary")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from changelake.llm.columns import bytes_of, stored, text_hash, text_or_empty
 
 #: Bytes of text that one table holds.
-MEMORY = 24 << 20
+MEMORY = 12 << 20
 #: Further bits by which a partition that is too large is split.
 STEP = 4
 #: Large partitions up to this number are named to all tasks; a row of them takes 16 bytes.
@@ -107,6 +107,7 @@ def _collapsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _spilled(len(ids), id=ids, row=rows, pointer=pointers, text_hash=batch.column(3), sha=batch.column(4))
     if entries:
         yield _texts(table, entries)
+    pa.default_memory_pool().release_unused()
 
 
 def _texts(table: ContentTable, entries: list[list[int]]) -> pa.RecordBatch:
@@ -167,6 +168,7 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 group[:2] = first, first_row
             waiting.append((pointer, entry))
     yield from _groups(waiting, groups)
+    pa.default_memory_pool().release_unused()
 
 
 def _groups(waiting: list[tuple[int, int]], groups: list[list[int]]) -> Iterator[pa.RecordBatch]:

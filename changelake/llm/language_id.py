@@ -288,6 +288,7 @@ def accepted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 part = batch.slice(start, end - start)
                 texts = pa.RecordBatch.from_arrays([part.column(place)] * 2, ["id", "text"])
                 yield part.filter(pc.invert(_scored(held.value, texts).column("rejected")))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, df.schema)
 
