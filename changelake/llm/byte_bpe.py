@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 #: Pieces whose ids, and pairs of tokens whose compatibility, are kept per Python worker;
 #: when full, a memo starts anew. An entry takes about 200 bytes.
-MEMO = 300_000
-PAIRS = 250_000
+MEMO = 200_000
+PAIRS = 150_000
 #: Longer pieces are encoded but not kept.
 MEMO_LENGTH = 64
 #: Rows encoded before their results are sent on.

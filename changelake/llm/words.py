@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bytes of text hashed at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
