@@ -5,10 +5,11 @@ the same names and classes from the root down, are one node. A node whose childr
 alike on all pages, and whose texts recur on many of them, says little about a page. Its
 importance is an entropy: of the arrangements of its children (presentation), and of the
 pages on which each text occurs (content). A page's branches of low importance are left
-out. Hosts with few pages borrow from the tree of all hosts.
+out, and texts that recur on most pages. Hosts with few pages borrow from the tree of all hosts.
 
-What an element is by its name, class or role adds to what was learned: navigation, notices,
-forms and the like are never main text, and a page's article outweighs what stands beside it.
+Whether a block is in a main element moves the bar that its importance has to reach: inside
+an article low importance still takes it out, beside one high importance still keeps it.
+Elements such as navigation and forms are never main text.
 """
 
 from __future__ import annotations
@@ -28,8 +29,12 @@ from changelake.llm.dom import Node, blocks, parse
 DAMPING = 0.9
 #: Pages of a host that weigh as much as the tree of all hosts.
 BORROWED = 20
-#: Importance below which a branch is left out.
-LEAST = 0.45
+#: Importance that keeps a block: inside a main element, beside one, and on pages without one.
+INSIDE, BESIDE, LEAST = 0.2, 0.8, 0.4
+#: Importance below which a single text counts as repeated, wherever it stands.
+REPEATED = 0.2
+#: Pages that must hold a path or a text before what was learned outweighs its element.
+SEEN = 5
 
 #: Elements, and words of classes, ids and roles, that are never main text.
 NEVER = frozenset(
@@ -78,7 +83,6 @@ class Tree:
             for child in children:
                 self._enter(child, node)
             stack += reversed(children)
-        self.has_main = bool(self.main)
 
     def _enter(self, node: Node, parent: Node) -> None:
         classes = _NUMBERS.sub("", " ".join(sorted(node.attributes.get("class", "").lower().split())))
@@ -103,29 +107,47 @@ class Tree:
                 kinds.append(kind)
         return _hash(kinds)
 
-    def text(self, importance: dict[int, tuple[float, float]]) -> str:
-        """Texts of the branches that are important enough, joined by line breaks.
+    def text(self, importance: dict[int, tuple[float, float, int]], repeated: frozenset[tuple[int, int]] = frozenset()) -> str:
+        """Texts of the blocks that are important enough, joined by line breaks.
 
-        A branch goes as a whole if nothing in it is important.
+        `importance` has the presentation and content of a path and the pages it was seen on,
+        `repeated` the paths and hashes of repeated texts. Where nothing in the main elements
+        is important, as on copies of one page, their blocks stay.
         """
-        own = {id(block) for block, _ in blocks(self.root)}
-        best: dict[int, float] = {}
-        score: dict[int, float] = {}
+        texts: dict[int, list[str]] = {}
+        for block, text in blocks(self.root):
+            texts.setdefault(id(block), []).append(text)
+        high: set[int] = set()
+        # Blocks of main elements that only low importance takes out.
+        low: set[int] = set()
+        for node in self.order:
+            if id(node) in texts and id(node) not in self.never:
+                path = self.path[id(node)]
+                presentation, content, seen = importance.get(path, (1.0, 1.0, 0))
+                value = (1 - DAMPING) * presentation + DAMPING * content
+                if all((path, _hash(text)) in repeated for text in texts[id(node)]):
+                    value = 0.0
+                if id(node) in self.main:
+                    (high if value >= INSIDE or seen < SEEN else low).add(id(node))
+                elif value >= BESIDE and seen >= SEEN if self.main else value >= LEAST:
+                    high.add(id(node))
+        if not high & self.main:
+            high |= low
+            repeated = frozenset()
+        holds: dict[int, bool] = {}
         for node in reversed(self.order):
-            below = [best[id(child)] for child in node.children if isinstance(child, Node) and id(child) in best]
-            if id(node) in own:
-                presentation, content = importance.get(self.path[id(node)], (1.0, 1.0))
-                known = 1.0 if id(node) in self.main else 0.5 if not self.has_main else -0.25
-                score[id(node)] = ((1 - DAMPING) * presentation + DAMPING * content + known) / 2
-                below.append(score[id(node)])
+            below = [holds[id(child)] for child in node.children if isinstance(child, Node) and id(child) in holds]
+            if id(node) in texts:
+                below.append(id(node) in high)
             if below:
-                best[id(node)] = max(below)
+                holds[id(node)] = any(below)
 
         def keep(node: Node) -> bool:
             # What holds no block is part of the text around it.
-            return id(node) not in self.never and best.get(id(node), 1.0) >= LEAST
+            return id(node) not in self.never and holds.get(id(node), True)
 
-        return "\n".join(text for block, text in blocks(self.root, keep) if score[id(block)] >= LEAST)
+        found = [(block, text) for block, text in blocks(self.root, keep) if id(block) in high]
+        return "\n".join(text for block, text in found if not repeated or (self.path[id(block)], _hash(text)) not in repeated)
 
 
 def host_of(url: str) -> Column:
@@ -151,11 +173,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(pages: DataFrame) -> DataFrame:
-    """`host` and its `nodes`: path, presentation and content importance of paths that several pages share.
+    """`host`, its `nodes` and its `texts`.
+
+    Nodes are the paths that several pages share, with their presentation and content importance
+    and the number of pages of all hosts; texts are the paths and hashes of repeated texts.
 
     `pages` has the host's hash and html. With m pages, arrangements with shares p have the
     presentation importance -sum(p log p) / log m. Texts on n pages each have the content
     importance 1 - mean(log n) / log m: 1 if every text is on one page, 0 if all are on all.
+    A text on n pages has the importance 1 - log n / log m.
     """
     counted = stored(
         pages.mapInArrow(_features, "host long, path long, content boolean, feature long, n long")
@@ -165,14 +191,16 @@ def learn(pages: DataFrame) -> DataFrame:
     )
     everywhere = counted.groupBy("path", "content", "feature").agg(F.sum("n").alias("n")).withColumn("host", F.lit(None).cast("long"))
 
+    def scale(m: Column) -> Column:
+        return F.log(F.greatest(m, F.lit(2)))
+
     def importances(features: DataFrame) -> DataFrame:
         n, total, logs = F.col("n"), F.col("total"), F.col("logs")
         sums = features.groupBy("host", "path", "content").agg(F.sum(n).alias("total"), F.sum(n * F.log(n)).alias("logs"))
         roots = sums.filter("path = 0 and not content").select(F.col("host").alias("of"), F.col("total").alias("m"))
         sums = sums.join(roots, F.col("host").eqNullSafe(F.col("of"))).drop("of")
-        scale = F.log(F.greatest(F.col("m"), F.lit(2)))
-        presentation = F.when(F.col("m") < 2, 1.0).otherwise((F.log(total) - logs / total) / scale)
-        content = F.when(F.col("m") < 2, 1.0).otherwise(1 - logs / total / scale)
+        presentation = F.when(F.col("m") < 2, 1.0).otherwise((F.log(total) - logs / total) / scale(F.col("m")))
+        content = F.when(F.col("m") < 2, 1.0).otherwise(1 - logs / total / scale(F.col("m")))
         return sums.groupBy("host", "path").agg(
             F.max("m").alias("m"),
             F.max(F.when(~F.col("content"), total)).alias("pages"),
@@ -180,15 +208,26 @@ def learn(pages: DataFrame) -> DataFrame:
             F.max(F.when(F.col("content"), content)).alias("content"),
         )
 
-    whole = importances(everywhere).select("path", F.col("presentation").alias("p"), F.col("content").alias("c"))
+    whole = importances(everywhere).select("path", F.col("presentation").alias("p"), F.col("content").alias("c"), F.col("pages").alias("seen"))
     joined = importances(counted).filter("pages > 1 or m < 2").join(whole, "path")
     share = F.col("m") / (F.col("m") + BORROWED)
 
     def blend(own: str, other: str) -> Column:
         return F.coalesce(F.col(own) * share + F.col(other) * (1 - share), F.lit(1.0))
 
-    nodes = F.struct("path", blend("presentation", "p").alias("presentation"), blend("content", "c").alias("content"))
-    return stored(joined.groupBy("host").agg(F.collect_list(nodes).alias("nodes")), "trees")
+    nodes = F.struct("path", blend("presentation", "p").alias("presentation"), blend("content", "c").alias("content"), "seen")
+    trees = joined.groupBy("host").agg(F.collect_list(nodes).alias("nodes"))
+
+    roots = "path = 0 and not content"
+    sizes = counted.filter(roots).groupBy("host").agg(F.sum("n").alias("m"))
+    all_pages = everywhere.filter(roots).agg(F.sum("n").alias("all_m"))
+    often = everywhere.filter(F.col("content") & (F.col("n") >= SEEN)).select("path", "feature", F.col("n").alias("all_n"))
+    texts = counted.filter("content").join(often, ["path", "feature"]).join(sizes, "host").crossJoin(F.broadcast(all_pages))
+    own = F.when(F.col("m") < 2, 1.0).otherwise(1 - F.log("n") / scale(F.col("m")))
+    other = 1 - F.log("all_n") / scale(F.col("all_m"))
+    texts = texts.filter(own * share + other * (1 - share) < REPEATED)
+    texts = texts.groupBy("host").agg(F.collect_list(F.struct("path", F.col("feature").alias("text"))).alias("texts"))
+    return stored(trees.join(texts, "host", "left"), "trees")
 
 
 def extract(df: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -207,14 +246,15 @@ def extract(df: DataFrame, id: str = "page_id", url: str = "url", html: str = "h
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
                 texts = []
-                for html, nodes in zip(part.column("html").to_pylist(), part.column("nodes").to_pylist()):
-                    known = {node["path"]: (node["presentation"], node["content"]) for node in nodes or ()}
-                    texts.append(Tree(html).text(known))
+                for html, nodes, often in zip(*(part.column(name).to_pylist() for name in ("html", "nodes", "texts"))):
+                    known = {node["path"]: (node["presentation"], node["content"], node["seen"]) for node in nodes or ()}
+                    repeated = frozenset((each["path"], each["text"]) for each in often or ())
+                    texts.append(Tree(html).text(known, repeated))
                 sizes = pa.array([len(text) for text in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), sizes], ["id", "url", "text", "n_chars"]
                 )
 
     kind = df.schema[id].dataType.simpleString()
-    rows = pages.join(trees, "host", "left").select("id", "url", "html", "nodes")
+    rows = pages.join(trees, "host", "left").select("id", "url", "html", "nodes", "texts")
     return rows.mapInArrow(run, f"id {kind}, url string, text string, n_chars long").withColumnsRenamed({"id": id, "url": url})

@@ -75,3 +75,23 @@ def test_nulls_repeats_and_empty_tables(spark):
 def test_very_long_page():
     html = "<article>" + "<p>word</p>" * 50_000 + "</article><footer>f</footer>"
     assert Tree(html).text({}) == "\n".join(["word"] * 50_000)
+
+
+def extracted(spark, pages, host="e.example"):
+    rows = [(n, f"http://{host}/{n}", html) for n, html in enumerate(pages)]
+    found = extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()
+    return {row.page_id: row.text.split("\n") for row in found}
+
+
+def test_boilerplate_inside_the_article_goes(spark):
+    # One line has a path of its own, one stands among the paragraphs.
+    pages = [
+        f"<article><h1>T {n}</h1><p>one {n}</p><p>two {n}</p><p>Follow our channel</p><div>Written by the desk</div></article><p>low</p>"
+        for n in range(40)
+    ]
+    assert extracted(spark, pages) == {n: [f"T {n}", f"one {n}", f"two {n}"] for n in range(40)}
+
+
+def test_text_beside_a_teaser_stays(spark):
+    pages = [f"<article>Teaser {n}</article><div class='story'><p>one {n}</p><p>two {n}</p></div><div class='low'>All rights</div>" for n in range(40)]
+    assert extracted(spark, pages) == {n: [f"Teaser {n}", f"one {n}", f"two {n}"] for n in range(40)}
