@@ -9,7 +9,8 @@ out, and texts that recur on most pages. Hosts with few pages borrow from the tr
 
 Whether a block is in a main element moves the bar that its importance has to reach: inside
 an article low importance still takes it out, beside one high importance still keeps it.
-Elements such as navigation and forms are never main text.
+Elements such as navigation and forms are never main text. Names such as a class of `sidebar`
+count against a block, unless the element named holds most of the page's text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm.columns import stored
-from changelake.llm.dom import Node, blocks, parse
+from changelake.llm.dom import BLOCK, Node, blocks, parse
 
 #: Weight of a node's texts against its presentation.
 DAMPING = 0.9
@@ -54,7 +55,17 @@ OUTER = frozenset(["header"])
 OUTER_NAMED = frozenset("header masthead topbar".split())
 MAIN = frozenset(["article", "main"])
 MAIN_NAMED = frozenset(["main", "article"])
-_WORD = re.compile(r"[a-z]+")
+#: Words that say nothing beside another word of a name.
+NEUTRAL = frozenset(
+    "site page main global primary secondary left right top bottom upper lower inner outer area bar block box btn button buttons"
+    " col column container content group holder icon icons inline item items link links list module panel post posts row section"
+    " slot text title unit widgets wrap wrapper".split()
+)
+#: Share of a page's text, or of that of its main elements, above which names of an element don't count.
+MOST = 0.5
+#: Least weight of a text against one of full importance.
+FAINT = 0.05
+_WORD = re.compile(r"[a-z]{2,}")
 _NUMBERS = re.compile(r"\d+")
 
 
@@ -62,8 +73,16 @@ def _hash(*parts: object) -> int:
     return int.from_bytes(blake2b(repr(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def _words(node: Node, *names: str) -> set[str]:
-    return {word for name in names if name in node.attributes for word in _WORD.findall(node.attributes[name].lower())}
+def _named(node: Node, names: frozenset[str]) -> bool:
+    """Whether a class, the id or the role is one of the names, alone or beside neutral words.
+
+    Of `block__element--modifier` only the element counts.
+    """
+    for token in " ".join(node.attributes.get(name, "") for name in ("class", "id", "role")).lower().split():
+        words = set(_WORD.findall(token.split("--")[0].split("__")[-1]))
+        if words & names and words <= names | NEUTRAL:
+            return True
+    return False
 
 
 class Tree:
@@ -88,16 +107,47 @@ class Tree:
         classes = _NUMBERS.sub("", " ".join(sorted(node.attributes.get("class", "").lower().split())))
         self.path[id(node)] = _hash(self.path[id(parent)], node.tag, classes, node.attributes.get("role", ""))
         inside = id(parent) in self.main
-        named = _words(node, "class", "id", "role")
         style = node.attributes.get("style", "").replace(" ", "").lower()
         hidden = "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true" or "display:none" in style
-        never = node.tag in NEVER or hidden or bool(named & NEVER_NAMED) and node.tag not in ("html", "body", "article", "main")
-        outer = node.tag in OUTER or bool(named & OUTER_NAMED) and node.tag not in ("html", "body")
+        never = node.tag in NEVER or hidden
+        outer = node.tag in OUTER
         if id(parent) in self.never or never or (outer and not inside):
             self.never.add(id(node))
         elif inside or node.tag in MAIN or node.attributes.get("role") in MAIN_NAMED:
             self.main.add(id(node))
 
+    def names(self, weight: dict[int, float]) -> tuple[set[int], set[int]]:
+        """Elements that a name counts against, with all below them, and those of main elements.
+
+        `weight` has that of each block's texts. A main element below such a name is none.
+        """
+        whole: dict[int, float] = {}
+        inside: dict[int, float] = {}
+        for node in reversed(self.order):
+            own = weight.get(id(node), 0.0)
+            below = [id(child) for child in node.children if isinstance(child, Node)]
+            whole[id(node)] = own + sum(whole[child] for child in below)
+            inside[id(node)] = (own if id(node) in self.main else 0.0) + sum(inside[child] for child in below)
+        all_, all_main = MOST * whole[id(self.root)], MOST * inside[id(self.root)]
+        named: set[int] = set()
+        main: set[int] = set()
+        for node in self.order:
+            for child in node.children:
+                if not isinstance(child, Node):
+                    continue
+                at = id(child)
+                if at in self.main and (id(node) in main or id(node) not in named):
+                    main.add(at)
+                most = whole[at] > all_ or inside[at] > all_main
+                if id(node) in named:
+                    named.add(at)
+                elif not most and child.tag not in ("html", "body"):
+                    if child.tag not in MAIN and _named(child, NEVER_NAMED) or id(node) not in main and _named(child, OUTER_NAMED):
+                        named.add(at)
+                        if id(node) not in main:
+                            main.discard(at)
+        return named, main
+
     def arrangement(self, node: Node) -> int:
         """Hash of the kinds of a node's children, each run of the same kind once."""
         kinds: list[int] = []
@@ -117,9 +167,8 @@ class Tree:
         texts: dict[int, list[str]] = {}
         for block, text in blocks(self.root):
             texts.setdefault(id(block), []).append(text)
-        high: set[int] = set()
-        # Blocks of main elements that only low importance takes out.
-        low: set[int] = set()
+        values: dict[int, tuple[float, int]] = {}
+        weight: dict[int, float] = {}
         for node in self.order:
             if id(node) in texts and id(node) not in self.never:
                 path = self.path[id(node)]
@@ -127,11 +176,21 @@ class Tree:
                 value = (1 - DAMPING) * presentation + DAMPING * content
                 if all((path, _hash(text)) in repeated for text in texts[id(node)]):
                     value = 0.0
-                if id(node) in self.main:
-                    (high if value >= INSIDE or seen < SEEN else low).add(id(node))
-                elif value >= BESIDE and seen >= SEEN if self.main else value >= LEAST:
-                    high.add(id(node))
-        if not high & self.main:
+                values[id(node)] = value, seen
+                weight[id(node)] = max(value, FAINT) * sum(map(len, texts[id(node)]))
+        named, main = self.names(weight)
+        high: set[int] = set()
+        # Blocks of main elements that only low importance takes out.
+        low: set[int] = set()
+        for block, (value, seen) in values.items():
+            if block in main:
+                if value >= BESIDE and seen >= SEEN or block not in named and (value >= INSIDE or seen < SEEN):
+                    high.add(block)
+                elif block not in named:
+                    low.add(block)
+            elif block not in named and (value >= BESIDE and seen >= SEEN if main else value >= LEAST):
+                high.add(block)
+        if not high & main:
             high |= low
             repeated = frozenset()
         holds: dict[int, bool] = {}
@@ -143,8 +202,8 @@ class Tree:
                 holds[id(node)] = any(below)
 
         def keep(node: Node) -> bool:
-            # What holds no block is part of the text around it.
-            return id(node) not in self.never and holds.get(id(node), True)
+            # What holds no block is part of the text around it, unless it is named.
+            return id(node) not in self.never and holds.get(id(node), id(node) not in named or node.tag in BLOCK)
 
         found = [(block, text) for block, text in blocks(self.root, keep) if id(block) in high]
         return "\n".join(text for block, text in found if not repeated or (self.path[id(block)], _hash(text)) not in repeated)

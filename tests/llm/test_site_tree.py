@@ -95,3 +95,22 @@ def test_boilerplate_inside_the_article_goes(spark):
 def test_text_beside_a_teaser_stays(spark):
     pages = [f"<article>Teaser {n}</article><div class='story'><p>one {n}</p><p>two {n}</p></div><div class='low'>All rights</div>" for n in range(40)]
     assert extracted(spark, pages) == {n: [f"Teaser {n}", f"one {n}", f"two {n}"] for n in range(40)}
+
+
+def test_names_of_layout_wrappers_and_parts_of_names_do_not_count(spark):
+    wrappers = ["class='site has-sidebar'", "id='content-with-sidebar'", "class='page header-fixed'", "class='sidebar'", "class='header'"]
+    inner = "<section id='related-work'><p>r {n}</p></section><div class='hidden-xs'>h {n}</div><p class='notice-period'>p {n}</p>"
+    kept = ["one {n}", "r {n}", "h {n}", "p {n}"]
+    for outer in (f"<article><p>one {{n}}</p>{inner}</article>", f"<div><p>one {{n}}</p>{inner}</div>"):
+        pages = [f"<div {wrappers[n % 5]}>{outer.format(n=n)}<div class='site-footer'>Imprint {n}</div></div>" for n in range(40)]
+        assert extracted(spark, pages) == {n: [text.format(n=n) for text in kept] for n in range(40)}
+
+
+def test_importance_overrules_names_inside_the_article(spark):
+    pages = [f"<article><p>one two three {n}</p><div class='notice'>Note {n}</div><div class='share'>Share</div></article>" for n in range(40)]
+    assert extracted(spark, pages) == {n: [f"one two three {n}", f"Note {n}"] for n in range(40)}
+
+
+def test_names_outside_still_count():
+    html = "<article><p>one two three four</p></article><div class='sidebar'><article>teaser</article></div><div class='post__comments'>c</div>"
+    assert Tree(html).text({}) == "one two three four"
