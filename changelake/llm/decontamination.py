@@ -28,7 +28,7 @@ FEWEST = 4
 #: Tokens of an item that a copy covers at least; all but a fifth of a shorter item.
 COVERED = 13
 SHARE = 0.8
-#: Share of a window's tokens that are words, not placeholders, at least.
+#: Share of a window's tokens that are words, not placeholders, at least; others count with their values.
 WORDS = 0.5
 
 #: Units that may follow a number.
@@ -40,6 +40,8 @@ UNITS = (
     " usd eur gbp dollar dollars cent cents euro euros percent degree degrees"
 ).split()
 
+#: Added to the hashes of windows that count with their values.
+VALUES = np.uint64(0x6A09E667F3BCC909)
 NUMBER, NAME, UNIT = (np.uint64(value) for value in (0x1D8E4E27C47D124F, 0x2545F4914F6CDD1D, 0x27BB2EE687B0B0FD))
 
 
@@ -70,23 +72,55 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(words(data, np.array([0, len(data)])).hash)
 
 
+def _letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and length of the characters of scripts without spaces, and of their punctuation."""
+    padded = np.append(data, np.zeros(1, np.uint8))
+    lead, second = padded[:-1], padded[1:]
+    three = (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)  # Thai, Lao
+    three |= (lead == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second >= 0x9E) & (second <= 0x9F))  # Burmese, Khmer
+    three |= (lead == 0xE3) & ((second <= 0x83) | (second >= 0x90)) | (lead >= 0xE4) & (lead <= 0xE9)  # kana, ideographs
+    three |= (lead == 0xEF) & ((second >= 0xA4) & (second <= 0xAB) | (second == 0xBC))  # compatible ideographs, wide signs
+    four = (lead == 0xF0) & (second >= 0xA0) & (second <= 0xAF)
+    start = np.flatnonzero(three | four)
+    return start, np.where(four[start], 4, 3)
+
+
+def _spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of each word; in scripts without spaces, of each character but punctuation."""
+    found = words(data, offsets)
+    letter, size = _letters(data)
+    if not len(letter):
+        return found.row, found.start, found.end
+    start = np.unique(np.concatenate([found.start, letter, letter + size]))
+    of = np.searchsorted(found.start, start, "right") - 1
+    inside = start < found.end[of]
+    start, of = start[inside], of[inside]
+    end = np.minimum(np.append(start[1:], len(data)), found.end[of])
+    padded = np.append(data, np.zeros(2, np.uint8))
+    lead, second, third = (padded[start + n] for n in range(3))
+    sign = (lead == 0xE3) & (second == 0x80) & (third != 0x85)
+    sign |= (lead == 0xEF) & (second == 0xBC) & ((third < 0x90) | (third > 0x99) & (third < 0xA1) | (third > 0xBA))
+    return found.row[of][~sign], start[~sign], end[~sign]
+
+
 def template(data: np.ndarray, offsets: np.ndarray) -> Template:
     """Template tokens of the rows' texts.
 
     A token is a word without the ASCII punctuation around it. One with a digit is a
     number. A capital followed by a small letter makes a name, but at the start of a
-    sentence or line. A unit is one only after a number.
+    sentence or line. A unit is one only after a number. In scripts without spaces each
+    character is a token.
     """
-    found = words(data, offsets)
+    row, start, end = _spans(data, offsets)
     # Capitals of the Latin-1 supplement are the second byte of two.
     capital = _UPPER[data]
     second = np.zeros(len(data), bool)
     second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
     folded = LOWER[data] + np.where(second, 0x20, 0).astype(np.uint8)
     places = np.flatnonzero(_WORD[data])
-    low, high = np.searchsorted(places, found.start), np.searchsorted(places, found.end)
+    low, high = np.searchsorted(places, start), np.searchsorted(places, end)
     kept = low < high
-    start, end, row = places[low[kept]], places[high[kept] - 1] + 1, found.row[kept]
+    start, end, row = places[low[kept]], places[high[kept] - 1] + 1, row[kept]
     value = span_hashes(folded, start, end)
 
     def count(flags: np.ndarray) -> np.ndarray:
@@ -109,14 +143,16 @@ def template(data: np.ndarray, offsets: np.ndarray) -> Template:
 
 
 def _windows(found: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First token and hash of each window of `size` tokens of one row with enough words."""
+    """First token and hash of each window of `size` tokens of one row, with its values if it has too few words."""
     number = len(found.hash) - size + 1
     if number <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     start = np.flatnonzero(found.row[:number] == found.row[size - 1 :])
     words_ = np.append(0, np.cumsum(found.slot == 0))
-    start = start[words_[start + size] - words_[start] >= WORDS * size]
-    return start, (ngrams(found.hash, size) + np.uint64(size))[start]
+    plain = words_[start + size] - words_[start] >= WORDS * size
+    values = np.where(found.slot == 0, found.hash, found.slot)
+    hashes = np.where(plain, ngrams(found.hash, size)[start], ngrams(values, size)[start] + VALUES)
+    return start, hashes + np.uint64(size)
 
 
 _WINDOW = "id long, text_hash long, hash long, place long, length long, slots array<long>"
@@ -207,8 +243,8 @@ def decontaminate(
     """One row per row of `df`: id, `contaminated`, `items` (ids, ascending), `covered`, `exact`, `text_hash`.
 
     A document is contaminated if it covers 13 template tokens of an item on one diagonal,
-    or four fifths of an item shorter than that, with consistent slots. Items of fewer
-    than four tokens, or null, match nothing, nor do null or empty texts. Ids may be null
+    or four fifths of an item shorter than that, with consistent slots. Where
+    placeholders prevail, their values have to be the same. Items of fewer than four tokens, or null, match nothing, nor do null or empty texts. Ids may be null
     or repeated; items with a null id are left out. Other columns are not read.
     """
     texts = keyed(df, id, text)

@@ -105,3 +105,18 @@ def test_nulls_repeats_and_long_texts(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert decontaminate(df, spark.createDataFrame([(1, QUESTION)], "item_id long, text string")).collect() == []
+
+
+def test_items_poor_in_words_match_with_their_values(spark):
+    items = [(1, "Compute 48 + 27 - 13 * 5"), (2, "Did Anna Maria, Bob Dylan, Carl Orff, Dora Maar or Emil Nolde paint 3 of 14 works"), (3, "12, 13, 14, 15, 16")]
+    documents = [(n, f"a b c. {text}, he said. d e f") for n, text in items] + [(4, "Compute 49 + 27 - 13 * 5 and 12, 13, 14, 15, 17")]
+    found = by_id(run(spark, documents, items))
+    assert {n: row.items for n, row in found.items()} == {1: [1], 2: [2], 3: [3], 4: []}
+    assert all(found[n].exact for n in (1, 2, 3))
+
+
+def test_scripts_without_spaces(spark):
+    items = [(1, "下列哪一种动物不是哺乳动物?"), (2, "日本で一番高い山はなんですか。"), (3, "ประเทศไทยมีกี่จังหวัด"), (4, "𠀀𠀁𠀂𠀃𠀄")]
+    documents = [(n, f"这是文字。{text}答案在后面") for n, text in items] + [(5, "这是一段没有题目的文字。下列哪一种植物"), (6, "「日本で、一番高い山は なんですか」")]
+    found = by_id(run(spark, documents, items))
+    assert {n: row.items for n, row in found.items()} == {1: [1], 2: [2], 3: [3], 4: [4], 5: [], 6: [2]}
