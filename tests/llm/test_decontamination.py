@@ -120,3 +120,36 @@ def test_scripts_without_spaces(spark):
     documents = [(n, f"这是文字。{text}答案在后面") for n, text in items] + [(5, "这是一段没有题目的文字。下列哪一种植物"), (6, "「日本で、一番高い山は なんですか」")]
     found = by_id(run(spark, documents, items))
     assert {n: row.items for n, row in found.items()} == {1: [1], 2: [2], 3: [3], 4: [4], 5: [], 6: [2]}
+
+
+def test_runs_of_names_and_numbers_are_one_placeholder():
+    assert tokens("We saw New York, Paris and 1 000 000 of twenty five or sixty-one miles") == (
+        "w w <name> <name> w <number> w <number> w <number> <unit>".split()
+    )
+
+
+LONGER = "the train that leaves Boston at noon runs along the coast for three hours before it reaches the harbour town"
+
+
+def test_copies_with_shifted_parts_match(spark):
+    documents = [
+        (1, LONGER.replace("Boston", "New York")), (2, LONGER.replace("coast", "rocky coast")), (3, LONGER.replace("three", "twenty five")),
+        (4, LONGER.replace("along the", "slowly along the")), (5, LONGER.replace("at noon runs along the coast for", "x y z")),
+    ]
+    found = by_id(run(spark, documents, [(1, LONGER)]))
+    assert {n: row.contaminated for n, row in found.items()} == {1: True, 2: True, 3: True, 4: True, 5: False}
+
+
+def test_slots_are_checked_across_shifted_parts(spark):
+    item = "the train from Boston runs along the wide coast for hours and then it comes back to Boston by the night"
+    shifted = item.replace("hours", "many hours")
+    documents = [(1, shifted.replace("Boston", "Paris")), (2, shifted.replace("Boston", "Paris", 1).replace("Boston", "Rome"))]
+    found = by_id(run(spark, documents, [(1, item)]))
+    assert found[1].contaminated and not found[2].contaminated
+
+
+def test_short_items_match_after_a_colon_or_comma(spark):
+    items = [(1, "What is the capital of France"), (2, "Which Anna wrote this old book")]
+    documents = [(1, "Q: What is the capital of France"), (2, "he asked, Which Anna wrote this old book"), (3, "we know, Paris is the capital of France")]
+    found = by_id(run(spark, documents, items))
+    assert {n: row.items for n, row in found.items()} == {1: [1], 2: [2], 3: []}
