@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, site_tree, substring_dedup, token_counts, toxicity, warc
+from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, merkle, site_tree, substring_dedup, token_counts, toxicity, warc
 from changelake.llm.columns import table
 
 #: Tokens above which a text exceeds a model's context.
@@ -84,6 +84,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary, limit=TOKEN_LIMIT)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    tampered = F.when(fold_of(2) == 0, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = merkle.manifest(documents, columns, altered={"text": tampered})
+    found = found.withColumn("folded_root", merkle.fold(F.col("path"), F.col("altered_leaf")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_toxicity": op2_toxicity,
@@ -95,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: Words of all documents in order; lower-cased ASCII for the shingles.
@@ -105,6 +123,47 @@ _WORDS = r"""
     )"""
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Unsigned CRC-32 of a decimal id.
+_CRC32 = """
+    crc_table AS (
+        SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS steps
+        FROM range(256) AS r(n)
+    ),
+    checksums AS (
+        SELECT doc_id, xor(4294967295, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+            lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])
+        )) AS checksum
+        FROM (SELECT DISTINCT doc_id FROM documents), crc_table
+    )"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+def _levels(name: str, start: str) -> str:
+    """Lists of the nodes of each level."""
+    parents = "list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))"
+    return f"{name} AS ({start} UNION ALL SELECT tree, level + 1, {parents} FROM {name} WHERE len(nodes) > 1)"
+
+
+def _walk(name: str, levels: str, start: str) -> str:
+    """Leaves climbing the levels, with the siblings met and the digest folded so far."""
+    left = "array_to_string(list_filter(nodes, lambda x, i: i - 1 >= place - place % 3 AND i - 1 < place), '')"
+    right = "array_to_string(list_filter(nodes, lambda x, i: i - 1 > place AND i - 1 < place - place % 3 + 3), '')"
+    return f"""{name} AS (
+        {start}
+        UNION ALL
+        SELECT leaf_row, tree, level + 1, place // 3, siblings || {left} || {right}, sha256({left} || folded || {right})
+        FROM {name} JOIN {levels} USING (tree, level) WHERE len(nodes) > 1
+    )"""
+
+
 ORACLE: dict[str, str] = {
     "op4_jaccard_join": f"""
         WITH RECURSIVE {_WORDS.format(text=_LOWER)},
@@ -160,4 +219,26 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM words LEFT JOIN kept USING (doc_id)
     """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE {_CRC32},
+        leaves AS (
+            SELECT doc_id, coalesce('=' || source, '-') AS tree, {_leaf("text")} AS leaf,
+                   CASE WHEN checksum % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS altered
+            FROM documents LEFT JOIN checksums USING (doc_id)
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                   row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS leaf_row
+            FROM leaves
+        ),
+        {_levels("levels", "SELECT tree, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY tree")},
+        subroots AS (SELECT tree AS of, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS top FROM levels WHERE len(nodes) = 1),
+        {_levels("tops", "SELECT '' AS tree, 0 AS level, list(subroot ORDER BY top) AS nodes FROM subroots")},
+        {_walk("walk", "levels", "SELECT leaf_row, tree, 0 AS level, place, '' AS siblings, altered AS folded FROM placed")},
+        below AS (SELECT walk.* FROM walk JOIN levels USING (tree, level) WHERE len(nodes) = 1),
+        {_walk("climb", "tops", "SELECT leaf_row, '' AS tree, 0 AS level, top AS place, siblings, folded FROM below JOIN subroots ON below.tree = of")},
+        proofs AS (SELECT climb.*, nodes[1] AS root FROM climb JOIN tops USING (tree, level) WHERE len(nodes) = 1)
+        SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = root AS verified
+        FROM placed JOIN proofs USING (leaf_row) JOIN subroots ON placed.tree = of
+    """,
 }
