@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, merkle, site_tree, substring_dedup, token_counts, toxicity, warc
-from changelake.llm.columns import table
+from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, merkle, periods, site_tree, substring_dedup, token_counts, toxicity, warc
+from changelake.llm.columns import table, text_or_empty
 
 #: Tokens above which a text exceeds a model's context.
 TOKEN_LIMIT = 2048
@@ -84,6 +84,42 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary, limit=TOKEN_LIMIT)
 
 
+def _planted(documents: DataFrame) -> DataFrame:
+    """`text` of every tenth document, by checksum, with a part repeated up to its end, as the query's contract asks."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    found = F.array_remove(F.split(text_or_empty(), r"[\x20\x09-\x0D]+"), "")
+    rows = documents.select("doc_id", "text", F.when(checksum % 10 == 0, found).alias("w"), F.floor(checksum / 10).alias("g"))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    rows = rows.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    part = F.slice("w", F.col("a") + 1, F.col("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(part, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), repeated), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find_runs(_planted(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+
+    def longer(best: Column, run: Column) -> Column:
+        # Runs come by start, then period, so the first of equal ones stays.
+        return F.when(best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best)
+
+    found = found.withColumn("best", F.aggregate("runs", none, longer))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     tampered = F.when(fold_of(2) == 0, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -112,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
