@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, merkle, periods, site_tree, substring_dedup, token_counts, toxicity, warc
+from changelake.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, merkle, periods, recurrent, site_tree, substring_dedup, token_counts, toxicity, warc
 from changelake.llm.columns import table, text_or_empty
 
 #: Tokens above which a text exceeds a model's context.
@@ -84,6 +84,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary, limit=TOKEN_LIMIT)
 
 
+def op11_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold_of(10) == 0, F.lit(False))
+    found = recurrent.log_likelihoods(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def _planted(documents: DataFrame) -> DataFrame:
     """`text` of every tenth document, by checksum, with a part repeated up to its end, as the query's contract asks."""
     checksum = F.crc32(F.col("doc_id").cast("string"))
@@ -148,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op11_recurrent_lm": op11_recurrent_lm,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_html_extraction": "page_id url text n_chars",
     "op9_language_id": "doc_id held_out lang_pred score",
     "op10_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op11_recurrent_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op12_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "op13_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
