@@ -11,7 +11,7 @@
    fixed part, by how many of its tokens occur once, and others their share of the rest. All
    unknown tokens count as one type, so probabilities add up to one.
 4. **Learning.** Texts lie end to end in `LANES` lanes of about equal length. Windows of `WINDOW`
-   tokens are learned by backpropagation, truncated at the window; the state goes on to the
+   steps or more are learned by backpropagation, truncated at the window; the state goes on to the
    next one and starts anew with each text. Biases start at the tokens' shares, so an
    unlearned model gives the tokens' frequencies. All texts are dealt by hash to `ROUNDS` of growing
    size; in each, every task learns from its own, and the parameters are averaged by tokens, added up
@@ -47,14 +47,16 @@ CLASS = 32
 #: A band ends at this many times the rank at which it begins.
 BAND = 4
 #: Numbers of the state.
-UNITS = 24
-#: Texts run side by side, tokens of a window, and tokens of a plan of lanes.
+UNITS = 16
+#: Texts run side by side, least and most steps of a window, and tokens of a plan of lanes. Where
+#: few lanes go on, windows are as many times longer.
 LANES = 256
 WINDOW = 16
+LONGEST = 128
 BUFFER = 1 << 22
 #: Where the parts end that the rounds learn from, of `PARTS`, and their rates.
 PARTS = 64
-ROUNDS = ((1, 0.01), (5, 0.01), (21, 0.006), (64, 0.003))
+ROUNDS = ((4, 0.01), (20, 0.006), (64, 0.003))
 #: Bytes of texts whose words are counted or looked up together, and counts that a task holds.
 CHUNK = 1 << 20
 HELD = 1 << 21
@@ -250,15 +252,17 @@ def _sigmoid(values: np.ndarray) -> np.ndarray:
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    """Of each column."""
+    logits -= logits.max(axis=0)
+    logits -= np.log(np.exp(logits).sum(axis=0))
     return logits
 
 
 class Network:
     """Parameters, forward and backward pass of one window.
 
-    `table` holds what each symbol adds to the gates: update, reset and candidate.
+    Lanes and tokens are the last axis, so that numbers of a gate lie together. `table` holds
+    what each symbol adds to the gates: update, reset and candidate.
     """
 
     NAMES = ("table", "gates", "class_out", "class_bias", "word_out", "word_bias")
@@ -269,14 +273,14 @@ class Network:
         # The end comes first, so there is a symbol of its own at least.
         mass = known.mass + 0.5
         by_class = np.bincount(known.class_of, mass, known.outputs)
-        word_bias = np.full((known.classes, CLASS), _PAD, kind)
+        word_bias = np.full((known.classes, CLASS, 1), _PAD, kind)
         word_bias.reshape(-1)[: known.own] = np.log(mass[: known.own] / by_class[known.class_of[: known.own]])
         self.parts = {
-            "table": draw.normal(0, 0.1, (known.symbols, 3 * units)).astype(kind),
-            "gates": draw.normal(0, 1 / math.sqrt(units), (units, 3 * units)).astype(kind),
-            "class_out": np.zeros((units, known.outputs), kind),
-            "class_bias": np.log(by_class / by_class.sum()).astype(kind),
-            "word_out": np.zeros((known.classes, units, CLASS), kind),
+            "table": draw.normal(0, 0.1, (3 * units, known.symbols)).astype(kind),
+            "gates": draw.normal(0, 1 / math.sqrt(units), (3 * units, units)).astype(kind),
+            "class_out": np.zeros((known.outputs, units), kind),
+            "class_bias": np.log(by_class / by_class.sum()).astype(kind)[:, None],
+            "word_out": np.zeros((known.classes, CLASS, units), kind),
             "word_bias": word_bias,
         }
 
@@ -298,18 +302,23 @@ class Network:
             at += part.size
 
     def states(self, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
-        """States after each step of a window (steps x lanes), and what the way back needs."""
+        """States (units x steps x lanes) after each step of a window (steps x lanes), and what the way back needs."""
         n, gates = self.units, self.parts["gates"]
-        out = np.empty((*inputs.shape, n), state.dtype)
-        table, saved = self.parts["table"][inputs], []
+        out = np.empty((n, *inputs.shape), state.dtype)
+        table, saved = np.take(self.parts["table"], inputs, axis=1), []
         for step in range(len(inputs)):
-            before = state * keep[step][:, None]
-            passed = before @ gates
-            opened = _sigmoid(table[step, :, : 2 * n] + passed[:, : 2 * n])
-            update, reset, own = opened[:, :n], opened[:, n:], passed[:, 2 * n :]
-            new = np.tanh(table[step, :, 2 * n :] + reset * own)
-            state = new + update * (before - new)
-            out[step] = state
+            before = state * keep[step]
+            passed = gates @ before
+            own = passed[2 * n :]
+            opened = _sigmoid(table[: 2 * n, step] + passed[: 2 * n])
+            update, reset = opened[:n], opened[n:]
+            new = reset * own
+            new += table[2 * n :, step]
+            np.tanh(new, out=new)
+            state = before - new
+            state *= update
+            state += new
+            out[:, step] = state
             saved.append((before, update, reset, own, new))
         return out, saved
 
@@ -317,64 +326,76 @@ class Network:
         """Class of each target, and for each class with own words the places of its targets."""
         found = self.class_of[targets]
         own = np.flatnonzero(targets < self.own)
-        order = own[np.argsort(found[own], kind="stable")]
+        order = own[np.argsort(found[own].astype(np.uint16), kind="stable")]
         edges = np.flatnonzero(np.diff(found[order])) + 1
         return found, [(int(found[part[0]]), part) for part in np.split(order, edges) if len(part)]
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """ln P(class) + ln P(symbol | class) of each target."""
+        """ln P(class) + ln P(symbol | class) of each target; a column of `states` for each."""
         found, groups = self._classes(targets)
-        scores = _log_softmax(states @ self.parts["class_out"] + self.parts["class_bias"])
-        out = scores[np.arange(len(targets)), found]
+        scores = _log_softmax(self.parts["class_out"] @ states + self.parts["class_bias"])
+        out = scores[found, np.arange(len(targets))]
         for number, part in groups:
-            inner = _log_softmax(states[part] @ self.parts["word_out"][number] + self.parts["word_bias"][number])
-            out[part] += inner[np.arange(len(part)), targets[part] % CLASS]
+            inner = self.parts["word_out"][number] @ states[:, part]
+            inner = _log_softmax(inner + self.parts["word_bias"][number])
+            out[part] += inner[targets[part] % CLASS, np.arange(len(part))]
         return out
 
     def gradients(self, inputs, keep, state, targets, valid, scale: float) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of `scale` times the sum of -ln P over a window's valid targets, and the last state."""
         p, n = self.parts, self.units
         out, saved = self.states(inputs, keep, state)
-        places = np.flatnonzero(valid.ravel())
-        hidden, wanted = out.reshape(-1, n)[places], targets.ravel()[places]
+        hidden, wanted, whole = out.reshape(n, -1), targets.ravel(), valid.all()
+        if not whole:
+            places = np.flatnonzero(valid.ravel())
+            hidden, wanted = hidden[:, places], wanted[places]
         found, groups = self._classes(wanted)
-        error = np.exp(_log_softmax(hidden @ p["class_out"] + p["class_bias"]))
-        error[np.arange(len(wanted)), found] -= 1
+        error = np.exp(_log_softmax(p["class_out"] @ hidden + p["class_bias"]))
+        error[found, np.arange(len(wanted))] -= 1
         error *= scale
         grads = {name: np.zeros_like(p[name]) for name in ("gates", "word_out", "word_bias", "table")}
-        grads["class_out"], grads["class_bias"] = hidden.T @ error, error.sum(axis=0)
-        back = error @ p["class_out"].T
+        grads["class_out"], grads["class_bias"] = error @ hidden.T, error.sum(axis=1, keepdims=True)
+        back = p["class_out"].T @ error
         for number, part in groups:
-            some = hidden[part]
-            inner = np.exp(_log_softmax(some @ p["word_out"][number] + p["word_bias"][number]))
-            inner[np.arange(len(part)), wanted[part] % CLASS] -= 1
+            some = hidden[:, part]
+            inner = np.exp(_log_softmax(p["word_out"][number] @ some + p["word_bias"][number]))
+            inner[wanted[part] % CLASS, np.arange(len(part))] -= 1
             inner *= scale
-            grads["word_out"][number] = some.T @ inner
-            grads["word_bias"][number] = inner.sum(axis=0)
-            back[part] += inner @ p["word_out"][number].T
-        through = np.zeros((inputs.size, n), state.dtype)
-        through[places] = back
-        through = through.reshape(*inputs.shape, n)
-        errors = np.empty((*inputs.shape, 3 * n), state.dtype)
+            grads["word_out"][number] = inner @ some.T
+            grads["word_bias"][number] = inner.sum(axis=1, keepdims=True)
+            back[:, part] += p["word_out"][number].T @ inner
+        if not whole:
+            through = np.zeros((n, inputs.size), state.dtype)
+            through[:, places] = back
+            back = through
+        back = back.reshape(n, *inputs.shape)
+        errors = np.empty((3 * n, *inputs.shape), state.dtype)
         carried = np.zeros_like(state)
         for step in range(len(inputs) - 1, -1, -1):
             before, update, reset, own, new = saved[step]
-            carried = carried + through[step]
-            inner = carried * (1 - update) * (1 - new * new)
-            passed = errors[step]
-            passed[:, :n] = carried * (before - new) * update * (1 - update)
-            passed[:, n : 2 * n] = inner * own * reset * (1 - reset)
-            passed[:, 2 * n :] = inner * reset
-            grads["gates"] += before.T @ passed
-            carried = (carried * update + passed @ p["gates"].T) * keep[step][:, None]
+            carried += back[:, step]
+            passed = np.empty((3 * n, inputs.shape[1]), state.dtype)
+            shut = 1 - update
+            kept = carried * update
+            inner = carried * shut
+            np.multiply(kept * shut, before - new, out=passed[:n])
+            inner *= 1 - new * new
+            np.multiply(inner, reset, out=passed[2 * n :])
+            np.multiply(passed[2 * n :] * own, 1 - reset, out=passed[n : 2 * n])
+            grads["gates"] += passed @ before.T
+            carried = p["gates"].T @ passed
+            carried += kept
+            carried *= keep[step]
+            errors[: 2 * n, step] = passed[: 2 * n]
             # The table adds to the candidate outside the reset gate.
-            passed[:, 2 * n :] = inner
-        flat, rows = errors.reshape(-1, 3 * n), inputs.ravel()
-        order = np.argsort(rows, kind="stable")
+            errors[2 * n :, step] = inner
+        rows = inputs.ravel()
+        order = np.argsort(rows.astype(np.uint16), kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        grads["table"][rows[first]] = np.add.reduceat(flat[order], first, axis=0)
-        return grads, out[-1]
+        summed = np.add.reduceat(np.take(errors.reshape(3 * n, -1), order, axis=1), first, axis=1)
+        grads["table"][:, rows[first]] = summed
+        return grads, np.ascontiguousarray(out[:, -1])
 
 
 class Adam:
@@ -421,11 +442,13 @@ class Lanes:
         totals = totals[ranked]
         return cls(np.concatenate([texts[number] for number in order]), np.repeat(order, sizes[order]), begins, np.cumsum(totals) - totals, totals)
 
-    def windows(self, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Of the lanes that go on: inputs, kept states, targets and validity (steps x lanes), and places of the targets."""
-        for begin in range(0, int(self.sizes[0]), length):
+        begin, end = 0, int(self.sizes[0])
+        while begin < end:
             active = int(np.searchsorted(-self.sizes, -begin, "left"))
-            steps = begin + np.arange(min(length, int(self.sizes[0]) - begin))
+            steps = np.arange(begin, min(end, begin + min(LONGEST, WINDOW * max(1, LANES // active))))
+            begin += len(steps)
             valid = steps[:, None] < self.sizes[:active]
             places = np.where(valid, self.first[:active] + steps[:, None], self.first[:active] + self.sizes[:active] - 1)
             starts = self.begins[places]
@@ -453,9 +476,9 @@ def _buffered(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[
 def learn_texts(network: Network, texts: list[np.ndarray], adam: Adam) -> int:
     """Learns from each window of the texts; the number of their tokens."""
     lanes = Lanes.of(texts, LANES)
-    state = np.zeros((len(lanes.sizes), network.units), network.parts["gates"].dtype)
-    for inputs, keep, targets, valid, _ in lanes.windows(WINDOW):
-        grads, state = network.gradients(inputs, keep, state[: inputs.shape[1]], targets, valid, 1 / (LANES * WINDOW))
+    state = np.zeros((network.units, len(lanes.sizes)), network.parts["gates"].dtype)
+    for inputs, keep, targets, valid, _ in lanes.windows():
+        grads, state = network.gradients(inputs, keep, state[:, : inputs.shape[1]], targets, valid, 1 / (LANES * WINDOW))
         adam.step(grads)
     return len(lanes.symbols)
 
@@ -464,11 +487,11 @@ def score_texts(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     """ln P of the symbols of each text, summed up."""
     lanes = Lanes.of(texts, LANES)
     found = np.zeros(len(lanes.symbols))
-    state = np.zeros((len(lanes.sizes), network.units), network.parts["gates"].dtype)
-    for inputs, keep, targets, valid, places in lanes.windows(WINDOW):
-        out, _ = network.states(inputs, keep, state[: inputs.shape[1]])
-        state, valid = out[-1], valid.ravel()
-        found[places.ravel()[valid]] = network.log_probabilities(out.reshape(-1, network.units)[valid], targets.ravel()[valid])
+    state = np.zeros((network.units, len(lanes.sizes)), network.parts["gates"].dtype)
+    for inputs, keep, targets, valid, places in lanes.windows():
+        out, _ = network.states(inputs, keep, state[:, : inputs.shape[1]])
+        state, valid = out[:, -1], valid.ravel()
+        found[places.ravel()[valid]] = network.log_probabilities(out.reshape(network.units, -1)[:, valid], targets.ravel()[valid])
     return np.bincount(lanes.text, found, len(texts))
 
 

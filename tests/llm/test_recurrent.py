@@ -40,18 +40,18 @@ def slow_score(network, text):
     """ln P of one text's symbols by the cell's formulas, token by token, with whole softmaxes."""
     p, n, state, out, last = network.parts, network.units, np.zeros(network.units), 0.0, 0
     for target in text.tolist():
-        row, passed = p["table"][last].astype(float), state @ p["gates"].astype(float)
+        row, passed = p["table"][:, last].astype(float), p["gates"].astype(float) @ state
         new = np.zeros(n)
         for i in range(n):
             update, reset = sigmoid(row[i] + passed[i]), sigmoid(row[n + i] + passed[n + i])
             candidate = math.tanh(row[2 * n + i] + reset * passed[2 * n + i])
             new[i] = (1 - update) * candidate + update * state[i]
         state, last = new, target
-        scores = np.exp(state @ p["class_out"].astype(float) + p["class_bias"])
+        scores = np.exp(p["class_out"].astype(float) @ state + p["class_bias"][:, 0])
         number = network.class_of[target]
         out += math.log(scores[number] / scores.sum())
         if target < network.own:
-            inner = np.exp(state @ p["word_out"][number].astype(float) + p["word_bias"][number])
+            inner = np.exp(p["word_out"][number].astype(float) @ state + p["word_bias"][number][:, 0])
             out += math.log(inner[target % recurrent.CLASS] / inner.sum())
     return out
 
@@ -81,7 +81,7 @@ def test_probabilities_add_up_to_one(small):
     """Over own words, words of each band, words outside the head and the unknown one."""
     known = vocabulary([9] * 5 + [4] * 60)
     network = drawn(known)
-    state = np.random.default_rng(2).normal(0, 1, (1, 5)).astype(np.float32)
+    state = np.random.default_rng(2).normal(0, 1, (5, 1)).astype(np.float32)
     by_symbol = np.exp([network.log_probabilities(state, np.array([symbol]))[0] for symbol in range(known.symbols)])
     rest = by_symbol[-1] * (known.unknown + (1 - known.unknown) * sum([2, 1, 1, 1]) / known.rest)
     head = sum(by_symbol[symbol] * math.exp(share) for symbol, share in zip(known.symbol, known.share))
@@ -90,7 +90,7 @@ def test_probabilities_add_up_to_one(small):
 
 def test_an_unlearned_model_gives_frequencies():
     known = vocabulary([900, 500, 200, 50, 3], total=1653)
-    found = Network(known).log_probabilities(np.zeros((5, recurrent.UNITS), np.float32), np.arange(5))
+    found = Network(known).log_probabilities(np.zeros((recurrent.UNITS, 5), np.float32), np.arange(5))
     assert np.exp(found) == pytest.approx(known.counts / known.total, abs=2e-3)
 
 
@@ -99,14 +99,14 @@ def test_gradients_equal_differences(small):
     network, draw = drawn(known, kind=np.float64), np.random.default_rng(4)
     inputs, targets = draw.integers(0, known.symbols, (2, 6, 3))
     keep, valid = (draw.random((6, 3)) > 0.2).astype(float), draw.random((6, 3)) > 0.2
-    state = draw.normal(0, 1, (3, 5))
+    state = draw.normal(0, 1, (5, 3))
 
     def loss():
         out, _ = network.states(inputs, keep, state)
-        return -0.5 * network.log_probabilities(out.reshape(-1, 5)[valid.ravel()], targets.ravel()[valid.ravel()]).sum()
+        return -0.5 * network.log_probabilities(out.reshape(5, -1)[:, valid.ravel()], targets.ravel()[valid.ravel()]).sum()
 
     grads, last = network.gradients(inputs, keep, state, targets, valid, 0.5)
-    assert (last == network.states(inputs, keep, state)[0][-1]).all()
+    assert (last == network.states(inputs, keep, state)[0][:, -1]).all()
     for name, part in network.parts.items():
         flat = part.reshape(-1)
         for place in draw.choice(flat.size, min(flat.size, 60), replace=False).tolist():
@@ -129,7 +129,7 @@ def test_lanes_hold_each_text_once_and_are_about_equal():
     for number, text in enumerate(texts):
         assert (lanes.symbols[lanes.text == number] == text).all()
     seen = np.zeros(len(lanes.symbols), int)
-    for inputs, keep, targets, valid, places in lanes.windows(16):
+    for inputs, keep, targets, valid, places in lanes.windows():
         np.add.at(seen, places[valid], 1)
         assert (inputs[keep == 0] == 0).all() and (targets[valid] == lanes.symbols[places[valid]]).all()
         goes_on = valid & (keep > 0)
