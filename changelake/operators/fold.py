@@ -111,6 +111,11 @@ def fold_state(
         F.max("_flag").alias("_flag"),
         F.max_by("_image", F.col("_first")).alias("_image"),
     )
+    return finished(state, key, image)
+
+
+def finished(state: DataFrame, key: Sequence[str], image: Sequence[str]) -> DataFrame:
+    """Rows of the state from the running values `_first`, `_delete`, `_insert`, `_flag` and `_image`."""
     deleted_last = F.col("_delete") > F.col("_image.seq")
     return state.filter("_first IS NOT NULL").select(
         *key,

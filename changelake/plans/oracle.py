@@ -540,6 +540,8 @@ for _name, _feed in {
     "cdc_apply_state": "feed",
     "bronze_compact": "feed",
     "stream_keyed_state": "feed",
+    "stream_state_tws": "feed",
+    "stream_state_read": "feed",
     "initial_load_then_changes": "load_feed",
 }.items():
     _sql(_name, "SELECT * FROM final", FEED, _state(_feed))

@@ -25,6 +25,7 @@ from changelake.session import scratch_dir
 from changelake.sources import readers
 from changelake.sources.bronze import Bronze
 from changelake.streaming.apply import latest_state, start_apply_stream, start_state_stream
+from changelake.streaming.state import aggregate_state, processor_state, start_processor_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -732,3 +733,37 @@ def stream_keyed_state(spark, sf_dir):
         events, USER, "seq", IMAGE, path, scratch_dir(spark, "checkpoint")
     ).awaitTermination()
     return latest_state(spark.read.parquet(path), USER)
+
+
+def _feed_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The change feed, and a folder with its first half by time."""
+    feed = feeds.change_feed(spark, sf_dir).select("user_id", "seq", "operation", *IMAGE, "ts")
+    folder = scratch_dir(spark, "feed")
+    feed.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).drop("ts").repartition(4).write.parquet(folder)
+    return feed, folder
+
+
+@query
+def stream_state_tws(spark, sf_dir):
+    feed, folder = _feed_files(spark, sf_dir)
+    path, checkpoint = scratch_dir(spark, "state"), scratch_dir(spark, "checkpoint")
+
+    def run() -> None:
+        stream = spark.readStream.schema(feed.drop("ts").schema).option("maxFilesPerTrigger", 2).parquet(folder)
+        start_processor_stream(stream, USER, "seq", IMAGE, path, checkpoint).awaitTermination()
+
+    # The stream ends in the middle, and a new one goes on from its checkpoint.
+    run()
+    feed.filter(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")).drop("ts").write.mode("append").parquet(folder)
+    run()
+    return processor_state(spark, checkpoint, USER, IMAGE)
+
+
+@query
+def stream_state_read(spark, sf_dir):
+    feed, folder = _feed_files(spark, sf_dir)
+    feed.filter(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")).drop("ts").write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(feed.drop("ts").schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    checkpoint = scratch_dir(spark, "checkpoint")
+    start_state_stream(stream, USER, "seq", IMAGE, scratch_dir(spark, "state"), checkpoint).awaitTermination()
+    return aggregate_state(spark, checkpoint, USER, IMAGE)
