@@ -67,10 +67,10 @@ def snapshot_diff(
     null equals null. Both sides are shuffled once, on the row id, which also
     serves to reduce repeated ids.
     """
-    return _compared(identified(prev, key, order, unique), identified(cur, key, order, unique), prev, cur)
+    return compared_rows(identified(prev, key, order, unique), identified(cur, key, order, unique), prev, cur)
 
 
-def _compared(old: DataFrame, new: DataFrame, prev: DataFrame, cur: DataFrame) -> DataFrame:
+def compared_rows(old: DataFrame, new: DataFrame, prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Changes between rows with distinct ids, in the columns of the snapshots."""
     left, right = _flat(old, "p_"), _flat(new, "c_")
     operation = (
@@ -114,10 +114,21 @@ def _hashed(df: DataFrame, key: str | None) -> DataFrame:
 
 def briefed(df: DataFrame, key: str | None, common: Sequence[str], order: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """Ids, order columns and hashes of the rows, one for each id; no other column is shuffled."""
+    if list(common) == df.columns:
+        # The hashes that choose between rows of one id are those of the columns compared.
+        rows = _hashed(df, key).select(ROW_ID, *order, *_HASHES)
+        rows = rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
+        return rows.withColumnsRenamed(dict(zip(_HASHES, _SAME)))
     rows = _digest(_hashed(df, key), common, _SAME).select(ROW_ID, *order, *_HASHES, *_SAME)
     return rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
 
 
+def last_by_hash(rows: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One row per `_row_id`: the one that `briefed` takes of several."""
+    hashed = _digest(rows, [c for c in rows.columns if c != ROW_ID])
+    return last_wins(hashed, [ROW_ID], [*order, *_HASHES]).drop(*_HASHES)
+
+
 def snapshot_diff_narrow(
     prev: DataFrame, cur: DataFrame, key: str, folder: str, order: Sequence[str] = (), unique: bool = False
 ) -> DataFrame:
@@ -144,7 +155,7 @@ def snapshot_diff_narrow(
         rows = rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
         return rows.drop(*_HASHES)
 
-    return _compared(only_changed(prev), only_changed(cur), prev, cur)
+    return compared_rows(only_changed(prev), only_changed(cur), prev, cur)
 
 
 def snapshot_inserts(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changelake.operators.envelope import build_envelope
 from changelake.operators.evolve import apply_schema_events
+from changelake.plans.kept import Kept
 from changelake.plans.poll import Polled, load_messages, row_messages
 from changelake.session import scratch_dir
 
@@ -44,6 +45,13 @@ def wide_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return wide, wide.withColumn("l_extendedprice", F.coalesce(price, "l_extendedprice"))
 
 
+def first_poll(spark: SparkSession, sf_dir: str) -> Kept:
+    """The wide lines as the poll before has stored them."""
+    prev, _ = wide_snapshots(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return Kept(spark, scratch_dir(spark, "kept"), prev.schema, "line", False, (), buckets).write(prev)
+
+
 def event_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Events keyed by their time, before errors left, purchases came in and clicks were revalued."""
     events = table(spark, sf_dir, "events")

@@ -413,7 +413,7 @@ _sql("snapshot_diff", _DIFF, SNAPSHOTS)
 _sql("snapshot_diff_narrow", _DIFF, SNAPSHOTS)
 _LINE = """line l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag
     l_linestatus l_shipdate note""".split()
-for _name in ("snapshot_diff_wide", "snapshot_diff_wide_narrow"):
+for _name in ("snapshot_diff_wide", "snapshot_diff_wide_narrow", "snapshot_diff_kept"):
     _sql(
         _name,
         f"""SELECT line AS row_id, 'UPDATE' AS operation, {", ".join(f"{c} AS before_{c}" for c in _LINE)},
@@ -520,6 +520,32 @@ _sql(
     UNION ALL SELECT 'shop-part-topic', CAST(p_partkey AS VARCHAR), 'INITIAL_LOAD', p_retailprice, 6 FROM part
     UNION ALL SELECT 'missing', NULL, 'PATH_NOT_FOUND', NULL, NULL""",
 )
+
+
+def _fields(topic: str, operation: str, key: str, source: str, **columns: str) -> str:
+    """A row for each column of each message; numbers and texts apart."""
+    one = f"""SELECT 'shop-{topic}-topic' AS topic, CAST({key} AS VARCHAR) AS "key", '{operation}' AS operation, '{{name}}' AS "column",
+      {{text}} AS text, {{number}} AS number FROM {source}"""
+    return " UNION ALL ".join(
+        one.format(name=name, text=value, number="CAST(NULL AS DOUBLE)") if "_name" in name or name in ("c_mktsegment", "p_brand", "p_type")
+        else one.format(name=name, text="CAST(NULL AS VARCHAR)", number=f"CAST({value} AS DOUBLE)")
+        for name, value in columns.items()
+    )
+
+
+_CUSTOMER = {"c_custkey": "c_custkey", "c_name": "c_name", "c_nationkey": "c_nationkey", "balance": "c_acctbal + 1", "c_mktsegment": "c_mktsegment"}
+_PART = {name: name for name in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")}
+_sql(
+    "poll_stored",
+    " UNION ALL ".join(
+        [
+            _fields("customer", "UPDATE", "c_custkey", "customer WHERE c_nationkey = 1", **_CUSTOMER),
+            _fields("supplier", "DELETE", "s_suppkey", "supplier WHERE s_nationkey = 2", s_suppkey="s_suppkey"),
+            _fields("part", "INITIAL_LOAD", "p_partkey", "part", **_PART),
+            "SELECT 'missing', NULL, 'PATH_NOT_FOUND', NULL, NULL, NULL",
+        ]
+    ),
+)
 _sql("poll_to_state_keyless", "SELECT DISTINCT * FROM lineitem WHERE l_returnflag <> 'R'")
 _sql(
     "poll_to_state_timestamp_key",

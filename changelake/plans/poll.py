@@ -69,15 +69,18 @@ def row_messages(
 
     `unique` says that the source declares the key, so that no id repeats.
     """
+    return change_messages(snapshot_diff(prev, cur, key, order, unique), key, table, database, source, at)
+
+
+def change_messages(changes: DataFrame, key: str | None, table: str, database: str, source: str, at: Column) -> DataFrame:
+    """`topic, key, value` of changes (`_row_id`, `operation`, `after`)."""
     gone = F.to_json(F.struct(F.col(ROW_ID).alias(key or ROW_ID)))
     data = F.when(F.col("operation") == "DELETE", gone).otherwise(
         F.to_json("after", JSON_OPTIONS)
     )
     value = _message(F.col("operation"), data, table, database, source, at)
     topic = row_topic(F.lit(database), F.lit(table))
-    return snapshot_diff(prev, cur, key, order, unique).select(
-        topic.alias("topic"), F.col(ROW_ID).alias("key"), value.alias("value")
-    )
+    return changes.select(topic.alias("topic"), F.col(ROW_ID).alias("key"), value.alias("value"))
 
 
 def schema_messages(
@@ -122,6 +125,15 @@ class Polled:
     enabled: bool = True
 
 
+def column_events(schema_events: DataFrame, tables: Mapping[str, Polled]) -> dict[str, list[dict]]:
+    """Column events of the polled tables between two polls."""
+    wanted = schema_events.filter(F.col("operation").endswith("_COLUMN") & F.col("table").isin(*tables))
+    events: dict[str, list[dict]] = {}
+    for row in wanted.orderBy("table", "operation", "column", "old_column").collect():
+        events.setdefault(row.table, []).append(row.asDict())
+    return events
+
+
 def poll_tables(
     tables: Mapping[str, Polled],
     schema_events: DataFrame,
@@ -133,14 +145,14 @@ def poll_tables(
 
     `schema_events` of this poll are applied to a table's last snapshot first, so a renamed
     column is compared under its new name, and a key column too. A table that cannot be
-    read fails alone; its last snapshot stays for the next poll. A table without a last
+    analysed fails alone; its last snapshot stays for the next poll. A table without a last
     snapshot is loaded whole.
+
+    Snapshots are plans here: the messages read the source, and so does what the caller keeps. That
+    is right for sources that don't change meanwhile, such as files; of others,
+    `changelake.plans.kept` stores what it reads once, and survives failing tasks of a table.
     """
-    wanted = schema_events.filter(F.col("operation").endswith("_COLUMN") & F.col("table").isin(*tables))
-    events: dict[str, list[dict]] = {}
-    # Column events of the polled tables between two polls.
-    for row in wanted.orderBy("table", "operation", "column", "old_column").collect():
-        events.setdefault(row.table, []).append(row.asDict())
+    events = column_events(schema_events, tables)
     messages, kept, failed = [], {}, {}
     for name, table in tables.items():
         if not table.enabled:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from changelake.functions import (
 )
 from changelake.functions.keys import JSON_OPTIONS
 from changelake.operators import commits, conform, diff, drift, envelope, evolve, fold
-from changelake.plans import feeds, poll, silver
+from changelake.plans import feeds, kept, poll, silver
 from changelake.session import scratch_dir
 from changelake.sources import readers
 from changelake.sources.bronze import Bronze
@@ -213,6 +214,14 @@ def snapshot_diff_wide_narrow(spark, sf_dir):
     return _images(diff.snapshot_diff_narrow(prev, cur, "line", scratch_dir(spark, "changed")), cur.columns)
 
 
+@query
+def snapshot_diff_kept(spark, sf_dir):
+    old = feeds.first_poll(spark, sf_dir)
+    _, cur = feeds.wide_snapshots(spark, sf_dir)
+    new = replace(old, folder=scratch_dir(spark, "kept"), schema=cur.schema).write(cur)
+    return _images(kept.snapshot_diff_kept(old, new, scratch_dir(spark, "changed")), cur.columns)
+
+
 @query
 def snapshot_diff_keyless(spark, sf_dir):
     prev, cur = feeds.line_snapshots(spark, sf_dir)
@@ -360,6 +369,26 @@ def poll_tables(spark, sf_dir):
     return rows
 
 
+@query
+def poll_stored(spark, sf_dir):
+    """Each field of each message of a second poll on stored snapshots, and the tables that failed."""
+    tables, events = feeds.polled_tables(spark, sf_dir)
+    area = kept.Snapshots(spark, scratch_dir(spark, "snapshots"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    before = {name: replace(table, read=lambda last=table.last: last) for name, table in tables.items() if table.last is not None}
+    before["missing"] = tables["missing"]
+    area.poll(before, events.limit(0), "shop", "mssql", _polled_at()).commit()
+    found = area.poll(tables, events, "shop", "mssql", _polled_at())
+    found.commit()
+    wire = F.from_json("value", "operation string, data string")
+    rows = found.messages.select("topic", "key", F.inline(F.array(wire)))
+    fields = F.explode(F.from_json("data", "map<string,string>")).alias("column", "value")
+    rows = rows.select("topic", "key", "operation", fields)
+    number = F.col("value").try_cast("double")
+    rows = rows.select("topic", "key", "operation", "column", F.when(number.isNull(), F.col("value")).alias("text"), number.alias("number"))
+    failed = spark.createDataFrame(list(found.failed.items()), "topic string, operation string")
+    return rows.unionByName(failed, allowMissingColumns=True)
+
+
 def _polled_state(prev: DataFrame, cur: DataFrame, key: str | None, order: tuple[str, ...] = ()) -> DataFrame:
     """Rows that are live after a first load and one poll have gone through the messages."""
     source = (key, "t", "shop", "postgresql", _polled_at(), order)
