@@ -63,15 +63,31 @@ def _pairs(alone: DataFrame, group: Sequence[str], order: str, bits: int, **valu
     )
 
 
+def _fingerprint(seed: int) -> Column:
+    """What a column adds to its table's sum of hashes."""
+    parts = ["column", "data_type", "column_default", F.col("column_default").isNull()]
+    return F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)")
+
+
+def _equal_columns(old: DataFrame, new: DataFrame, pairs: DataFrame) -> DataFrame:
+    """`old_table, new_table, equal`: the number of columns that are the same in both tables of a pair."""
+    left = old.select(F.col("table_full").alias("old_table"), "column", "data_type", "column_default").join(pairs, "old_table")
+    right = new.select(*[F.col(c).alias(f"_{c}") for c in ("table_full", "column", "data_type", "column_default")])
+    same = (F.col("new_table") == F.col("_table_full")) & (F.col("column") == F.col("_column"))
+    for c in ("data_type", "column_default"):
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return left.join(right, same).groupBy("old_table", "new_table").agg(F.count("*").alias("equal"))
+
+
 def table_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """`old_table, new_table` of tables in one state only; null where there is none.
 
-    A dropped and an added table with equal columns are one renamed table. The
-    columns are compared by their number and two sums of hashes, which need no
+    A dropped and an added table with equal columns are one renamed table. Their number and
+    two sums of hashes find those that may be; their columns are then compared themselves, and
+    tables that only their hashes pair are a dropped and an added one. No step needs a
     column list in one place, so a table may be as wide as it likes.
     """
-    parts = ["column", "data_type", "column_default", F.col("column_default").isNull()]
-    hashes = [F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)") for seed in (1, 2)]
+    hashes = [_fingerprint(seed) for seed in (1, 2)]
     tables = (
         _both(old, new)
         .groupBy("table_full")
@@ -84,9 +100,13 @@ def table_changes(old: DataFrame, new: DataFrame) -> DataFrame:
         )
     )
     alone = tables.filter("is_new = last").withColumn("order", _name_order(F.col("table_full")))
-    return _pairs(alone, ["n", "h1", "h2"], "order", 40, table="table_full").select(
-        "old_table", "new_table"
-    )
+    pairs = _pairs(alone, ["n", "h1", "h2"], "order", 40, table="table_full")
+    equal = _equal_columns(old, new, pairs.filter("old_table IS NOT NULL AND new_table IS NOT NULL"))
+    checked = pairs.join(equal, ["old_table", "new_table"], "left")
+    apart = F.array(F.struct("old_table", F.lit(None).cast("string").alias("new_table")), F.struct(F.lit(None).cast("string").alias("old_table"), "new_table"))
+    whole = F.array(F.struct("old_table", "new_table"))
+    single = F.col("old_table").isNull() | F.col("new_table").isNull()
+    return checked.select(F.inline(F.when(single | F.coalesce(F.col("equal") == F.col("n"), F.lit(False)), whole).otherwise(apart)))
 
 
 def column_changes(old: DataFrame, new: DataFrame, match_default: bool = True) -> DataFrame:
