@@ -5,11 +5,12 @@ the same names and classes from the root down, are one node. A node whose childr
 alike on all pages, and whose texts recur on many of them, says little about a page. Its
 importance is an entropy: of the arrangements of its children (presentation), and of the
 pages on which each text occurs (content). A page's branches of low importance are left
-out, and texts that recur on most pages. Hosts with few pages borrow from the tree of all hosts.
+out, and texts that recur on more than half of the pages. Hosts with few pages borrow from the tree of all hosts.
 
 Whether a block is in a main element moves the bar that its importance has to reach: inside
 an article low importance still takes it out, beside one high importance still keeps it.
-Elements such as navigation and forms are never main text. Names such as a class of `sidebar`
+Elements such as navigation and forms are never main text, but for a form or a hidden element that
+holds most of the page's text, and formulas and buttons within an article's text. Names such as a class of `sidebar`
 count against a block, unless the element named holds most of the page's text.
 """
 
@@ -32,8 +33,8 @@ DAMPING = 0.9
 BORROWED = 20
 #: Importance that keeps a block: inside a main element, beside one, and on pages without one.
 INSIDE, BESIDE, LEAST = 0.2, 0.8, 0.4
-#: Importance below which a single text counts as repeated, wherever it stands.
-REPEATED = 0.2
+#: Part of the pages on more than which a text counts as repeated, wherever it stands.
+REPEATED = 0.5
 #: Pages that must hold a path or a text before what was learned outweighs its element.
 SEEN = 5
 
@@ -50,6 +51,10 @@ NEVER_NAMED = frozenset(
     " breadcrumbs pagination pager paging search searchbox login toolbar skip copyright contentinfo complementary"
     " banners tooltip dialog form hidden".split()
 )
+#: Of these, what no one sees, what may be a page's frame, and what may stand within a text.
+UNSEEN = frozenset("head title script style noscript template iframe object embed svg canvas select textarea audio video map".split())
+FRAMES = frozenset(["form", "fieldset"])
+INLINE = frozenset(["math", "button"])
 #: Also never main text, unless inside the article.
 OUTER = frozenset(["header"])
 OUTER_NAMED = frozenset("header masthead topbar".split())
@@ -94,6 +99,7 @@ class Tree:
         self.main: set[int] = set()
         self.never: set[int] = set()
         self.order: list[Node] = []
+        self.most = self._most(html or "")
         stack = [self.root]
         while stack:
             node = stack.pop()
@@ -103,13 +109,32 @@ class Tree:
                 self._enter(child, node)
             stack += reversed(children)
 
+    def _most(self, html: str) -> set[int]:
+        """Forms and hidden elements that hold most of the page's text: such are part of its frame."""
+        folded = html.lower()
+        if not any(mark in folded for mark in ("<form", "<fieldset", "hidden", "display")):
+            return set()
+        held: dict[int, int] = {}
+        order, stack = [], [self.root]
+        while stack:
+            node = stack.pop()
+            order.append(node)
+            if node.tag not in UNSEEN:
+                stack += [child for child in node.children if isinstance(child, Node)]
+        for node in reversed(order):
+            parts = [] if node.tag in UNSEEN else node.children
+            held[id(node)] = sum(held[id(child)] if isinstance(child, Node) else len(child.strip()) for child in parts)
+        return {at for at, size in held.items() if size > MOST * held[id(self.root)]}
+
     def _enter(self, node: Node, parent: Node) -> None:
         classes = _NUMBERS.sub("", " ".join(sorted(node.attributes.get("class", "").lower().split())))
         self.path[id(node)] = _hash(self.path[id(parent)], node.tag, classes, node.attributes.get("role", ""))
         inside = id(parent) in self.main
         style = node.attributes.get("style", "").replace(" ", "").lower()
         hidden = "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true" or "display:none" in style
-        never = node.tag in NEVER or hidden
+        never = (node.tag in NEVER or hidden) and not (id(node) in self.most and node.tag not in UNSEEN and (hidden or node.tag in FRAMES))
+        if inside and node.tag in INLINE and parent.tag not in NEVER and parent.tag not in MAIN and parent.tag != "div":
+            never = hidden
         outer = node.tag in OUTER
         if id(parent) in self.never or never or (outer and not inside):
             self.never.add(id(node))
@@ -240,7 +265,7 @@ def learn(pages: DataFrame) -> DataFrame:
     `pages` has the host's hash and html. With m pages, arrangements with shares p have the
     presentation importance -sum(p log p) / log m. Texts on n pages each have the content
     importance 1 - mean(log n) / log m: 1 if every text is on one page, 0 if all are on all.
-    A text on n pages has the importance 1 - log n / log m.
+    A text is repeated if it is on more than `REPEATED` of the pages, whatever their number.
     """
     counted = stored(
         pages.mapInArrow(_features, "host long, path long, content boolean, feature long, n long")
@@ -282,9 +307,9 @@ def learn(pages: DataFrame) -> DataFrame:
     all_pages = everywhere.filter(roots).agg(F.sum("n").alias("all_m"))
     often = everywhere.filter(F.col("content") & (F.col("n") >= SEEN)).select("path", "feature", F.col("n").alias("all_n"))
     texts = counted.filter("content").join(often, ["path", "feature"]).join(sizes, "host").crossJoin(F.broadcast(all_pages))
-    own = F.when(F.col("m") < 2, 1.0).otherwise(1 - F.log("n") / scale(F.col("m")))
-    other = 1 - F.log("all_n") / scale(F.col("all_m"))
-    texts = texts.filter(own * share + other * (1 - share) < REPEATED)
+    own = F.when(F.col("m") < 2, 0.0).otherwise(F.col("n") / F.col("m"))
+    other = F.col("all_n") / F.col("all_m")
+    texts = texts.filter(own * share + other * (1 - share) > REPEATED)
     texts = texts.groupBy("host").agg(F.collect_list(F.struct("path", F.col("feature").alias("text"))).alias("texts"))
     return stored(trees.join(texts, "host", "left"), "trees")
 

@@ -13,6 +13,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,10 +78,26 @@ def _decoded(headers: dict[str, str], body: bytes) -> bytes:
     if "chunked" in headers.get("transfer-encoding", "").lower():
         body = _unchunked(body)
     if headers.get("content-encoding", "").lower() in ("gzip", "x-gzip", "deflate"):
+        return _inflated(body)
+    return body
+
+
+def _inflated(body: bytes) -> bytes:
+    """All members of a compressed body, with a header or without; as it is if it is neither."""
+    for window in (47, -15):
+        out, rest = [], body
         try:
-            body = zlib.decompressobj(47).decompress(body)
+            while rest.strip(b"\0"):
+                member = zlib.decompressobj(window)
+                out.append(member.decompress(rest))
+                if not member.eof:
+                    break
+                rest = member.unused_data
         except zlib.error:
-            pass
+            # What follows the last whole member isn't compressed.
+            if not out:
+                continue
+        return b"".join(out)
     return body
 
 
@@ -214,44 +231,94 @@ def write_warc(records: DataFrame, path: str) -> None:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """`headers` (names in lower case), `block` and `complete` of the records of files, gzipped or not.
 
-    A file is read as a stream of records. A block that itself holds a border followed by a
-    version line is put together again by its length; if such a file isn't compressed and
-    is split there, the record is marked as not complete.
+    A file is read as a stream of records, of any version 1. A block that itself holds a border followed
+    by a version line is put together again where its length ends at such a border. A record
+    whose length fits no border is returned as it stands up to the next one, marked as not complete,
+    and the records after it are read by themselves. So is one whose block is cut by the split of
+    an uncompressed file, or said to be longer than a value can be.
     """
-    lines = spark.read.option("lineSep", f"{_BORDER}{VERSION}\r\n").text(path).select(F.col("value").cast("binary").alias("value"))
+    lines = spark.read.option("lineSep", _NEXT).text(path).select(F.col("value").cast("binary").alias("value"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        border = f"{_BORDER}{VERSION}\r\n".encode()
-        held = b""
+        pieces = _Pieces()
         for batch in batches:
-            found = []
-            for value in batch.column(0).to_pylist():
-                held = held + border + value if held else value.removeprefix(f"{VERSION}\r\n".encode())
-                record = _record(held)
-                if record and record[2]:
-                    found.append(record)
-                    held = b""
-            yield _read(found)
-        if held and (record := _record(held)):
-            yield _read([record])
+            yield _read([record for value in batch.column(0).to_pylist() for record in pieces.add(value)])
+        yield _read(list(pieces.end()))
 
     return lines.mapInArrow(run, "headers map<string,string>, block binary, complete boolean")
 
 
+#: What stands between records, up to the minor version, and the longest block that a row can hold.
+_NEXT = f"{_BORDER}WARC/1."
+_LONGEST = (1 << 31) - 1
+
+
+class _Pieces:
+    """Pieces of a file between borders, put together to records by their lengths."""
+
+    def __init__(self) -> None:
+        self.held: deque[bytes] = deque()
+        #: Bytes that the first record lacks as far as known.
+        self.lacks = 0
+
+    def add(self, value: bytes) -> Iterator[tuple]:
+        if value.startswith(b"WARC/1."):
+            yield from self.end()
+            value = value.removeprefix(b"WARC/1.")
+        elif not self.held and not value.strip():
+            return
+        if self.held:
+            self.lacks -= len(value) + len(_NEXT)
+        self.held.append(value)
+        if len(self.held) == 1 or self.lacks <= 0:
+            yield from self._records(False)
+
+    def end(self) -> Iterator[tuple]:
+        """The records of a file that is over."""
+        yield from self._records(True)
+
+    def _records(self, over: bool) -> Iterator[tuple]:
+        while self.held:
+            headers, block, length = _record(self.held[0])
+            # A block that begins with a record: its header's border is part of what was cut out.
+            size, number = len(block) if _BORDER.encode() in self.held[0] else -len(_BORDER), 1
+            while size < length <= _LONGEST and number < len(self.held):
+                size += len(_NEXT) + len(self.held[number])
+                number += 1
+            if size < length <= _LONGEST and not over:
+                self.lacks = length - size
+                return
+            whole = block
+            if number > 1:
+                whole = _record(_NEXT.encode().join([self.held[n] for n in range(number)]))[1]
+            # The last record of a file has its border behind it.
+            last = size > length and number == len(self.held) and not whole[length:].strip(b"\r\n")
+            if last and not over:
+                self.lacks = 0
+                return
+            if size == length or last:
+                yield headers, whole[:length], True
+            else:
+                yield headers, block, False
+                number = 1
+            for _ in range(number):
+                self.held.popleft()
+
+
 def _read(records: list[tuple[list[tuple[str, str]], bytes, bool]]) -> pa.RecordBatch:
     headers, contents, complete = (list(column) for column in zip(*records)) if records else ([], [], [])
     arrays = [pa.array(headers, pa.map_(pa.string(), pa.string())), pa.array(contents, pa.binary()), pa.array(complete, pa.bool_())]
     return pa.RecordBatch.from_arrays(arrays, ["headers", "block", "complete"])
 
 
-def _record(raw: bytes) -> tuple[list[tuple[str, str]], bytes, bool] | None:
-    head, border, block = raw.partition(b"\r\n\r\n")
-    if not border:
-        return None
-    named = [line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")]
+def _record(raw: bytes) -> tuple[list[tuple[str, str]], bytes, int]:
+    """Headers, what of the block is in the piece, and the block's length; without one, the rest of the piece."""
+    head, _, block = raw.partition(b"\r\n\r\n")
+    # The first line is what is left of the version.
+    named = [line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:]]
     headers = {name.strip().lower(): value.strip() for name, colon, value in named if colon}
     length = int(headers["content-length"]) if headers.get("content-length", "").isdigit() else len(block)
-    return list(headers.items()), block[:length], len(block) >= length
+    return list(headers.items()), block, length
 
 
 def responses(records: DataFrame) -> DataFrame:

@@ -86,3 +86,40 @@ def test_responses_are_read_even_if_a_body_looks_like_a_record(spark, tmp_path):
 def test_long_pages():
     text, title, links = plain_text("<p>a</p>" * 100_000)
     assert text == "\n".join(["a"] * 100_000) and (title, links) == ("", []) and zlib.crc32(b"")  == 0
+
+
+def record_of(version, kind, id, data, length=None):
+    return f"WARC/{version}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{id}>\r\nContent-Length: {len(data) if length is None else length}\r\n\r\n".encode() + data + b"\r\n\r\n"
+
+
+def read_ids(spark, path):
+    return [(row.headers["warc-record-id"], bytes(row.block), row.complete) for row in read_warc(spark, str(path)).collect()]
+
+
+def test_every_version_is_read(spark, tmp_path):
+    for version in ("1.0", "1.1"):
+        path = tmp_path / f"{version}.warc.gz"
+        path.write_bytes(b"".join(gzip.compress(record_of(version, "response", n, b"block %d" % n)) for n in range(5)))
+        assert read_ids(spark, path) == [(f"<{n}>", b"block %d" % n, True) for n in range(5)]
+    assert sorted(read_ids(spark, tmp_path)) == sorted(2 * [(f"<{n}>", b"block %d" % n, True) for n in range(5)])
+
+
+def test_a_wrong_length_costs_its_own_record_only(spark, tmp_path):
+    for name, length in (("long", 10_000), ("over", 60), ("huge", 10**15), ("short", 3)):
+        path = tmp_path / f"{name}.warc"
+        path.write_bytes(b"".join(record_of("1.0", "response", n, b"block %d" % n, length if n == 1 else None) for n in range(5)))
+        assert read_ids(spark, path) == [(f"<{n}>", b"block %d" % n, n != 1) for n in range(5)]
+
+
+def test_records_within_a_block_stay_there(spark, tmp_path):
+    inner = record_of("1.0", "response", "in", b"a") + record_of("1.1", "response", "in", b"b")
+    path = tmp_path / "nested.warc"
+    path.write_bytes(record_of("1.0", "resource", 0, inner) + record_of("1.0", "response", 1, b"c"))
+    assert read_ids(spark, path) == [("<0>", inner, True), ("<1>", b"c", True)]
+
+
+def test_all_members_and_raw_deflate_are_decoded(spark):
+    raw = zlib.compressobj(wbits=-15)
+    bodies = [gzip.compress(b"<p>a</p>") + gzip.compress(b"<p>b</p>"), raw.compress(b"<p>c</p>") + raw.flush(), b"<p>plain</p>"]
+    rows = [(f"<{n}>", None, None, message(body, "Content-Type: text/html", "Content-Encoding: " + ("deflate" if n == 1 else "gzip")), None, None) for n, body in enumerate(bodies)]
+    assert [row["block"] for row in derived(spark, *rows) if row["record_type"] == "conversion"] == ["a\nb", "c", "plain"]
