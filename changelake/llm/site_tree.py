@@ -99,7 +99,6 @@ class Tree:
         self.main: set[int] = set()
         self.never: set[int] = set()
         self.order: list[Node] = []
-        self.most = self._most(html or "")
         stack = [self.root]
         while stack:
             node = stack.pop()
@@ -109,22 +108,27 @@ class Tree:
                 self._enter(child, node)
             stack += reversed(children)
 
-    def _most(self, html: str) -> set[int]:
-        """Forms and hidden elements that hold most of the page's text: such are part of its frame."""
-        folded = html.lower()
-        if not any(mark in folded for mark in ("<form", "<fieldset", "hidden", "display")):
-            return set()
-        held: dict[int, int] = {}
-        order, stack = [], [self.root]
-        while stack:
-            node = stack.pop()
-            order.append(node)
-            if node.tag not in UNSEEN:
-                stack += [child for child in node.children if isinstance(child, Node)]
-        for node in reversed(order):
-            parts = [] if node.tag in UNSEEN else node.children
-            held[id(node)] = sum(held[id(child)] if isinstance(child, Node) else len(child.strip()) for child in parts)
-        return {at for at, size in held.items() if size > MOST * held[id(self.root)]}
+    def _holds_most(self, node: Node) -> bool:
+        """Whether an element holds more text than all of the page beside it."""
+
+        def lengths(top: Node, but: Node | None = None) -> Iterator[int]:
+            stack = [top]
+            while stack:
+                at = stack.pop()
+                if at is not but and at.tag not in UNSEEN:
+                    for child in at.children:
+                        if isinstance(child, Node):
+                            stack.append(child)
+                        else:
+                            yield len(child.strip())
+
+        own, beside = sum(lengths(node)), 0
+        # Most forms are small, so the first texts beside them settle it.
+        for length in lengths(self.root, node):
+            beside += length
+            if beside >= own:
+                return False
+        return own > beside
 
     def _enter(self, node: Node, parent: Node) -> None:
         classes = _NUMBERS.sub("", " ".join(sorted(node.attributes.get("class", "").lower().split())))
@@ -132,7 +136,9 @@ class Tree:
         inside = id(parent) in self.main
         style = node.attributes.get("style", "").replace(" ", "").lower()
         hidden = "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true" or "display:none" in style
-        never = (node.tag in NEVER or hidden) and not (id(node) in self.most and node.tag not in UNSEEN and (hidden or node.tag in FRAMES))
+        never = node.tag in NEVER or hidden
+        if never and id(parent) not in self.never and node.tag not in UNSEEN and (hidden or node.tag in FRAMES):
+            never = not self._holds_most(node)
         if inside and node.tag in INLINE and parent.tag not in NEVER and parent.tag not in MAIN and parent.tag != "div":
             never = hidden
         outer = node.tag in OUTER
