@@ -118,7 +118,7 @@ def briefed(df: DataFrame, key: str | None, common: Sequence[str], order: Sequen
         # The hashes that choose between rows of one id are those of the columns compared.
         rows = _hashed(df, key).select(ROW_ID, *order, *_HASHES)
         rows = rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
-        return rows.withColumnsRenamed(dict(zip(_HASHES, _SAME)))
+        return rows.withColumns({same: F.col(chosen) for same, chosen in zip(_SAME, _HASHES)})
     rows = _digest(_hashed(df, key), common, _SAME).select(ROW_ID, *order, *_HASHES, *_SAME)
     return rows if unique else last_wins(rows, [ROW_ID], [*order, *_HASHES])
 
