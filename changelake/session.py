@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,6 +21,10 @@ DEFAULTS = {
 }
 
 
+#: Folders of local sessions without a shared one, by application.
+_OWN: dict[str, str] = {}
+
+
 def build_session(app: str = "changelake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; `conf` wins over them."""
     builder = SparkSession.builder.appName(app)
@@ -29,16 +35,45 @@ def build_session(app: str = "changelake", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def _root(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(spark.sparkContext.applicationId)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared one that `spark.checkpoint.dir` names.
 
     A local session without that setting gets a folder of its own; a cluster
     session without it is an error, since executors share no local disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _root(spark)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="changelake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # Spark lets no running session set it.
+        root = _OWN[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="changelake-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, older_than: float, root: str | None = None) -> list[str]:
+    """Delete intermediate folders in which nothing was written for `older_than` seconds; their names.
+
+    Only folders named as `scratch_dir` names them, directly below `root` (by default the one
+    `scratch_dir` uses), are touched. Results read from them are lost, so the age has to exceed
+    the longest job that shares the folder. A folder whose age the file system doesn't tell stays.
+    """
+    root = root or _root(spark)
+    if not root:
+        return []
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    before, gone = (time.time() - older_than) * 1000, []
+    for folder in files.listStatus(path) if files.exists(path) else []:
+        name = folder.getPath().getName()
+        if not folder.isDirectory() or not re.fullmatch(".+-[0-9a-f]{32}", name):
+            continue
+        last, held = folder.getModificationTime(), files.listFiles(folder.getPath(), True)
+        while last < before and held.hasNext():
+            last = max(last, held.next().getModificationTime())
+        if 0 < last < before and files.delete(folder.getPath(), True):
+            gone.append(name)
+    return sorted(gone)
