@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changelake.operators.scan import prefix_scan
@@ -58,24 +58,31 @@ def running_totals(summary: DataFrame, births: DataFrame) -> DataFrame:
     )
 
 
-def totals_after(counts: DataFrame, earlier: DataFrame) -> DataFrame:
-    """Counts per table and batch with `total_records`, the table's rows after each batch.
+def carried_totals(counts: DataFrame, heads: DataFrame) -> DataFrame:
+    """Counts per table and batch with `total_records` and `schema_id` after each batch.
 
-    `earlier` has the totals of the part before, so history is not summed again: one row
-    for each table and batch of this part is scanned. Tables that this part doesn't touch
-    are carried on with their last batch.
+    `total_records` are the table's rows, `schema_id` counts its schema events. `counts` has
+    `new_rows` and `schema_events`, null for none; `heads` has one row per table, both values
+    after the last batch before these (`heads_after`). So only the batches at hand are scanned.
     """
-    last = earlier.groupBy("table_key").agg(F.max_by(F.struct("batch_id", "total_records"), "batch_id").alias("last"))
-    rows = counts.select(*GROUP, "new_rows", "effective_deletes").join(last, "table_key", "full_outer")
+    before = heads.select("table_key", F.col("total_records").alias("_records"), F.col("schema_id").alias("_schema"))
     scan = Window.partitionBy("table_key").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    before = F.coalesce("last.total_records", F.lit(0))
-    return rows.select(
-        "table_key",
-        F.coalesce("batch_id", "last.batch_id").alias("batch_id"),
-        F.when(F.col("batch_id").isNotNull(), F.col("new_rows")).alias("new_rows"),
-        "effective_deletes",
-        (before + F.coalesce(F.sum("new_rows").over(scan), F.lit(0))).alias("total_records"),
+
+    def running(start: str, column: str) -> Column:
+        return F.coalesce(start, F.lit(0)) + F.coalesce(F.sum(column).over(scan), F.lit(0))
+
+    totals = counts.join(before, "table_key", "left").withColumns(
+        {"total_records": running("_records", "new_rows"), "schema_id": running("_schema", "schema_events")}
     )
+    return totals.drop("_records", "_schema")
+
+
+def heads_after(totals: DataFrame, heads: DataFrame) -> DataFrame:
+    """One row per table with its `total_records` and `schema_id` after `totals`; others keep theirs."""
+    names = ("total_records", "schema_id")
+    last = totals.groupBy("table_key").agg(F.max_by(F.struct(*names), "batch_id").alias("last"))
+    both = heads.join(last, "table_key", "full_outer")
+    return both.select("table_key", *[F.coalesce(f"last.{name}", name).alias(name) for name in names])
 
 
 def schema_changes(events: DataFrame) -> DataFrame:

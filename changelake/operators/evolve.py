@@ -182,25 +182,74 @@ def _resolve_tables(df: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def evolve_log(log: DataFrame, events: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+def _epochs(tables: DataFrame, rules: DataFrame, kind: str) -> DataFrame:
+    """Rules of each table name of the past, by the span of `seq` in which it meant one present table.
+
+    `_since <= seq < _until`; a null end is open. Spans of a name don't overlap.
+    """
+    oldest = F.lit(_OLDEST).cast(kind)
+    steps = tables.select("table_key", "tables", F.posexplode("tables").alias("at", "step"))
+    since = F.when(F.col("at") == 0, oldest).otherwise(F.get("tables", F.col("at") - 1)["until"])
+    past = steps.select("table_key", since.alias("_since"), F.col("step.until").alias("_until"), F.col("step.name").alias("_final"))
+    named = tables.select("table_key", F.element_at("tables", -1)["until"].alias("_since")).unionByName(
+        rules.join(tables, "table_key", "left_anti").select("table_key", oldest.alias("_since"))
+    )
+    spans = past.unionByName(named.select("table_key", "_since", F.lit(None).cast(kind).alias("_until"), F.col("table_key").alias("_final")))
+    found = rules.select(F.col("table_key").alias("_final"), F.col("names").alias("_names"), F.col("defaults").alias("_defaults"))
+    return spans.join(found, "_final", "left").filter("_final <> table_key OR _names IS NOT NULL")
+
+
+#: Steps and defaults of rules that are sent to all tasks, at some hundred bytes each.
+MOST_SENT = 100_000
+#: Parts of each table where rules are more than that.
+SALTS = 64
+
+
+def _ruled(log: DataFrame, epochs: DataFrame) -> DataFrame:
+    """Rows with the rules of their span, in one join.
+
+    Rules of `MOST_SENT` steps at most are broadcast. More of them meet the log by table and
+    one of `SALTS` parts of it, in each of which they are repeated, so that a table with most
+    of the log is no single key.
+    """
+    held = F.aggregate(F.map_values("_names"), F.lit(1), lambda total, steps: total + F.size(steps))
+    steps = epochs.agg(F.sum(F.coalesce(held, F.lit(1)) + F.coalesce(F.size("_defaults"), F.lit(0)))).first()[0] or 0
+    span = (F.col("seq") >= F.col("_since")) & (F.col("_until").isNull() | (F.col("seq") < F.col("_until")))
+    epochs = epochs.withColumnRenamed("table_key", "_name")
+    if steps <= MOST_SENT:
+        return log.join(F.broadcast(epochs), (F.col("table_key") == F.col("_name")) & span, "left")
+    parted = epochs.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = log.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int"))
+    return salted.join(parted, (F.col("table_key") == F.col("_name")) & (F.col("_salt") == F.col("_part")) & span, "left")
+
+
+def evolve_log(
+    log: DataFrame, events: DataFrame, tables: DataFrame | None = None, stored: bool = True
+) -> DataFrame:
     """Rows of a log (`table_key, seq, data`) in the present schema of their table.
 
     A row takes part in the schema events after its own `seq`; no two schema events of a
-    table share one. Chains of renames are followed once, on the events alone, and the steps
-    of each table become one row of rules, bounded by the schema events of that table; the
-    log is then joined once however many events there are, and not shuffled while the rules
-    fit a broadcast. `tables` are the `table_rules`, if they are known already.
+    table share one. Chains of renames are followed once, on the events alone, and become one
+    row of rules for each span of `seq` in which a table name meant one table. Rows after the
+    last of all events are only passed on; the others are looked up by name and span in one
+    join, which shuffles the log only where the rules are too many to send (`_ruled`). The log
+    is read in these two parts, and files are skipped by their `seq`; without `stored`, for a
+    log that is computed, all rows take part in the join, so that it is computed once. Rows without a `seq` stay as they are. `tables` are the `table_rules`, if they are known.
     """
+    last = events.agg(F.max("seq")).first()[0]
+    if last is None:
+        return log
     events = events.withColumn("table_key", F.concat_ws(".", "database", "table"))
     tables = table_rules(events) if tables is None else tables
     columns = _resolve_tables(
         events.filter(F.col("operation").isin("ADD_COLUMN", "RENAME_COLUMN", "DROP_COLUMN")), tables
     )
-    rules = _column_rules(columns)
+    kind = events.schema["seq"].dataType
+    epochs = _kept(_epochs(tables, _column_rules(columns), kind.simpleString()), "epochs")
     seq, data = F.col("seq"), F.col("data")
 
     def renamed(name: Column) -> Column:
-        step = _first_after(F.col("names")[name], seq)
+        step = _first_after(F.col("_names")[name], seq)
         return F.when(step.isNull(), name).otherwise(step["name"])
 
     entries = F.transform(
@@ -208,13 +257,17 @@ def evolve_log(log: DataFrame, events: DataFrame, tables: DataFrame | None = Non
     )
     present = F.map_from_entries(F.filter(entries, lambda e: e["key"].isNotNull()))
     missing = F.filter(
-        F.col("defaults"), lambda d: seq.between(d["since"], d["until"] - 1) & ~F.map_contains_key(present, d["name"])
+        F.col("_defaults"), lambda d: seq.between(d["since"], d["until"] - 1) & ~F.map_contains_key(present, d["name"])
     )
     added = F.map_from_entries(
         F.transform(missing, lambda d: F.struct(d["name"].alias("key"), d["value"].alias("value")))
     )
     whole = F.when(F.size(missing) > 0, F.map_concat(present, added)).otherwise(present)
-    evolved = _resolve_tables(log, tables).join(rules, "table_key", "left")
-    return evolved.withColumn(
-        "data", F.when(F.col("names").isNull(), data).otherwise(whole)
-    ).drop("names", "defaults")
+    bound = F.lit(last).cast(kind)
+    early = _ruled(log.filter(seq <= bound) if stored else log, epochs)
+    changed = {
+        "table_key": F.coalesce("_final", "table_key"),
+        "data": F.when(F.col("_names").isNull(), data).otherwise(whole),
+    }
+    early = early.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in log.columns])
+    return early.unionByName(log.filter((seq > bound) | seq.isNull())) if stored else early

@@ -633,7 +633,7 @@ def _moved(operation: str) -> Query:
             *[F.lit(names.get(f)).cast("string").alias(f) for f in fields],
         )
         log = good.filter("route <> 'schema'").select("seq", "table_key", "data")
-        return evolve.evolve_log(log, events).select(
+        return evolve.evolve_log(log, events, stored=False).select(
             "seq", "table_key", *[F.col("data")[c].alias(c) for c in feeds.DATA]
         )
 

@@ -8,29 +8,38 @@
     base/upto=N                       state of all rows after batch N
     bases/upto=N                      one row, written last: the base is whole
     change_log/through=N              before and after images of the batches since the last part
-    totals/through=N                  rows born and alive per table and batch of that part
+    totals/through=N                  commits of that part, with rows born and alive and the schema id
+    heads/through=N                   one row per table: rows alive and schema id after that part
     parts/through=N                   one row, written last: the part is whole
+    closed/upto=N/NAME                schema events, quarantine, commits and numbers of many batches
+    closes/upto=N                     one row, written last: that set of files is whole
 
 A batch is written with overwrite under its own number, so a replayed batch
 replaces itself. Parts of the change log are added and never written again.
+Whole batches but the last are closed now and then: their small folders become
+one set of files, so the folders don't grow with the batches.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.functions.keys import record_id
-from changelake.operators.commits import GROUP, batch_summary, effective_counts, totals_after
+from changelake.operators.commits import GROUP, batch_summary, carried_totals, effective_counts, heads_after
 from changelake.operators.envelope import SCHEMA_FIELDS, split_valid
 from changelake.operators.evolve import evolve_log, table_rules
 from changelake.operators.fold import change_log, fold_state
 from changelake.operators.scan import BITS
 from changelake.sources.readers import OFFSET_BITS, read_or_empty
 
+# Folders that closed batches leave.
+CLOSED = ("schema_events", "quarantine", "commits", "batches")
+
 KEY = ["table_key", "row_key"]
 IMAGE = ["source", "data"]
 
@@ -67,12 +76,14 @@ _COMMIT = {
     "duration_ms": "bigint",
 }
 _TOTALS = {
-    "table_key": "string",
+    **_COMMIT,
     "batch_id": "bigint",
     "new_rows": "bigint",
     "effective_deletes": "bigint",
     "total_records": "bigint",
+    "schema_id": "bigint",
 }
+_HEADS = {"table_key": "string", "total_records": "bigint", "schema_id": "bigint"}
 _STATE = {
     "table_key": "string",
     "row_key": "string",
@@ -101,6 +112,7 @@ class Bronze:
         self.bits = BITS if seq == "bigint" else OFFSET_BITS + 10
         self.log_columns, self.schema_columns, self.bad_columns = ({**c, "seq": seq} for c in (_LOG, _SCHEMA_EVENT, _QUARANTINE))
         self.state_columns = {**_STATE, "_seq": seq}
+        self.small = dict(zip(CLOSED, (self.schema_columns, self.bad_columns, _COMMIT, {}), strict=True))
 
     def _write(self, df: DataFrame, folder: str, sort: Sequence[str] = (), by: Sequence[str] = ()) -> None:
         if sort:
@@ -120,13 +132,56 @@ class Bronze:
     def _read(self, name: str, columns: dict[str, str], number: str = "batch_id") -> DataFrame:
         return read_or_empty(self.spark, f"{self.base}/{name}", _schema(columns, number))
 
-    def _whole(self, name: str, columns: dict[str, str]) -> DataFrame:
+    def _numbers(self, name: str) -> list[int]:
+        """Numbers of the folders below one."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [folder.getPath().getName() for folder in files.listStatus(path)] if files.exists(path) else []
+        return sorted(int(name.split("=")[1]) for name in found if "=" in name)
+
+    def _sets(self) -> list[Row]:
+        """`after, upto, batches` of the sets of closed batches in use, the latest first.
+
+        A set that a wider one has replaced ends within it, so no set in use begins where it ends.
+        """
+        closes = {row.upto: row for row in self._read("closes", {"after": "bigint", "batches": "bigint"}, "upto").collect()}
+        upto, sets = max(closes, default=None), []
+        while upto in closes:
+            sets.append(closes[upto])
+            upto = closes[upto].after
+        return sets
+
+    def _open(self, sets: list[Row]) -> DataFrame:
+        """Numbers of the whole batches that are not closed."""
         batches = self._read("batches", {"id": "bigint"}).select("batch_id")
-        return self._read(name, columns).join(batches, "batch_id", "left_semi")
+        return batches.filter(F.col("batch_id") > sets[0].upto) if sets else batches
+
+    def _closed(self, name: str, sets: list[Row]) -> list[DataFrame]:
+        schema = _schema(self.small[name], "batch_id")
+        return [self.spark.read.schema(schema).parquet(f"{self.base}/closed/upto={row.upto}/{name}") for row in sets]
+
+    def _batches(self, sets: list[Row] | None = None) -> DataFrame:
+        """Numbers of all whole batches."""
+        sets = self._sets() if sets is None else sets
+        return reduce(DataFrame.unionByName, self._closed("batches", sets), self._open(sets))
+
+    def _whole(self, name: str, columns: dict[str, str]) -> DataFrame:
+        sets = self._sets()
+        rows = self._read(name, columns)
+        if name not in self.small:
+            return rows.join(self._batches(sets), "batch_id", "left_semi")
+        if sets:
+            rows = rows.filter(F.col("batch_id") > sets[0].upto)
+        return reduce(DataFrame.unionByName, self._closed(name, sets), rows.join(self._open(sets), "batch_id", "left_semi"))
 
     def append(self, events: DataFrame, batch_id: int) -> None:
-        """Write one batch of parsed, identified events."""
+        """Write one batch of parsed, identified events; one that is closed already stays as it is."""
         start = time.monotonic()
+        sets = self._sets()
+        if sets and batch_id <= sets[0].upto:
+            if self._batches(sets).filter(F.col("batch_id") == batch_id).isEmpty():
+                raise ValueError(f"batch {batch_id} is older than the closed ones, up to {sets[0].upto}")
+            return
         at = f"batch_id={batch_id}"
         rows, schema, bad = self._parts(events)
         self._write(rows.select(*self.log_columns), f"log/{at}", ["table_key", "row_key"])
@@ -138,7 +193,10 @@ class Bronze:
         self._mark(f"batches/{at}")
 
     def append_all(self, events: DataFrame) -> None:
-        """Write many batches at once, numbered by `batch_id`: a first load, or a replay."""
+        """Write many batches at once, numbered by `batch_id`: a first load, or a replay of open ones."""
+        sets = self._sets()
+        if sets and not events.filter(F.col("batch_id") <= sets[0].upto).isEmpty():
+            raise ValueError(f"batches up to {sets[0].upto} are closed")
         rows, schema, bad = self._parts(events)
         for df, folder, columns, sort in (
             (rows, "log", _LOG, ["table_key", "row_key"]),
@@ -180,20 +238,30 @@ class Bronze:
     def commits(self) -> DataFrame:
         """Commits with the rows of the table after each, as far as the change log is stored.
 
-        `schema_id` counts the schema events of the table up to the commit.
+        `schema_id` counts the schema events of the table up to the commit. Parts of the change
+        log keep both with their commits; only commits since the last part are scanned, on from
+        where it ended.
         """
-        whole = self._whole("commits", _COMMIT)
-        earlier = Window.partitionBy("table_key").orderBy("batch_id")
-        # One row per table and batch.
-        whole = whole.withColumn("schema_id", F.sum("schema_events").over(earlier))
+        done = self._logged()
         parts = self._read("parts", {"id": "bigint"}, "through").select("through")
         totals = self._read("totals", _TOTALS, "through").join(parts, "through", "left_semi")
-        # A table that a later part doesn't touch is carried on there under its last batch.
-        totals = totals.groupBy(*GROUP).agg(
-            *[F.max(c).alias(c) for c in ("new_rows", "effective_deletes", "total_records")], F.min("through").alias("through")
-        )
         place = F.concat(F.lit(f"{self.base}/change_log/through="), F.col("through").cast("string"))
-        return whole.join(totals, list(GROUP), "left").withColumn("change_log", place).drop("through")
+        counted = F.col("new_rows").isNotNull()
+        # Rows without a commit are those of a table that the part has under a later name.
+        stored = totals.filter("total IS NOT NULL").withColumns(
+            {"total_records": F.when(counted, F.col("total_records")), "change_log": F.when(counted, place)}
+        )
+        since = self._whole("commits", _COMMIT).filter(F.col("batch_id") > done)
+        columns = [*GROUP, *[c for c in _COMMIT if c != "table_key"], "schema_id", "new_rows", "effective_deletes", "total_records", "change_log"]
+        if since.isEmpty():
+            return stored.select(columns)
+        none = {c: F.lit(None).cast("bigint") for c in ("new_rows", "effective_deletes")}
+        later = carried_totals(since.withColumns(none), self._heads(done))
+        later = later.withColumns({"total_records": F.lit(None).cast("bigint"), "change_log": F.lit(None).cast("string")})
+        return stored.select(columns).unionByName(later.select(columns))
+
+    def _heads(self, part: int) -> DataFrame:
+        return self._read("heads", _HEADS, "through").filter(F.col("through") == part).drop("through")
 
     def tables(self) -> DataFrame:
         """`table_key`, `columns` (name to type) of the registered tables, also of those without rows.
@@ -296,15 +364,19 @@ class Bronze:
         Images have the column names of the time they are stored.
         """
         done = self._logged()
-        through = self._read("batches", {"id": "bigint"}).agg(F.max("batch_id")).first()[0]
+        through = self._batches().agg(F.max("batch_id")).first()[0]
         if through is None or through <= done:
             return None
         part = f"through={through}"
         changes = self.change_log(done, through)
         self._write(changes, f"change_log/{part}", ["table_key", "batch_id"])
         stored = self.spark.read.parquet(f"{self.base}/change_log/{part}")
-        earlier = self._read("totals", _TOTALS, "through").filter(F.col("through") == done)
-        self._write(totals_after(effective_counts(stored), earlier), f"totals/{part}")
+        commits = self._whole("commits", _COMMIT).filter(F.col("batch_id").between(done + 1, through))
+        counts = commits.join(effective_counts(stored), list(GROUP), "full_outer")
+        earlier = self._heads(done)
+        self._write(carried_totals(counts, earlier), f"totals/{part}", ["batch_id"])
+        totals = self.spark.read.parquet(f"{self.base}/totals/{part}")
+        self._write(heads_after(totals, earlier), f"heads/{part}", ["table_key"])
         self._mark(f"parts/{part}")
         return through
 
@@ -318,31 +390,70 @@ class Bronze:
     def effective_counts(self) -> DataFrame:
         return effective_counts(self.change_log())
 
-    def compact(self, clean: bool = True) -> int | None:
+    def close_batches(self, grace: bool = True) -> int | None:
+        """Put the small folders of whole batches into one set of files; returns the last batch closed.
+
+        The last whole batch stays open, as a stream may write it again. The new set takes in the
+        latest ones that have no more batches than it has so far: there are as many sets as the
+        logarithm of the batches, and a batch is written as often at most.
+
+        What a set replaces is deleted by the next call, so readers that have planned on it may
+        go on; without `grace` it is deleted at once.
+        """
+        old = sets = self._sets()
+        found = self._open(sets).agg(F.min("batch_id"), F.max("batch_id"), F.count_distinct("batch_id")).first()
+        first, last, count = found
+        if count > 1:
+            upto = self._open(sets).filter(F.col("batch_id") < last).agg(F.max("batch_id")).first()[0]
+            after, held = sets[0].upto if sets else first - 1, count - 1
+            while sets and sets[0].batches <= held:
+                after, held, sets = sets[0].after, held + sets[0].batches, sets[1:]
+            for name, columns in self.small.items():
+                rows = self._batches(old) if name == "batches" else self._whole(name, columns)
+                rows = rows.filter((F.col("batch_id") > after) & (F.col("batch_id") <= upto))
+                self._write(rows.distinct() if name == "batches" else rows, f"closed/upto={upto}/{name}", ["batch_id"])
+            mark = self.spark.range(1).select(F.lit(after).cast("bigint").alias("after"), F.lit(held).cast("bigint").alias("batches"))
+            self._write(mark.coalesce(1), f"closes/upto={upto}")
+        kept = old if grace else self._sets()
+        if kept:
+            for name in self.small:
+                for number in self._numbers(name):
+                    if number <= kept[0].upto:
+                        self._drop(f"{name}/batch_id={number}")
+            used = {row.upto for row in (*kept, *self._sets())}
+            for number in self._numbers("closed"):
+                if number < kept[0].upto and number not in used:
+                    self._drop(f"closes/upto={number}")
+                    self._drop(f"closed/upto={number}")
+        sets = self._sets()
+        return sets[0].upto if sets else None
+
+    def compact(self, clean: bool = True, grace: bool = True) -> int | None:
         """Fold the whole batches into a new base; returns the batch it reaches.
 
         Their changes are stored first. With `clean`, row events that a base and the change
-        log hold, and bases before the last two, are deleted; schema events, commits and
-        quarantine stay. A reader that has planned on the base before may go on.
+        log hold, and bases before the last two, are deleted, and batches are closed
+        (`close_batches`, with its `grace`); no schema events, commits or quarantine go. A
+        reader that has planned on the base before may go on.
         """
         self.write_change_log()
-        batches = self._read("batches", {"id": "bigint"})
-        through = batches.agg(F.max("batch_id")).first()[0]
+        through = self._batches().agg(F.max("batch_id")).first()[0]
         if through is None:
             return None
         bases = sorted(row.upto for row in self._read("bases", {"id": "bigint"}, "upto").select("upto").distinct().collect())
-        if bases and bases[-1] == through:
-            return through
-        base, events = self._inputs(through)
-        state = fold_state(events, KEY, "seq", IMAGE, base=base)
-        self._write(state.select(*_STATE), f"base/upto={through}", ["table_key", "row_key"])
-        self._mark(f"bases/upto={through}")
-        if clean and bases:
-            # Batches behind the base before this one; that base still serves readers.
-            old = self._read("batches", {"id": "bigint"}).filter(F.col("batch_id") <= bases[-1])
-            for row in old.select("batch_id").distinct().toLocalIterator():
-                self._drop(f"log/batch_id={row.batch_id}")
-            for upto in bases[:-1]:
-                self._drop(f"bases/upto={upto}")
-                self._drop(f"base/upto={upto}")
+        if not bases or bases[-1] != through:
+            base, events = self._inputs(through)
+            state = fold_state(events, KEY, "seq", IMAGE, base=base)
+            self._write(state.select(*_STATE), f"base/upto={through}", ["table_key", "row_key"])
+            self._mark(f"bases/upto={through}")
+            if clean and bases:
+                # Batches behind the base before this one; that base still serves readers.
+                for number in self._numbers("log"):
+                    if number <= bases[-1]:
+                        self._drop(f"log/batch_id={number}")
+                for upto in bases[:-1]:
+                    self._drop(f"bases/upto={upto}")
+                    self._drop(f"base/upto={upto}")
+        if clean:
+            self.close_batches(grace)
         return through

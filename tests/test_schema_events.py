@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from changelake.operators import evolve
 from changelake.operators.drift import added_table_columns, ddl_diff, schema_versions
 from changelake.operators.evolve import apply_schema_events, empty_table, evolve_log, literal_default
 
@@ -178,3 +179,65 @@ def test_evolve_random_log(spark, seed):
             )
         )
     assert evolved(spark, log, events) == replayed(log, events)
+
+
+def spread(spark, hot):
+    """A log with most rows in one table, and events on it up to the middle."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 < hot, "d.a").otherwise(F.concat(F.lit("d.t"), F.col("id") % 7)).alias("table_key"),
+        F.col("id").alias("seq"),
+        F.create_map(F.lit("x"), F.col("id").cast("string")).alias("data"),
+    )
+    events = [event(5_000, "RENAME_COLUMN", "a", old_column="x", new_column="p"), event(10_000, "RENAME_TABLE", old_table="a", new_table="c")]
+    return rows, spark.createDataFrame(events, EVENTS)
+
+
+def joins(df, kind):
+    return df._jdf.queryExecution().executedPlan().toString().count(kind)
+
+
+def test_log_is_joined_once(spark, tmp_path):
+    rows, events = spread(spark, 9)
+    rows.write.parquet(f"{tmp_path}/log")
+    out = evolve_log(spark.read.parquet(f"{tmp_path}/log"), events)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert joins(out, "BroadcastHashJoin") == 1 and joins(out, "SortMergeJoin") == 0 and joins(out, "Window") == 0
+    # The rows after the last event come from a scan of their own, which no join reads.
+    first, later = text.split("Union")[1].split("FileScan parquet [table_key")[1:3]
+    assert "LessThanOrEqual(seq,10000)" in first and "GreaterThan(seq,10000)" in later
+    counts = {r.table_key: r["count"] for r in out.groupBy("table_key").count().collect()}
+    assert counts["d.a"] == 9_000 and counts["d.c"] == 9_000 and sum(counts.values()) == 20_000
+    assert out.filter("table_key = 'd.c' AND seq < 5000 AND data['p'] IS NULL").isEmpty()
+
+
+def test_many_rules_spread_a_hot_table(spark, monkeypatch):
+    monkeypatch.setattr(evolve, "MOST_SENT", 0)
+    rows, events = spread(spark, 9)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = evolve_log(rows, events)
+        assert joins(out, "SortMergeJoin") == 1
+        parts = out.filter("seq <= 10000").groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in parts) < 0.5 * 10_001
+        want = {(r.table_key, r.seq): r.data for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    monkeypatch.undo()
+    assert want == {(r.table_key, r.seq): r.data for r in evolve_log(rows, events).collect()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_logs_with_many_rules(spark, monkeypatch, seed):
+    monkeypatch.setattr(evolve, "MOST_SENT", 0)
+    test_evolve_random_log(spark, seed)
+
+
+def test_rows_without_a_place_stay(spark):
+    log = [("d.a", None, {"x": "1"}), (None, 1, {"x": "2"}), ("d.a", 1, None), ("d.a", 1, {"x": "3"})]
+    events = spark.createDataFrame([event(5, "RENAME_COLUMN", "a", old_column="x", new_column="p")], EVENTS)
+    outs = [evolve_log(spark.createDataFrame(log, LOG), events, stored=stored).collect() for stored in (True, False)]
+    rows, computed = ({(r.table_key, r.seq, None if r.data is None else tuple(r.data.items())) for r in out} for out in outs)
+    assert computed == rows == {("d.a", None, (("x", "1"),)), (None, 1, (("x", "2"),)), ("d.a", 1, None), ("d.a", 1, (("p", "3"),))}
