@@ -57,19 +57,28 @@ def clean_date(value: Column | str) -> Column:
     return F.date_format(iso.try_cast("date"), "dd-MM-yyyy")
 
 
-# White space; the left side settles most text without a look at the long list. A lone
-# space needs no change, so it is no match: most text then is not copied.
-_SPACE = f"[[^!-~]&&[{WHITESPACE_CLASS}]]"
-_SPACES = f"[[^ -~]&&[{WHITESPACE_CLASS}]]{_SPACE}*| {_SPACE}+"
+# Characters that count as white space and that no text holds once they are made spaces.
+_OPEN, _CLOSE = "\x1c", "\x1d"
 
 
 def clean_whitespace(value: Column | str) -> Column:
     """Text stripped, each run of white space made one space; empty text is null."""
     text = _text(value)
-    return F.when(text != "", F.trim(F.regexp_replace(text, _SPACES, " ")))
+    # Characters are looked up and marks replaced; a regular expression costs some times as much.
+    spaced = F.translate(text, WHITESPACE, " " * len(WHITESPACE))
+    marked = F.replace(spaced, F.lit(" "), F.lit(_OPEN + _CLOSE))
+    single = F.replace(F.replace(marked, F.lit(_CLOSE + _OPEN), F.lit("")), F.lit(_OPEN + _CLOSE), F.lit(" "))
+    return F.when(text != "", F.trim(F.when(F.contains(spaced, F.lit("  ")), single).otherwise(spaced)))
+
+
+_NO_CODE = f"[^{CODE_CHARACTERS}]"
+_ASCII_NO_CODE = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 
 
 def clean_code(value: Column | str) -> Column:
     """Letters and digits only, in upper case; empty text is null."""
     text = _text(value)
-    return F.when(text != "", F.upper(F.regexp_replace(text, f"[^{CODE_CHARACTERS}]+", "")))
+    # Only text with letters beyond ASCII may hold more to take out, and rarely does.
+    kept = F.translate(text, _ASCII_NO_CODE, "")
+    more = (F.octet_length(kept) != F.char_length(kept)) & kept.rlike(_NO_CODE)
+    return F.when(text != "", F.upper(F.when(more, F.regexp_replace(kept, f"{_NO_CODE}+", "")).otherwise(kept)))
