@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from changelake.functions import cleaners
 from changelake.operators.evolve import SUFFIX
+from changelake.session import small_methods
 
 CLEANERS = {
     "raw": lambda c: c,
@@ -34,6 +35,7 @@ class Target:
 
 def conform(df: DataFrame, spec: Sequence[Target]) -> DataFrame:
     """The target columns of `spec`, each cast to its declared type."""
+    small_methods(df.sparkSession)
 
     def column(target: Target) -> Column:
         if target.source is None:

@@ -35,6 +35,13 @@ def build_session(app: str = "changelake", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def small_methods(spark: SparkSession) -> None:
+    """Have wide projections run in methods that HotSpot compiles, also in sessions of others."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(limit)) > int(DEFAULTS[limit]):
+        spark.conf.set(limit, DEFAULTS[limit])
+
+
 def _root(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(spark.sparkContext.applicationId)
 
