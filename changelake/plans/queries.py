@@ -485,8 +485,9 @@ def _messages(feed: DataFrame, *keep: str) -> DataFrame:
 def _commits(spark, sf_dir) -> DataFrame:
     """Commits of a bronze area that the feed is stored in by two parts."""
     bronze = Bronze(spark, scratch_dir(spark, "bronze"))
-    events = _messages(feeds.load_feed(spark, sf_dir), "batch_id")
-    half = events.agg(F.max("batch_id")).first()[0] // 2
+    feed = feeds.load_feed(spark, sf_dir)
+    events = _messages(feed, "batch_id")
+    half = feed.agg(F.max("batch_id")).first()[0] // 2
     bronze.append_all(events.filter(F.col("batch_id") <= half))
     bronze.write_change_log()
     bronze.append_all(events.filter(F.col("batch_id") > half))

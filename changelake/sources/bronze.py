@@ -12,18 +12,21 @@
     heads/through=N                   one row per table: rows alive and schema id after that part
     parts/through=N                   one row, written last: the part is whole
     closed/upto=N/NAME                schema events, quarantine, commits and numbers of many batches
+    logs/upto=N                       row events of many batches that were written at once
     closes/upto=N                     one row, written last: that set of files is whole
 
 A batch is written with overwrite under its own number, so a replayed batch
 replaces itself. Parts of the change log are added and never written again.
 Whole batches but the last are closed now and then: their small folders become
-one set of files, so the folders don't grow with the batches.
+one set of files, so the folders don't grow with the batches. Many new batches
+at once are such a set from the start.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -35,10 +38,13 @@ from changelake.operators.envelope import SCHEMA_FIELDS, split_valid
 from changelake.operators.evolve import evolve_log, table_rules
 from changelake.operators.fold import change_log, fold_state
 from changelake.operators.scan import BITS
+from changelake.session import scratch_dir
 from changelake.sources.readers import OFFSET_BITS, read_or_empty
 
 # Folders that closed batches leave.
 CLOSED = ("schema_events", "quarantine", "commits", "batches")
+#: New batches that `append_all` gives folders of their own; more of them become one set of files.
+MOST_FOLDERS = 64
 
 KEY = ["table_key", "row_key"]
 IMAGE = ["source", "data"]
@@ -122,10 +128,26 @@ class Bronze:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if by else "static")
         (writer.partitionBy(*by) if by else writer).parquet(f"{self.base}/{folder}")
 
-    def _drop(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{folder}")
+    def _delete(self, uri: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(uri)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def _drop(self, folder: str) -> None:
+        self._delete(f"{self.base}/{folder}")
+
+    @contextmanager
+    def _once(self, events: DataFrame) -> Iterator[DataFrame]:
+        """Events that several folders are written from, computed once; the copy goes with the block."""
+        if events.is_cached:
+            yield events
+            return
+        folder = scratch_dir(self.spark, "events")
+        try:
+            events.write.parquet(folder)
+            yield self.spark.read.schema(events.schema).parquet(folder)
+        finally:
+            self._delete(folder)
+
     def _mark(self, folder: str) -> None:
         self._write(self.spark.range(1).coalesce(1), folder)
 
@@ -169,6 +191,9 @@ class Bronze:
         sets = self._sets()
         rows = self._read(name, columns)
         if name not in self.small:
+            if name == "log" and sets:
+                many = self._read("logs", {**columns, "batch_id": "bigint"}, "upto").filter(F.col("upto") <= sets[0].upto)
+                rows = rows.unionByName(many.drop("upto"))
             return rows.join(self._batches(sets), "batch_id", "left_semi")
         if sets:
             rows = rows.filter(F.col("batch_id") > sets[0].upto)
@@ -182,30 +207,59 @@ class Bronze:
             if self._batches(sets).filter(F.col("batch_id") == batch_id).isEmpty():
                 raise ValueError(f"batch {batch_id} is older than the closed ones, up to {sets[0].upto}")
             return
+        self._drop_unfinished(sets)
         at = f"batch_id={batch_id}"
-        rows, schema, bad = self._parts(events)
-        self._write(rows.select(*self.log_columns), f"log/{at}", ["table_key", "row_key"])
-        self._write(schema.select(*_SCHEMA_EVENT), f"schema_events/{at}")
-        self._write(bad.select(*_QUARANTINE), f"quarantine/{at}")
-        numbered = [df.withColumn("batch_id", F.lit(batch_id).cast("bigint")) for df in (rows, schema)]
-        commits = self._commit_rows(*numbered).withColumn("duration_ms", F.lit(round(1000 * (time.monotonic() - start))))
-        self._write(commits.select(*_COMMIT), f"commits/{at}")
+        with self._once(events) as found:
+            rows, schema, bad = self._parts(found)
+            self._write(rows.select(*self.log_columns), f"log/{at}", ["table_key", "row_key"])
+            self._write(schema.select(*_SCHEMA_EVENT), f"schema_events/{at}")
+            self._write(bad.select(*_QUARANTINE), f"quarantine/{at}")
+            numbered = [df.withColumn("batch_id", F.lit(batch_id).cast("bigint")) for df in (rows, schema)]
+            commits = self._commit_rows(*numbered).withColumn("duration_ms", F.lit(round(1000 * (time.monotonic() - start))))
+            self._write(commits.select(*_COMMIT), f"commits/{at}")
         self._mark(f"batches/{at}")
 
     def append_all(self, events: DataFrame) -> None:
-        """Write many batches at once, numbered by `batch_id`: a first load, or a replay of open ones."""
+        """Write many batches at once, numbered by `batch_id`: a first load, or a replay of open ones.
+
+        More than `MOST_FOLDERS` new batches, all later than those there are, become one set of
+        files and are closed with it.
+        """
+        with self._once(events) as found:
+            self._append_all(found)
+
+    def _append_all(self, events: DataFrame) -> None:
         sets = self._sets()
         if sets and not events.filter(F.col("batch_id") <= sets[0].upto).isEmpty():
             raise ValueError(f"batches up to {sets[0].upto} are closed")
+        self._drop_unfinished(sets)
         rows, schema, bad = self._parts(events)
+        commits = self._commit_rows(rows, schema).withColumn("duration_ms", F.lit(None).cast("bigint"))
+        numbers = events.select("batch_id", F.col("batch_id").alias("id")).distinct()
+        first, last, count = numbers.agg(F.min("id"), F.max("id"), F.count("id")).first()
+        there = max((number for name in ("log", *CLOSED) for number in self._numbers(name)), default=None)
+        if count > MOST_FOLDERS and (there is None or there < first):
+            # Lies beside the log, and is read once the set is there.
+            self._write(rows.select(*self.log_columns, "batch_id"), f"logs/upto={last}", ["table_key", "row_key"])
+            whole = self._open(sets).agg(F.min("batch_id"), F.count_distinct("batch_id")).first()
+            after = sets[0].upto if sets else min(first, first if whole[0] is None else whole[0]) - 1
+            new = {"schema_events": schema, "quarantine": bad, "commits": commits, "batches": numbers.select("batch_id")}
+            self._write_set(sets, after, last, count + whole[1], new)
+            return
         for df, folder, columns, sort in (
             (rows, "log", _LOG, ["table_key", "row_key"]),
             (schema, "schema_events", _SCHEMA_EVENT, ["seq"]),
             (bad, "quarantine", _QUARANTINE, ["seq"]),
-            (self._commit_rows(rows, schema).withColumn("duration_ms", F.lit(None).cast("bigint")), "commits", _COMMIT, ["table_key"]),
+            (commits, "commits", _COMMIT, ["table_key"]),
         ):
             self._write(df.select(*columns, "batch_id"), folder, sort, ["batch_id"])
-        self._write(events.select("batch_id", F.col("batch_id").alias("id")).distinct(), "batches", ["id"], ["batch_id"])
+        self._write(numbers, "batches", ["id"], ["batch_id"])
+
+    def _drop_unfinished(self, sets: list[Row]) -> None:
+        """Delete row events of many batches whose set of files was never whole."""
+        for number in self._numbers("logs"):
+            if not sets or number > sets[0].upto:
+                self._drop(f"logs/upto={number}")
 
     def _parts(self, events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         good, bad = split_valid(events.withColumn("processed_at", F.current_timestamp()))
@@ -405,15 +459,7 @@ class Bronze:
         first, last, count = found
         if count > 1:
             upto = self._open(sets).filter(F.col("batch_id") < last).agg(F.max("batch_id")).first()[0]
-            after, held = sets[0].upto if sets else first - 1, count - 1
-            while sets and sets[0].batches <= held:
-                after, held, sets = sets[0].after, held + sets[0].batches, sets[1:]
-            for name, columns in self.small.items():
-                rows = self._batches(old) if name == "batches" else self._whole(name, columns)
-                rows = rows.filter((F.col("batch_id") > after) & (F.col("batch_id") <= upto))
-                self._write(rows.distinct() if name == "batches" else rows, f"closed/upto={upto}/{name}", ["batch_id"])
-            mark = self.spark.range(1).select(F.lit(after).cast("bigint").alias("after"), F.lit(held).cast("bigint").alias("batches"))
-            self._write(mark.coalesce(1), f"closes/upto={upto}")
+            self._write_set(sets, sets[0].upto if sets else first - 1, upto, count - 1)
         kept = old if grace else self._sets()
         if kept:
             for name in self.small:
@@ -428,6 +474,23 @@ class Bronze:
         sets = self._sets()
         return sets[0].upto if sets else None
 
+    def _write_set(self, old: list[Row], after: int, upto: int, held: int, new: dict[str, DataFrame] | None = None) -> None:
+        """One set of the `held` batches after one, up to another, and of the latest sets that have no more.
+
+        `new` are rows of batches that have no folders.
+        """
+        sets = old
+        while sets and sets[0].batches <= held:
+            after, held, sets = sets[0].after, held + sets[0].batches, sets[1:]
+        for name, columns in self.small.items():
+            rows = self._batches(old) if name == "batches" else self._whole(name, columns)
+            rows = rows.filter((F.col("batch_id") > after) & (F.col("batch_id") <= upto))
+            if new:
+                rows = rows.unionByName(new[name].select(rows.columns))
+            self._write(rows.distinct() if name == "batches" else rows, f"closed/upto={upto}/{name}", ["batch_id"])
+        mark = self.spark.range(1).select(F.lit(after).cast("bigint").alias("after"), F.lit(held).cast("bigint").alias("batches"))
+        self._write(mark.coalesce(1), f"closes/upto={upto}")
+
     def compact(self, clean: bool = True, grace: bool = True) -> int | None:
         """Fold the whole batches into a new base; returns the batch it reaches.
 
@@ -451,6 +514,9 @@ class Bronze:
                 for number in self._numbers("log"):
                     if number <= bases[-1]:
                         self._drop(f"log/batch_id={number}")
+                for number in self._numbers("logs"):
+                    if number <= bases[-1]:
+                        self._drop(f"logs/upto={number}")
                 for upto in bases[:-1]:
                     self._drop(f"bases/upto={upto}")
                     self._drop(f"base/upto={upto}")
