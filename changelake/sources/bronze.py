@@ -159,7 +159,8 @@ class Bronze:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         found = [folder.getPath().getName() for folder in files.listStatus(path)] if files.exists(path) else []
-        return sorted(int(name.split("=")[1]) for name in found if "=" in name)
+        # Rows without a number lie in a folder that has none.
+        return sorted(int(number) for name in found if (number := name.partition("=")[2]).lstrip("-").isdigit())
 
     def _sets(self) -> list[Row]:
         """`after, upto, batches` of the sets of closed batches in use, the latest first.
@@ -486,7 +487,7 @@ class Bronze:
             rows = self._batches(old) if name == "batches" else self._whole(name, columns)
             rows = rows.filter((F.col("batch_id") > after) & (F.col("batch_id") <= upto))
             if new:
-                rows = rows.unionByName(new[name].select(rows.columns))
+                rows = rows.unionByName(new[name].select(rows.columns).filter("batch_id IS NOT NULL"))
             self._write(rows.distinct() if name == "batches" else rows, f"closed/upto={upto}/{name}", ["batch_id"])
         mark = self.spark.range(1).select(F.lit(after).cast("bigint").alias("after"), F.lit(held).cast("bigint").alias("batches"))
         self._write(mark.coalesce(1), f"closes/upto={upto}")

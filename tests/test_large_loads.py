@@ -65,6 +65,18 @@ def test_an_unfinished_large_load_is_not_read(spark, tmp_path, few):
     assert bronze.log().agg(F.count("*")).first() == whole.log().agg(F.count("*")).first()
 
 
+def test_rows_without_a_batch_are_in_none(spark, tmp_path, few):
+    rows = messages(6)
+    lost = [(None, 1000 + seq, value) for _, seq, value in rows[:3]]
+    bronze, plain = (fill(spark, tmp_path / name, more, [0]) for name, more in (("lost", rows), ("plain", rows)))
+    bronze.append_all(events(spark, rows + lost))
+    plain.append_all(events(spark, rows))
+    for each in (bronze, plain):
+        each.append_all(events(spark, [(6, 2000, rows[0][2])]))
+        each.write_change_log()
+    assert bronze._sets() and read(bronze) == read(plain)
+
+
 def test_a_batch_of_its_own_is_computed_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
