@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.operators.scan import prefix_scan
+from changelake.session import small_methods
 
 EVENT_FIELDS = (
     "operation",
@@ -27,6 +28,7 @@ EVENT_FIELDS = (
 
 
 def _both(old: DataFrame, new: DataFrame) -> DataFrame:
+    small_methods(old.sparkSession)
     return old.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from changelake.functions.cleaners import strip
 from changelake.functions.keys import JSON_OPTIONS, normalize_database, normalize_table_name, record_id
+from changelake.session import small_methods
 
 # The operations of the two kinds of event.
 ROW_OPERATIONS = ("INSERT", "UPDATE", "DELETE")
@@ -102,6 +103,7 @@ def parse_envelope(raw: DataFrame, value: str = "value") -> DataFrame:
     `data` may be a JSON object or the text of one; either becomes a map. The
     other columns of `raw`, such as the sequence number, are kept.
     """
+    small_methods(raw.sparkSession)
     parsed = F.from_json(
         F.coalesce(value, F.lit("")),
         WIRE_SCHEMA,
