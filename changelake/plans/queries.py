@@ -467,6 +467,11 @@ def cdc_effective_counts(spark, sf_dir):
     return commits.effective_counts(_log(spark, sf_dir))
 
 
+def _files(spark: SparkSession) -> int:
+    """Parts to deal an input out to: an even number, and work for all cores."""
+    return 2 * max(2, spark.sparkContext.defaultParallelism)
+
+
 def _messages(feed: DataFrame, *keep: str) -> DataFrame:
     """Parsed and identified events of a feed that has gone through messages."""
     name = F.split("table_key", r"\.")
@@ -479,7 +484,9 @@ def _messages(feed: DataFrame, *keep: str) -> DataFrame:
             F.struct("user_id", "value", "event_type").alias("data"),
         )
     )
-    return envelope.identify(envelope.parse_envelope(feed.select("seq", *keep, value.alias("value"))), "user_id")
+    # Batches are ranges of the feed, so few splits of its files hold a batch; its rows are dealt to all tasks.
+    dealt = feed.repartition(_files(feed.sparkSession), "seq")
+    return envelope.identify(envelope.parse_envelope(dealt.select("seq", *keep, value.alias("value"))), "user_id")
 
 
 def _commits(spark, sf_dir) -> DataFrame:
