@@ -690,10 +690,10 @@ def append_evolve(spark, sf_dir):
 # Streams
 
 
-def _topic(spark: SparkSession, feed: DataFrame, files: int = 4) -> str:
+def _topic(spark: SparkSession, feed: DataFrame) -> str:
     """A folder of JSON lines that stands for the topics."""
     folder = scratch_dir(spark, "topic")
-    feed.repartition(files).write.json(folder)
+    feed.repartition(_files(spark)).write.json(folder)
     return folder
 
 
@@ -702,7 +702,7 @@ WIRE = "seq bigint, value string"
 
 def _applied(spark: SparkSession, feed: DataFrame, key: str = "user_id") -> Bronze:
     """The bronze area after the feed has run through the apply stream."""
-    raw = readers.read_lines_stream(spark, _topic(spark, feed), WIRE, files_per_batch=2)
+    raw = readers.read_lines_stream(spark, _topic(spark, feed), WIRE, files_per_batch=_files(spark) // 2)
     base = scratch_dir(spark, "bronze")
     stream = start_apply_stream(raw, base, scratch_dir(spark, "checkpoint"), key)
     stream.awaitTermination()

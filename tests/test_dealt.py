@@ -28,3 +28,8 @@ def test_the_rows_of_a_batch_are_parsed_by_all_cores(spark, folder):
     events = queries._messages(feed, "batch_id")
     assert events.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert events.count() == 900
+
+
+def test_a_topic_is_written_by_all_cores(spark):
+    written = Path(queries._topic(spark, spark.range(1000).select(F.col("id").alias("seq"), F.lit("{}").alias("value"))))
+    assert len(list(written.glob("part-*"))) >= spark.sparkContext.defaultParallelism
