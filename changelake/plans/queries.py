@@ -772,35 +772,42 @@ def stream_keyed_state(spark, sf_dir):
     return latest_state(spark.read.parquet(path), USER)
 
 
-def _feed_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """The change feed, and a folder with its first half by time."""
+def _feed_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A stream of a folder with the first half of the change feed by time, and what adds the second one.
+
+    Each half is dealt out to the same number of files and read in two micro-batches, however large it is.
+    """
     feed = feeds.change_feed(spark, sf_dir).select("user_id", "seq", "operation", *IMAGE, "ts")
-    folder = scratch_dir(spark, "feed")
-    feed.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).drop("ts").repartition(4).write.parquet(folder)
-    return feed, folder
+    folder, files = scratch_dir(spark, "feed"), _files(spark)
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+
+    def put(half: Column) -> None:
+        feed.filter(half).drop("ts").repartition(files).write.mode("append").parquet(folder)
+
+    put(F.col("ts") < middle)
+    stream = spark.readStream.schema(feed.drop("ts").schema).option("maxFilesPerTrigger", files // 2).parquet(folder)
+    return stream, lambda: put(F.col("ts") >= middle)
 
 
 @query
 def stream_state_tws(spark, sf_dir):
-    feed, folder = _feed_files(spark, sf_dir)
+    stream, add_rest = _feed_files(spark, sf_dir)
     path, checkpoint = scratch_dir(spark, "state"), scratch_dir(spark, "checkpoint")
 
     def run() -> None:
-        stream = spark.readStream.schema(feed.drop("ts").schema).option("maxFilesPerTrigger", 2).parquet(folder)
         start_processor_stream(stream, USER, "seq", IMAGE, path, checkpoint).awaitTermination()
 
     # The stream ends in the middle, and a new one goes on from its checkpoint.
     run()
-    feed.filter(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")).drop("ts").write.mode("append").parquet(folder)
+    add_rest()
     run()
     return processor_state(spark, checkpoint, USER, IMAGE)
 
 
 @query
 def stream_state_read(spark, sf_dir):
-    feed, folder = _feed_files(spark, sf_dir)
-    feed.filter(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")).drop("ts").write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(feed.drop("ts").schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    stream, add_rest = _feed_files(spark, sf_dir)
+    add_rest()
     checkpoint = scratch_dir(spark, "checkpoint")
     start_state_stream(stream, USER, "seq", IMAGE, scratch_dir(spark, "state"), checkpoint).awaitTermination()
     return aggregate_state(spark, checkpoint, USER, IMAGE)

@@ -1,8 +1,8 @@
 """Change events folded in Spark's state store: by a processor of our own, and the state read back.
 
 A processor keeps one row of state per key, the running values of the fold. Each task folds
-its own events before the shuffle, so a key with very many of them costs one row per Arrow
-batch. Deleted rows may be forgotten after a time, and columns may be added between two runs.
+its own events before the shuffle, so a key with very many of them costs one row for each
+`FOLD_ROWS` of a task's events. Deleted rows may be forgotten after a time, and columns may be added between two runs.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ TIMED = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 #: Name of the state, and of its columns before those of the image.
 STATE = "state"
 VALUES = ("first", "delete", "insert", "seq", "operation")
+#: Rows, and bytes, that a task folds at once; rows of a batch that it returns.
+FOLD_ROWS, FOLD_BYTES, OUT_ROWS = 1 << 17, 1 << 26, 10_000
 
 
 @contextmanager
@@ -49,9 +51,9 @@ def _settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def _folded(batch: pa.RecordBatch, key: Sequence[str]) -> pa.RecordBatch:
-    """One row per key of a batch: `first`, `delete`, `insert`, and the last image with its `seq` and `operation`."""
-    rows = pa.Table.from_batches([batch]).sort_by("seq")
+def _folded(batches: list[pa.RecordBatch], key: Sequence[str]) -> list[pa.RecordBatch]:
+    """One row per key of these batches: `first`, `delete`, `insert`, and the last image with its `seq` and `operation`."""
+    rows = pa.Table.from_batches(batches).sort_by("seq")
     deletes = pc.equal(rows["operation"], "DELETE")
     inserts = pc.is_in(rows["operation"], pa.array(["INSERT", "INITIAL_LOAD"]))
     none = pa.scalar(None, rows["seq"].type)
@@ -68,19 +70,25 @@ def _folded(batch: pa.RecordBatch, key: Sequence[str]) -> pa.RecordBatch:
     last = rows.take(out["place_max"])
     arrays = [out[f"k{i}"] for i in range(len(key))] + [out[f"{name}_{how}"] for name, how in (("first", "min"), ("delete", "max"), ("insert", "max"))]
     held = [name for name in rows.column_names if name not in key]
-    return pa.table(dict(zip([*key, *VALUES[:3], *held], arrays + [last[name] for name in held]))).combine_chunks().to_batches()[0]
+    return pa.table(dict(zip([*key, *VALUES[:3], *held], arrays + [last[name] for name in held]))).combine_chunks().to_batches(OUT_ROWS)
 
 
 def fold_partly(events: DataFrame, key: Sequence[str], seq: str, image: Sequence[str], op: str = "operation") -> DataFrame:
-    """Running values per key of each Arrow batch of `events`; works on streams, without a shuffle."""
+    """Running values per key of each `FOLD_ROWS` of a task's `events`; works on streams, without a shuffle."""
     order = events.schema[seq].dataType
     values = [StructField(name, order) for name in VALUES[:4]] + [StructField("operation", StringType())]
     fields = [events.schema[name] for name in key] + values + [StructField(name, events.schema[name].dataType) for name in image]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number, size = [], 0, 0
         for batch in batches:
-            if batch.num_rows:
-                yield _folded(batch, key)
+            held.append(batch)
+            number, size = number + batch.num_rows, size + batch.nbytes
+            if number >= FOLD_ROWS or size >= FOLD_BYTES:
+                yield from _folded(held, key)
+                held, number, size = [], 0, 0
+        if number:
+            yield from _folded(held, key)
 
     rows = events.select(*key, F.col(seq).alias("seq"), F.col(op).alias("operation"), *image)
     return rows.mapInArrow(run, StructType(fields))
@@ -109,7 +117,8 @@ class FoldProcessor(StatefulProcessor):
         self.state = handle.getValueState(STATE, self.schema)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        first, delete, insert, seq, *last = tuple(self.state.get()) if self.state.exists() else (None,) * len(self.schema)
+        # Absent state is None: no call of its own asks whether there is one.
+        first, delete, insert, seq, *last = self.state.get() or (None,) * len(self.schema)
         for row in rows:
             first, delete, insert = _least(first, row["first"]), _greatest(delete, row["delete"]), _greatest(insert, row["insert"])
             if row["seq"] is not None and (seq is None or row["seq"] > seq):
