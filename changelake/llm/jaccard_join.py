@@ -10,10 +10,11 @@ are found.
    out. Unlike a prefix of each set, that part is the same for all, so "to itself" holds.
 2. For the sets left, a sketch of fixed size counts the documents of each shingle. Any
    order of all shingles gives the same result; this one puts the rare ones first.
-   Prefix shingles that two sets share put these sets in one candidate group; all links
-   lie within groups.
-3. A group is cut by size classes, of which only neighbours can link, and by hash into
-   blocks of bounded size. Small groups are one block and one task's work. Of a large group,
+   Prefix shingles that two sets of like size share put these sets in one candidate group:
+   sets fall into size classes of which only neighbours can link, and for each two
+   neighbouring classes groups are formed anew, so chains of sets that grow in size don't
+   make one large group. All links lie within groups.
+3. A group is cut by its size classes and by hash into blocks of bounded size. Small groups are one block and one task's work. Of a large group,
    each block is first searched together with one other block, which connects most of a
    group of near copies. Then only the sets outside its largest part, packed into blocks,
    are searched against all blocks: sets of that part are connected already.
@@ -187,11 +188,22 @@ def _shared_postings(prefixes: DataFrame) -> DataFrame:
     return postings.join(shared, "token")
 
 
-def _groups(postings: DataFrame) -> DataFrame:
-    """`set`, `n`, `group` of all sets that share a prefix shingle with another one."""
-    centres = postings.groupBy("token").agg(F.min("set").alias("v"))
-    edges = postings.join(centres, "token").select(F.col("set").alias("u"), "v")
-    grouped = components(edges).select(F.col("node").alias("set"), F.col("component").alias("group"))
+def _class(percent: int) -> Column:
+    """Size class of a set of `n`: a linked set has t times the size at least, so classes further apart hold no links."""
+    return F.floor(F.log("n") / max(math.log(100 / percent) * 1.0001, 1e-7))
+
+
+def _groups(postings: DataFrame, percent: int) -> DataFrame:
+    """`set`, `n`, `group` of all sets that share a prefix shingle with another one of their size class or the next.
+
+    For each class and the one above it, sets are grouped apart, so a set may be in two groups.
+    """
+    dealt = postings.withColumn("class", _class(percent)).repartition("token")
+    centres = dealt.groupBy("token", F.col("class").alias("lower")).agg(F.min("set").alias("v"))
+    near = (F.col("lower") == F.col("class")) | (F.col("lower") == F.col("class") - 1)
+    lower = F.unhex(F.lpad(F.hex("lower"), 8, "0"))
+    edges = dealt.join(centres, "token").filter(near).select(F.concat("set", lower).alias("u"), F.concat("v", lower).alias("v"))
+    grouped = components(edges).select(F.expr("substring(node, 1, length(node) - 4)").alias("set"), F.col("component").alias("group"))
     return postings.select("set", "n").distinct().join(grouped, "set")
 
 
@@ -221,9 +233,7 @@ def _with_counts(rows: DataFrame, counted: DataFrame, name: str) -> DataFrame:
 
 def _cut(large: DataFrame, percent: int, block: int) -> DataFrame:
     """Large groups' sets with their size `class`, and their block `own` of the class's `blocks`."""
-    # A linked set has t times the size at least, so classes further apart hold no links.
-    step = math.log(100 / percent) * 1.0001
-    large = large.withColumn("class", F.floor(F.log("n") / step))
+    large = large.withColumn("class", _class(percent))
     counted = large.groupBy("group", "class").agg(F.ceil(F.sum("n") / block).alias("blocks"))
     return _with_counts(large, counted, "blocks").withColumn("own", F.pmod(F.xxhash64("set"), F.col("blocks")))
 
@@ -295,6 +305,19 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "set binary, shingles binary").join(wanted, "set").dropDuplicates(["set"])
 
 
+def _filtered(full: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`full` without most sets that are not `wanted`, so that these are not shuffled."""
+    held = full.sparkSession.sparkContext.broadcast(bloom(wanted.select(_half("set"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = np.frombuffer(b"".join(batch.column("set").to_pylist()), ">u8")[::2].astype(np.uint64)
+                yield batch.filter(pa.array(maybe(held.value, keys)))
+
+    return full.mapInArrow(run, full.schema)
+
+
 class Index:
     """Inverted lists over the sets of a block."""
 
@@ -413,7 +436,7 @@ def _all_links(full: DataFrame, members: DataFrame, percent: int, block: int) ->
         return links
     linked = components(links).select(F.col("node").alias("set"), "component")
     second = _second_round(cut, linked, block)
-    return links.unionByName(_links(full.join(second, "set"), percent))
+    return links.unionByName(_links(_filtered(full, cut).join(second, "set"), percent))
 
 
 def jaccard_components(
@@ -437,7 +460,7 @@ def jaccard_components(
     number = max(1, wanted.count())
     counts = frequencies(full, min(SKETCH_BITS, max(12, math.ceil(math.log2(16 * number)))))
     postings = stored(_shared_postings(_prefixes(full, counts, percent)), "postings")
-    members = stored(_groups(postings), "members")
+    members = stored(_groups(postings, percent), "members")
     linked = components(_all_links(full, members, percent, block)).select(F.col("node").alias("set"), "component")
     rank = F.struct(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), "text_hash")
     by_set = sets.filter("n > 0").groupBy("set").agg(F.min(rank).alias("least"))

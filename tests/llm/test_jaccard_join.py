@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from changelake.llm.components import components
-from changelake.llm.jaccard_join import block_links, jaccard_components
+from changelake.llm.jaccard_join import _filtered, _groups, block_links, jaccard_components
 
 
 def shingles(text, size=4):
@@ -85,3 +85,25 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(n, n + 1) for n in range(200)] + [(1000, n) for n in range(1001, 1100)] + [(5000, 5000)]
     found = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert found == {n: 0 for n in range(201)} | {n: 1000 for n in range(1000, 1100)}
+
+
+def test_sets_of_growing_size_are_not_one_group(spark):
+    """A shingle that sets of all sizes share makes groups of sets that may link, and of few others."""
+    sizes = [round(10 * 1.1**n) for n in range(40)]
+    rows = [(5, n.to_bytes(16, "big"), size) for n, size in enumerate(sizes)] + [(6, b"x" * 16, 1000), (6, b"y" * 16, 20)]
+    found = {}
+    for key, size, group in _groups(spark.createDataFrame(rows, "token long, set binary, n long"), 85).collect():
+        found.setdefault(bytes(group), set()).add((int.from_bytes(key, "big"), size))
+    assert max(map(len, found.values())) <= 5 and all(max(s for _, s in each) < 1.5 * min(s for _, s in each) for each in found.values())
+    for one in range(40):
+        for two in range(one):
+            if 100 * sizes[two] >= 85 * sizes[one]:
+                assert any({(one, sizes[one]), (two, sizes[two])} <= each for each in found.values())
+
+
+def test_only_wanted_sets_are_shuffled_again(spark):
+    rows = [(np.uint64(n * 0x9E3779B97F4A7C15 % 2**64).tobytes() * 2, b"12345678") for n in range(2000)]
+    full = spark.createDataFrame(rows, "set binary, shingles binary").repartition(3)
+    kept = {bytes(row.set) for row in _filtered(full, spark.createDataFrame(rows[:50], full.schema)).collect()}
+    assert {key for key, _ in rows[:50]} <= kept and len(kept) < 200
+    assert _filtered(full.limit(0), full.limit(0)).collect() == []
