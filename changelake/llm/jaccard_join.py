@@ -436,7 +436,8 @@ def _all_links(full: DataFrame, members: DataFrame, percent: int, block: int) ->
         return links
     linked = components(links).select(F.col("node").alias("set"), "component")
     second = _second_round(cut, linked, block)
-    return links.unionByName(_links(_filtered(full, cut).join(second, "set"), percent))
+    # Stored, as `components` works on them in Python too: a task then has one Python worker, not two at once.
+    return links.unionByName(stored(_links(_filtered(full, cut).join(second, "set"), percent), "links"))
 
 
 def jaccard_components(

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from changelake.llm import jaccard_join
 from changelake.llm.components import components
 from changelake.llm.jaccard_join import _filtered, _groups, block_links, jaccard_components
 
@@ -107,3 +108,18 @@ def test_only_wanted_sets_are_shuffled_again(spark):
     kept = {bytes(row.set) for row in _filtered(full, spark.createDataFrame(rows[:50], full.schema)).collect()}
     assert {key for key, _ in rows[:50]} <= kept and len(kept) < 200
     assert _filtered(full.limit(0), full.limit(0)).collect() == []
+
+
+def test_no_task_runs_links_and_components_at_once(spark, monkeypatch):
+    """Edges are read, not made in the task that contracts them, which would hold two Python workers."""
+    plans = []
+
+    def seen(edges):
+        plans.append(edges._jdf.queryExecution().toString())
+        return components(edges)
+
+    monkeypatch.setattr(jaccard_join, "components", seen)
+    rows = list(enumerate(corpus(random.Random(3))))
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), block=200)
+    assert sorted(map(tuple, found.drop("kept", "text_hash").collect()), key=str) == brute_force(rows)
+    assert plans and not any("InArrow" in plan for plan in plans)
